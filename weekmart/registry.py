@@ -423,3 +423,264 @@ def q_run_manifest(spark, sf):
   CAST(COUNT(*) FILTER (WHERE row_count = 0) AS BIGINT) AS empty_periods FROM m""")
 def q_manifest_stats(spark, sf):
     return manifest_stats(_manifest(spark, sf))
+
+
+# -- K2..K17, S3..S7, T2: sinks, files, back-load, streaming -------------------
+#
+# These write under the session's checkpoint folder (a fresh folder per
+# call) and return what a reader then sees.  Their input is the weekly
+# per-category summary of the whole fact table.
+
+from weekmart.session import scratch_dir  # noqa: E402
+from weekmart.sinks.base import FailingSink, fan_out  # noqa: E402
+from weekmart.sinks.deliver import DeliverySink  # noqa: E402
+from weekmart.sinks.dialects import dialect_types_frame  # noqa: E402
+from weekmart.sinks.files import ExportSpec, export_csv, export_periods  # noqa: E402
+from weekmart.sinks.table import TableSink  # noqa: E402
+from weekmart.plans.manifest import file_manifest, load_status  # noqa: E402
+from weekmart.sources.period_files import (  # noqa: E402
+    backfill, backfill_schema, period_files, plan_backfill, read_period_files,
+)
+from weekmart.sources.tables import schema_frame  # noqa: E402
+from weekmart.streaming.load import stream_load  # noqa: E402
+
+COARSE_SQL = O.summary_sql(dims=["fg1_name"])
+COARSE_COLS = ["fg1_name", "year_num", "week_num", *O.MEASURES_SQL]
+
+
+def _coarse(spark, sf, where=None) -> DataFrame:
+    cube = sales_cube(spark, sf)
+    if where is not None:
+        cube.base = cube.base.where(where)
+    return to_sink_form(cube_summary(cube, dims=["Goods[fg1_name]"]))
+
+
+def _table(spark, key: str, **kw) -> TableSink:
+    d = scratch_dir(spark, key)
+    return TableSink(spark, f"wm_{key}_{d.rsplit('-', 1)[-1]}", location=f"{d}/table", **kw)
+
+
+def _typed(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(f"`{c}`").cast("int").alias(c) if c in KEYS else F.col(f"`{c}`")
+                       for c in df.columns])
+
+
+def _cols_sql(cols) -> str:
+    return ", ".join(f'"{c}"' for c in cols)
+
+
+@register("table_create")
+def q_table_create(spark, sf):
+    t = _table(spark, "table_create")
+    t.setup(_coarse(spark, sf))
+    return schema_frame(spark, t.schema())
+
+
+@register("target_schema")
+def q_target_schema(spark, sf):
+    t = _table(spark, "target_schema")
+    t.upsert(_coarse(spark, sf))
+    return schema_frame(spark, t.schema())
+
+
+@register("dialect_types")
+def q_dialect_types(spark, sf):
+    return dialect_types_frame(spark, weekly_summary(spark, sf).schema)
+
+
+_COMMISSION = "Комісія_по_кредитам"
+
+
+@register("evolve_add_column", f"""WITH s AS ({COARSE_SQL})
+  SELECT {_cols_sql(c for c in COARSE_COLS if c != _COMMISSION)},
+    CASE WHEN year_num = 2000 THEN "{_COMMISSION}" END AS "{_COMMISSION}" FROM s""")
+def q_evolve_add_column(spark, sf):
+    s = _coarse(spark, sf)
+    t = _table(spark, "evolve")
+    t.upsert(s.where(F.col("year_num") != 2000).drop(_COMMISSION))
+    t.upsert(s.where(F.col("year_num") == 2000))
+    return _typed(t.read())
+
+
+_SIZE_SQL = O.summary_sql(dims=["fg3_name"], measures=["Реалізація_к_сть"])
+
+
+@register("widen_to_text", f"""WITH s AS ({_SIZE_SQL})
+  SELECT CASE WHEN year_num = 2000 THEN 'size ' || fg3_name ELSE fg3_name END AS fg3_name,
+    year_num, week_num, "Реалізація_к_сть" FROM s""")
+def q_widen_to_text(spark, sf):
+    cube = sales_cube(spark, sf)
+    s = to_sink_form(cube_summary(cube, dims=["Goods[fg3_name]"], measure_names=["sell_qty"]))
+    t = _table(spark, "widen")
+    first = s.where(F.col("year_num") != 2000).withColumn("fg3_name", F.col("fg3_name").cast("long"))
+    t.upsert(first)
+    second = s.where(F.col("year_num") == 2000).withColumn(
+        "fg3_name", F.concat(F.lit("size "), F.col("fg3_name")))
+    t.upsert(second)
+    return _typed(t.read())
+
+
+_LM_SQL = _month_sql(*_q_start(AS_OF, 1))
+
+
+@register("delete_period", f"""WITH s AS ({COARSE_SQL}) SELECT * FROM s
+  WHERE NOT ({O.in_periods(_LM_SQL, avail=False)})""")
+def q_delete_period(spark, sf):
+    t = _table(spark, "delete")
+    t.upsert(_coarse(spark, sf))
+    from weekmart.operators.filters import collect_periods
+    for y, w in collect_periods(P.last_month(spark, AS_OF)):
+        t.delete_period(y, w)
+    return _typed(t.read())
+
+
+_PROFIT = "Дохід_грн"
+
+
+@register("insert_rows", f"""WITH s AS ({COARSE_SQL})
+  SELECT {_cols_sql(c for c in COARSE_COLS if c != _PROFIT)} FROM s""")
+def q_insert_rows(spark, sf):
+    s = _coarse(spark, sf)
+    t = _table(spark, "insert", evolve=False)
+    t.setup(s.drop(_PROFIT).limit(0))
+    t.insert(s.withColumn("not_in_target", F.lit("x")))
+    return _typed(t.read())
+
+
+_LQ_WEEKS = _quarter_sql(*_LAST_Q)
+
+
+@register("upsert_idempotent", f"""WITH s AS ({COARSE_SQL}),
+  r AS ({O.summary_sql(dims=['fg1_name'], where="l_returnflag = 'R'")})
+  SELECT * FROM s WHERE NOT ({O.in_periods(_LQ_WEEKS, avail=False)})
+  UNION ALL SELECT * FROM r WHERE {O.in_periods(_LQ_WEEKS, avail=False)}""")
+def q_upsert_idempotent(spark, sf):
+    t = _table(spark, "upsert")
+    s = _coarse(spark, sf)
+    t.upsert(s)
+    t.upsert(s)
+    returns = where_periods(_coarse(spark, sf, where=F.col("l_returnflag") == "R"),
+                            P.last_quarter(spark, AS_OF))
+    t.upsert(returns)
+    t.upsert(returns)
+    return _typed(t.read())
+
+
+@register("fan_out_status")
+def q_fan_out_status(spark, sf):
+    d = scratch_dir(spark, "fan_out")
+    sinks = [_table(spark, "fan_out_t"), FailingSink("unreachable_store"),
+             DeliverySink(spark, name="delivery", transport="directory", path=f"{d}/drop",
+                          backoff=0)]
+    return fan_out(_coarse(spark, sf), sinks)
+
+
+@register("load_status")
+def q_load_status(spark, sf):
+    return load_status(q_fan_out_status(spark, sf))
+
+
+@register("deliver_with_retry", COARSE_SQL)
+def q_deliver_with_retry(spark, sf):
+    d = scratch_dir(spark, "deliver")
+    sink = DeliverySink(spark, transport="flaky", codes="503,503", path=f"{d}/drop",
+                        backoff=0, receipts=f"{d}/receipts.json")
+    sink.upsert(_coarse(spark, sf))
+    attempts = {r["attempts"] for r in sink.receipts()}
+    if attempts != {3}:
+        raise AssertionError(f"expected 3 attempts per payload, saw {attempts}")
+    return _typed(spark.read.option("recursiveFileLookup", "true").parquet(f"{d}/drop"))
+
+
+def _export(spark, sf, key, **kw) -> tuple[str, DataFrame]:
+    d = scratch_dir(spark, key)
+    s = _coarse(spark, sf)
+    export_csv(s, f"{d}/csv", **kw)
+    return f"{d}/csv", s
+
+
+def _csv_schema(s: DataFrame) -> T.StructType:
+    return T.StructType([f for f in s.schema.fields if f.name not in KEYS])
+
+
+@register("csv_roundtrip", COARSE_SQL)
+def q_csv_roundtrip(spark, sf):
+    path, s = _export(spark, sf, "csv_roundtrip", quoting="all")
+    schema = T.StructType(_csv_schema(s).fields + [T.StructField(k, T.IntegerType()) for k in KEYS])
+    return spark.read.schema(schema).option("header", "true").option("sep", ";").csv(path)
+
+
+@register("period_layout")
+def q_period_layout(spark, sf):
+    path, _ = _export(spark, sf, "period_layout")
+    files = period_files(spark, path, "csv")
+    return file_manifest(files).select(*KEYS, "files")
+
+
+@register("export_manifest")
+def q_export_manifest(spark, sf):
+    d = scratch_dir(spark, "export_manifest")
+    spec = ExportSpec(fmt="both", root=d)
+    export_periods(_coarse(spark, sf), spec)
+    csv = file_manifest(period_files(spark, f"{d}/csv", "csv")).withColumn("format", F.lit("csv"))
+    pq = file_manifest(period_files(spark, f"{d}/parquet", "parquet")).withColumn("format", F.lit("parquet"))
+    return csv.unionByName(pq)
+
+
+@register("compressed_export")
+def q_compressed_export(spark, sf):
+    path, _ = _export(spark, sf, "compressed_export", compression="gzip")
+    obs = export_csv.last_observation.get
+    files = period_files(spark, path, "csv.gz")
+    return files.agg(F.count(F.lit(1)).cast("long").alias("files"),
+                     F.sum("length").cast("long").alias("compressed_bytes")).select(
+        "files", "compressed_bytes",
+        F.lit(int(obs["text_bytes"])).cast("long").alias("text_bytes"),
+        (F.lit(1.0) - F.col("compressed_bytes") / F.lit(float(obs["text_bytes"]))).alias("saving"))
+
+
+@register("period_file_listing")
+def q_period_file_listing(spark, sf):
+    path, _ = _export(spark, sf, "listing")
+    return period_files(spark, path, "csv", year=2000)
+
+
+@register("backfill_plan")
+def q_backfill_plan(spark, sf):
+    path, _ = _export(spark, sf, "plan")
+    return plan_backfill(spark, path, "csv")
+
+
+@register("backfill_schema")
+def q_backfill_schema(spark, sf):
+    path, _ = _export(spark, sf, "schema")
+    return schema_frame(spark, backfill_schema(spark, path, "csv"))
+
+
+@register("backfill_read", COARSE_SQL)
+def q_backfill_read(spark, sf):
+    path, s = _export(spark, sf, "backfill_read")
+    return read_period_files(spark, path, "csv", schema=_csv_schema(s))
+
+
+@register("backfill_load", COARSE_SQL)
+def q_backfill_load(spark, sf):
+    path, s = _export(spark, sf, "backfill_load")
+    t = _table(spark, "backfill_load")
+    status = backfill(spark, path, t, "csv", schema=_csv_schema(s))
+    bad = status.where(F.col("status") != "ok").count()
+    if bad:
+        raise AssertionError(f"{bad} periods did not load")
+    return _typed(t.read())
+
+
+@register("stream_period_load", COARSE_SQL)
+def q_stream_period_load(spark, sf):
+    path, s = _export(spark, sf, "stream_src")
+    t = _table(spark, "stream_load")
+    ck = scratch_dir(spark, "stream_ckpt")
+    q = stream_load(spark, path, t, ck, _csv_schema(s), "csv")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return _typed(t.read())
