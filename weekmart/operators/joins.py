@@ -1,4 +1,11 @@
-"""Dimension joins whose broadcast is backed by a checked size bound."""
+"""Dimension joins whose broadcast is backed by a checked size bound.
+
+By default the choice is Spark's: a side is broadcast when the planner's
+size estimate is under ``spark.sql.autoBroadcastJoinThreshold``, or when
+AQE measures it under the adaptive threshold at run time; otherwise both
+sides are shuffled on the key.  A caller may add an explicit row bound
+(``max_broadcast_rows``), checked with a bounded read before hinting.
+"""
 
 from __future__ import annotations
 
@@ -16,14 +23,15 @@ def has_at_most(df: DataFrame, n: int) -> bool:
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, fact_keys, dim_keys,
-                   how: str = "left", max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+                   how: str = "left", max_broadcast_rows: int | None = None,
                    bounded: bool = False) -> DataFrame:
     """``fact`` LEFT JOIN ``dim`` (facts without a member keep nulls).
 
     ``bounded=True`` declares a dimension whose size is fixed by
-    construction (inline members); it is broadcast without a check.
-    Otherwise the dimension is broadcast only after :func:`has_at_most`
-    proves it small; beyond that the planner shuffles both sides on the key.
+    construction (inline members); it is broadcast without a check.  With
+    ``max_broadcast_rows`` the dimension is hinted only after
+    :func:`has_at_most` proves it small.  Otherwise Spark's size checks
+    decide (see the module note).
     """
     fact_keys = [fact_keys] if isinstance(fact_keys, str) else list(fact_keys)
     dim_keys = [dim_keys] if isinstance(dim_keys, str) else list(dim_keys)

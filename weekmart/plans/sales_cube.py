@@ -16,20 +16,24 @@ Mapping of the cube's dimension columns onto the tables:
 
 Join plan.  The snowflake arm order -> customer -> nation is collapsed
 first (dimension-sized work), so the fact is joined once per arm: by
-order key, part key and supplier key.  Each arm is broadcast only after
-its row count is proven under the limit; otherwise it is a shuffle join
-(AQE splits a skewed key's partition).  Inline dimensions have a fixed
-number of members and are always broadcast.
+order key, part key and supplier key.  Whether an arm is broadcast is
+decided by Spark from its size: the planner's estimate against
+``spark.sql.autoBroadcastJoinThreshold`` and, at run time, AQE's measured
+shuffle size; beyond those it is a shuffle (sort-merge) join, with AQE
+splitting a skewed key's partition.  Inline dimensions have a fixed number
+of members and are always broadcast.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekmart.functions.dates import date_serial
 from weekmart.operators.filters import with_period
-from weekmart.operators.joins import DEFAULT_BROADCAST_ROWS, join_dimension
+from weekmart.operators.joins import join_dimension
 from weekmart.plans.model import CubeModel, Measure
 
 # The cube's grouping columns, in the query's order.
@@ -88,40 +92,60 @@ PROMO_SCHEMA = "pr_key string, promo_type_name string, basis string"
 MEASURE_INPUTS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "p_retailprice", "l_returnflag"]
 
 
-def dec(c: str):
-    """Exact money arithmetic: decimal(18,2) in, products kept exact, one
-    cast to double on the final sum."""
-    return F.col(c).cast("decimal(18,2)")
+def cents(c: str):
+    """Money/quantity as exact hundredths in a long: the value the column
+    has as decimal(18,2), scaled by 100.  Long sums stay in whole-stage
+    codegen; an overflow raises under ANSI mode instead of wrapping."""
+    return F.round(F.col(c).cast("decimal(18,2)").cast("double") * 100).cast("long")
+
+
+def exact(total, scale: int):
+    """Exact long sum at ``scale`` decimals -> double, via one decimal per group."""
+    unit = F.lit(Decimal(1).scaleb(-scale)).cast(f"decimal({scale},{scale})")
+    return (total.cast("decimal(38,0)") * unit).cast("double")
 
 
 def measures() -> list[Measure]:
-    qty, price, disc, tax, retail = (dec("l_quantity"), dec("l_extendedprice"),
-                                     dec("l_discount"), dec("l_tax"), dec("p_retailprice"))
-    sell = price * (F.lit(1) - disc)
-    buy = retail * qty
+    qty, price, disc, tax, retail = (cents("l_quantity"), cents("l_extendedprice"),
+                                     cents("l_discount"), cents("l_tax"), cents("p_retailprice"))
+    sell = price * (F.lit(100) - disc)          # scale 4
+    buy = retail * qty                           # scale 4
     aggs = {
-        "sell_qty": F.sum(qty),
-        "sell_amount_nds": F.sum(sell),
-        "buy_amount_nds": F.sum(buy),
-        "profit_amount_nds": F.sum(sell - buy),
-        "bonus_obtained_amount": F.sum(price * disc),
-        "bonus_used_amount": F.sum(F.when(F.col("l_returnflag") == "R", price * disc)),
-        "credit_commission_amount": F.sum(price * tax),
+        "sell_qty": exact(F.sum(qty), 2),
+        "sell_amount_nds": exact(F.sum(sell), 4),
+        "buy_amount_nds": exact(F.sum(buy), 4),
+        "profit_amount_nds": exact(F.sum(sell - buy), 4),
+        "bonus_obtained_amount": exact(F.sum(price * disc), 4),
+        "bonus_used_amount": exact(F.sum(F.when(F.col("l_returnflag") == "R", price * disc)), 4),
+        "credit_commission_amount": exact(F.sum(price * tax), 4),
     }
-    return [Measure(n, cap, aggs[n].cast("double")) for n, cap in MEASURE_CAPTIONS]
+    return [Measure(n, cap, aggs[n]) for n, cap in MEASURE_CAPTIONS]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _values_frame(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """Small literal table as a SQL VALUES list (a local relation in the
+    plan, no Python-side scan)."""
+    names = [c.strip().split()[0] for c in schema.split(",")]
+    types = [c.strip().split()[1] for c in schema.split(",")]
+
+    def lit(v):
+        return "NULL" if v is None else ("'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v))
+    body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    df = spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(names)})")
+    return df.select(*[F.col(n).cast(t).alias(n) for n, t in zip(names, types)])
+
+
 def inline_dimensions(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-    return (spark.createDataFrame(CREDIT_PRODUCTS, CREDIT_SCHEMA),
-            spark.createDataFrame(PROMO, PROMO_SCHEMA))
+    return (_values_frame(spark, CREDIT_PRODUCTS, CREDIT_SCHEMA),
+            _values_frame(spark, PROMO, PROMO_SCHEMA))
 
 
 def order_dimension(spark: SparkSession, sf_dir: str,
-                    max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    max_broadcast_rows: int | None = None) -> DataFrame:
     """orders -> customer -> nation collapsed into one order-keyed arm."""
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     customer = read_table(spark, sf_dir, "customer").select(
@@ -142,51 +166,74 @@ def order_dimension(spark: SparkSession, sf_dir: str,
     )
 
 
+ORDER_ARM = ("Agents_hybrid[", "Markets[", "Channel_type[", "Price_types[name]", "Doc_types[")
+
+
 def sales_cube(spark: SparkSession, sf_dir: str, fact: DataFrame | None = None,
-               max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> CubeModel:
+               max_broadcast_rows: int | None = None,
+               dims: list[str] | None = None) -> CubeModel:
     """Build the cube.  ``fact`` may be a pre-filtered lineitem frame (for
-    example date-range pruned); by default the whole table."""
+    example date-range pruned); by default the whole table.
+
+    ``dims`` (qualified names) limits the cube to the dimension arms those
+    columns need: every arm is a left join on the dimension's unique key,
+    so an arm that no column uses cannot change the result and is not
+    joined at all.  The part arm always stays (a measure uses its price)."""
+    dims = list(DIMENSIONS if dims is None else dims)
+    need_order = any(d.startswith(ORDER_ARM) for d in dims)
+    need_supplier = "Goods[producer_name]" in dims
+    need_credit = any(d.startswith("Credit_products[") for d in dims)
+    need_promo = any(d.startswith("Promo[") for d in dims)
+
     li = fact if fact is not None else read_table(spark, sf_dir, "lineitem")
     li = li.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                    "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
                    "l_linestatus", "l_shipdate")
     part = read_table(spark, sf_dir, "part").select(
         "p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
-    supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    kw = {"max_broadcast_rows": max_broadcast_rows}
+
+    x = li
+    if need_order:
+        x = join_dimension(x, order_dimension(spark, sf_dir, max_broadcast_rows),
+                           "l_orderkey", "o_orderkey", **kw)
+    x = join_dimension(x, part, "l_partkey", "p_partkey", **kw)
+    if need_supplier:
+        supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+        x = join_dimension(x, supplier, "l_suppkey", "s_suppkey", **kw)
     credit, promo = inline_dimensions(spark)
-
-    x = join_dimension(li, order_dimension(spark, sf_dir, max_broadcast_rows),
-                       "l_orderkey", "o_orderkey", max_broadcast_rows=max_broadcast_rows)
-    x = join_dimension(x, part, "l_partkey", "p_partkey", max_broadcast_rows=max_broadcast_rows)
-    x = join_dimension(x, supplier, "l_suppkey", "s_suppkey", max_broadcast_rows=max_broadcast_rows)
-    x = join_dimension(x, credit, "l_linestatus", "cp_key", bounded=True)
-    x = join_dimension(x, promo, "l_returnflag", "pr_key", bounded=True)
-
-    base = x.select(
-        "l_orderkey", "l_linenumber", "l_shipdate",
-        date_serial("l_shipdate").alias("Calendar[calendar_date]"),
-        F.col("p_type").alias("Goods[fg1_name]"),
-        F.col("p_brand").alias("Goods[fg2_name]"),
-        F.col("p_size").cast("string").alias("Goods[fg3_name]"),
-        F.col("p_name").alias("Goods[fg4_name]"),
-        F.col("l_partkey").cast("string").alias("Goods[articul]"),
-        F.col("p_name").alias("Goods[articul_name]"),
-        F.col("s_name").alias("Goods[producer_name]"),
-        "Agents_hybrid[name]", "Markets[doc_prefix_original]",
-        "Channel_type[sell_channel_type_name]", "Price_types[name]",
-        (F.col("l_returnflag") == "R").alias("Price_types[is_tender]"),
-        "Doc_types[name]",
-        F.col("payment_code").alias("Credit_products[payment_code]"),
-        F.col("payment_typ").alias("Credit_products[payment_typ]"),
-        F.col("product_types").alias("Credit_products[product_types]"),
-        F.col("bank_name").alias("Credit_products[bank_name]"),
-        F.col("bank_credit_product_code").alias("Credit_products[bank_credit_product_code]"),
-        F.col("product_name").alias("Credit_products[product_name]"),
-        F.col("payment_count").alias("Credit_products[payment_count]"),
-        F.col("promo_type_name").alias("Promo[promo_type_name]"),
-        F.col("basis").alias("Promo[basis]"),
-        *MEASURE_INPUTS,
-    )
+    if need_credit:
+        x = join_dimension(x, credit, "l_linestatus", "cp_key", bounded=True)
+    if need_promo:
+        x = join_dimension(x, promo, "l_returnflag", "pr_key", bounded=True)
+
+    columns = {
+        "Calendar[calendar_date]": date_serial("l_shipdate"),
+        "Goods[fg1_name]": F.col("p_type"),
+        "Goods[fg2_name]": F.col("p_brand"),
+        "Goods[fg3_name]": F.col("p_size").cast("string"),
+        "Goods[fg4_name]": F.col("p_name"),
+        "Goods[articul]": F.col("l_partkey").cast("string"),
+        "Goods[articul_name]": F.col("p_name"),
+        "Goods[producer_name]": F.col("s_name"),
+        "Agents_hybrid[name]": F.col("`Agents_hybrid[name]`"),
+        "Markets[doc_prefix_original]": F.col("`Markets[doc_prefix_original]`"),
+        "Channel_type[sell_channel_type_name]": F.col("`Channel_type[sell_channel_type_name]`"),
+        "Price_types[name]": F.col("`Price_types[name]`"),
+        "Price_types[is_tender]": F.col("l_returnflag") == "R",
+        "Doc_types[name]": F.col("`Doc_types[name]`"),
+        "Credit_products[payment_code]": F.col("payment_code"),
+        "Credit_products[payment_typ]": F.col("payment_typ"),
+        "Credit_products[product_types]": F.col("product_types"),
+        "Credit_products[bank_name]": F.col("bank_name"),
+        "Credit_products[bank_credit_product_code]": F.col("bank_credit_product_code"),
+        "Credit_products[product_name]": F.col("product_name"),
+        "Credit_products[payment_count]": F.col("payment_count"),
+        "Promo[promo_type_name]": F.col("promo_type_name"),
+        "Promo[basis]": F.col("basis"),
+    }
+    base = x.select("l_orderkey", "l_linenumber", "l_shipdate",
+                    *[columns[d].alias(d) for d in dims], *MEASURE_INPUTS)
     base = with_period(base, "l_shipdate")
-    return CubeModel(base=base, date_col="l_shipdate", dimensions=list(DIMENSIONS),
+    return CubeModel(base=base, date_col="l_shipdate", dimensions=dims,
                      measures=measures(), filters={"fg1_name": "Goods[fg1_name]"})

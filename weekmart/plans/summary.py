@@ -99,8 +99,10 @@ def weekly_summary(spark: SparkSession, sf_dir: str, periods: DataFrame | None =
     fact = read_table(spark, sf_dir, "lineitem")
     if periods is not None:
         fact = where_periods(with_period(fact, "l_shipdate"), periods, "l_shipdate")
-    kw = {} if max_broadcast_rows is None else {"max_broadcast_rows": max_broadcast_rows}
-    cube = sales_cube(spark, sf_dir, fact=fact, **kw)
+    need = list(dims) if dims is not None else None
+    if category and need is not None and "Goods[fg1_name]" not in need:
+        need.append("Goods[fg1_name]")
+    cube = sales_cube(spark, sf_dir, fact=fact, max_broadcast_rows=max_broadcast_rows, dims=need)
     if category:
         cube.base = where_category(cube.base, cube.filters["fg1_name"], category)
     return to_sink_form(cube_summary(cube, dims=dims, measure_names=measure_names))

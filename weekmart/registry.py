@@ -83,7 +83,11 @@ def q_cube_base(spark, sf):
   "Agents_hybrid_name", doc_prefix_original, "Doc_types_name", producer_name, fg1_name,
   payment_code, payment_count, promo_type_name, basis FROM base""")
 def q_star_join(spark, sf):
-    cube = sales_cube(spark, sf)
+    cube = sales_cube(spark, sf, dims=["Agents_hybrid[name]", "Markets[doc_prefix_original]",
+                                        "Doc_types[name]", "Goods[producer_name]", "Goods[fg1_name]",
+                                        "Credit_products[payment_code]",
+                                        "Credit_products[payment_count]",
+                                        "Promo[promo_type_name]", "Promo[basis]"])
     return to_sink_form(cube.base.select(
         "l_orderkey", "l_linenumber", "`Agents_hybrid[name]`", "`Markets[doc_prefix_original]`",
         "`Doc_types[name]`", "`Goods[producer_name]`", "`Goods[fg1_name]`",
@@ -103,13 +107,13 @@ def q_bare_columns(spark, sf):
 
 @register("safe_columns", O.summary_sql(dims=["fg1_name"]))
 def q_safe_columns(spark, sf):
-    cube = sales_cube(spark, sf)
+    cube = sales_cube(spark, sf, dims=["Goods[fg1_name]"])
     return to_sink_form(cube_summary(cube, dims=["Goods[fg1_name]"]))
 
 
 @register("non_blank_groups", O.summary_sql(dims=["is_tender"], measures=["Використані_бонуси"]))
 def q_non_blank_groups(spark, sf):
-    cube = sales_cube(spark, sf)
+    cube = sales_cube(spark, sf, dims=["Price_types[is_tender]"])
     return to_sink_form(cube_summary(cube, dims=["Price_types[is_tender]"],
                                      measure_names=["bonus_used_amount"]))
 
@@ -342,7 +346,7 @@ def q_coerce_types(spark, sf):
   SELECT year_num, week_num, fg1_name, "Реалізація_грн" FROM x""")
 def q_align_columns(spark, sf):
     from weekmart.operators.columns import align_columns
-    cube = sales_cube(spark, sf)
+    cube = sales_cube(spark, sf, dims=["Goods[fg1_name]"])
     df = to_sink_form(cube_summary(cube, dims=["Goods[fg1_name]"]))
     target = T.StructType([T.StructField(n, T.StringType()) for n in
                            ("year_num", "week_num", "fg1_name", "Реалізація_грн", "missing_col")])
@@ -449,7 +453,7 @@ COARSE_COLS = ["fg1_name", "year_num", "week_num", *O.MEASURES_SQL]
 
 
 def _coarse(spark, sf, where=None) -> DataFrame:
-    cube = sales_cube(spark, sf)
+    cube = sales_cube(spark, sf, dims=["Goods[fg1_name]"])
     if where is not None:
         cube.base = cube.base.where(where)
     return to_sink_form(cube_summary(cube, dims=["Goods[fg1_name]"]))
@@ -509,7 +513,7 @@ _SIZE_SQL = O.summary_sql(dims=["fg3_name"], measures=["Реалізація_к_
   SELECT CASE WHEN year_num = 2000 THEN 'size ' || fg3_name ELSE fg3_name END AS fg3_name,
     year_num, week_num, "Реалізація_к_сть" FROM s""")
 def q_widen_to_text(spark, sf):
-    cube = sales_cube(spark, sf)
+    cube = sales_cube(spark, sf, dims=["Goods[fg3_name]"])
     s = to_sink_form(cube_summary(cube, dims=["Goods[fg3_name]"], measure_names=["sell_qty"]))
     t = _table(spark, "widen")
     first = s.where(F.col("year_num") != 2000).withColumn("fg3_name", F.col("fg3_name").cast("long"))
