@@ -38,19 +38,21 @@ def layout(df: DataFrame, sort_keys: list[str] | None = None,
 
 def _nonnumeric(df: DataFrame, sep: str) -> DataFrame:
     """QUOTE_NONNUMERIC: text fields quoted (inner quotes doubled), numbers
-    bare, nulls empty.  Header names are quoted too."""
-    cols = []
+    bare, nulls empty.  Each line is formatted here as one text column
+    (named by the formatted header line) and written verbatim."""
+    fields, header = [], []
     for f in df.schema.fields:
-        c = _q(f.name)
         if f.name in KEYS:
-            cols.append(c)
             continue
+        c = _q(f.name)
         if isinstance(f.dataType, _NUMERIC):
             v = c.cast("string")
         else:
             v = F.concat(F.lit('"'), F.replace(c.cast("string"), F.lit('"'), F.lit('""')), F.lit('"'))
-        cols.append(v.alias('"' + f.name.replace('"', '""') + '"'))
-    return df.select(*cols)
+        fields.append(F.coalesce(v, F.lit("")))
+        header.append('"' + f.name.replace('"', '""') + '"')
+    line = F.concat_ws(sep, *fields).alias(sep.join(header))
+    return df.select(line, *[_q(k) for k in KEYS])
 
 
 def export_csv(df: DataFrame, path: str, sep: str = ";", quoting: str = "minimal",
@@ -65,8 +67,9 @@ def export_csv(df: DataFrame, path: str, sep: str = ";", quoting: str = "minimal
     df = finite_frame(df)
     obs = Observation("csv")
     raw_len = F.length(F.concat_ws(sep, *[_q(c).cast("string") for c in df.columns if c not in KEYS]))
-    df = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.sum(raw_len + 1).alias("text_bytes"))
-    out = layout(df, sort_keys)
+    # Observed after the range exchange: its sampling pass must not count.
+    out = layout(df, sort_keys).observe(
+        obs, F.count(F.lit(1)).alias("rows"), F.sum(raw_len + 1).alias("text_bytes"))
     opts = {"sep": sep, "header": str(header).lower(), "encoding": encoding,
             "nullValue": "", "emptyValue": "", "escape": '"',
             "partitionOverwriteMode": "dynamic"}
@@ -74,7 +77,7 @@ def export_csv(df: DataFrame, path: str, sep: str = ";", quoting: str = "minimal
         opts["quoteAll"] = "true"
     if quoting == "nonnumeric":
         out = _nonnumeric(out, sep)
-        opts["quote"] = "\u0000"
+        opts.update({"sep": "\u0001", "quote": "\u0000", "escapeQuotes": "false"})
     if compression:
         opts["compression"] = compression
     if max_records_per_file:
@@ -87,8 +90,8 @@ def export_csv(df: DataFrame, path: str, sep: str = ";", quoting: str = "minimal
 def export_parquet(df: DataFrame, path: str, sort_keys: list[str] | None = None,
                    compression: str | None = None, mode: str = "overwrite") -> int:
     obs = Observation("parquet")
-    df = finite_frame(df).observe(obs, F.count(F.lit(1)).alias("rows"))
-    w = layout(df, sort_keys).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    out = layout(finite_frame(df), sort_keys).observe(obs, F.count(F.lit(1)).alias("rows"))
+    w = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if compression:
         w = w.option("compression", compression)
     w.partitionBy(*KEYS).parquet(path)

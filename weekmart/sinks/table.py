@@ -54,9 +54,13 @@ class TableSink:
         return self.spark.catalog.tableExists(self.table)
 
     def schema(self) -> T.StructType:
+        self.spark.catalog.refreshTable(self.table)
         return self.spark.table(self.table).schema
 
     def read(self) -> DataFrame:
+        # Another session (a stream's batch, another job) may have replaced
+        # partitions: drop the cached file listing first.
+        self.spark.catalog.refreshTable(self.table)
         return self.spark.table(self.table)
 
     def setup(self, df: DataFrame) -> None:
