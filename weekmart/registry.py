@@ -688,3 +688,14 @@ def q_stream_period_load(spark, sf):
     if q.exception() is not None:
         raise q.exception()
     return _typed(t.read())
+
+
+# -- A2: grouping without measures (distinct members) --------------------------
+
+@register("distinct_keys", "WITH " + O.base_cte()
+          + ' SELECT DISTINCT fg1_name, "Price_types_name" AS name FROM base')
+def q_distinct_keys(spark, sf):
+    from weekmart.plans.summary import summarize
+    dims = ["Goods[fg1_name]", "Price_types[name]"]
+    cube = sales_cube(spark, sf, dims=dims)
+    return to_sink_form(summarize(cube.base, dims, []))

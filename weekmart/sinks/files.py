@@ -2,8 +2,8 @@
 
 Layout: ``<root>/year_num=YYYY/week_num=WW/part-*.<ext>`` (Hive style, so a
 later read recovers the period columns by partition discovery).  Rows are
-range-partitioned on (year, week, sort keys): a large week is split over
-several tasks instead of landing in one, and each task writes few files.
+clustered by period with a REBALANCE: a large week is split over several
+tasks instead of landing in one, and each period gets few files.
 """
 
 from __future__ import annotations
@@ -30,9 +30,15 @@ def _q(n: str):
 
 def layout(df: DataFrame, sort_keys: list[str] | None = None,
            partitions: int | None = None) -> DataFrame:
-    """Range-partition on the period (and sort keys), sort inside tasks."""
+    """Cluster on the period (REBALANCE: AQE splits a large week over
+    several tasks and merges small ones), each file sorted by the keys.
+    ``partitions`` asks for a range partitioning instead (globally ordered
+    files, at the price of a sampling pass)."""
     keys = [_q(k) for k in KEYS + list(sort_keys or [])]
-    out = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    if partitions:
+        out = df.repartitionByRange(partitions, *keys)
+    else:
+        out = df.hint("rebalance", *KEYS)
     return out.sortWithinPartitions(*keys)
 
 
@@ -67,7 +73,7 @@ def export_csv(df: DataFrame, path: str, sep: str = ";", quoting: str = "minimal
     df = finite_frame(df)
     obs = Observation("csv")
     raw_len = F.length(F.concat_ws(sep, *[_q(c).cast("string") for c in df.columns if c not in KEYS]))
-    # Observed after the range exchange: its sampling pass must not count.
+    # Observed after the exchange (a range exchange samples its input first).
     out = layout(df, sort_keys).observe(
         obs, F.count(F.lit(1)).alias("rows"), F.sum(raw_len + 1).alias("text_bytes"))
     opts = {"sep": sep, "header": str(header).lower(), "encoding": encoding,

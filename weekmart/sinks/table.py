@@ -160,16 +160,22 @@ class TableSink:
                        f"SELECT {cols} FROM {view}")
         self.spark.catalog.dropTempView(view)
 
+    def clustered(self, df: DataFrame) -> DataFrame:
+        """Cluster rows by period before the write: few files per partition
+        directory.  REBALANCE lets AQE split a hot period's partition into
+        several tasks and merge small ones, from measured shuffle sizes."""
+        return df.hint("rebalance", *self.keys)
+
     def insert(self, df: DataFrame) -> int:
         self.setup(df)
-        out, obs = counted(self.prepare(df))
+        out, obs = counted(self.clustered(self.prepare(df)))
         out.write.insertInto(self.table)
         return observed_rows(obs)
 
     def upsert(self, df: DataFrame) -> int:
         self.setup(df)
         self.widen(df)
-        out, obs = counted(self.prepare(df))
+        out, obs = counted(self.clustered(self.prepare(df)))
         conf = self.spark.conf
         before = conf.get("spark.sql.sources.partitionOverwriteMode")
         conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
