@@ -55,3 +55,17 @@ def test_csv_export_quoting_and_compression(spark, scratch):
     assert gz and all(gzip.open(p).read() for p in gz)
     back = read_period_files(spark, f"{path}/min", "csv", schema="s string, v double")
     assert sorted((r.week_num, r.v if r.v is not None else -1.0) for r in back.collect()) == [(1, 1.5), (2, -1.0), (2, 3.0)]
+
+
+def test_csv_backfill_reads_each_file_by_its_own_header(spark, scratch):
+    root = scratch.removeprefix("file:") + "/csvsrc"
+    os.makedirs(f"{root}/2024", exist_ok=True)
+    os.makedirs(f"{root}/2025", exist_ok=True)
+    pd.DataFrame({"name": ["a", "b"], "qty": [1.0, 2.0]}).to_csv(f"{root}/2024/2024-52.csv", sep=";", index=False)
+    open(f"{root}/2025/2025-01.csv", "w").write("name;qty\n")                      # empty week
+    pd.DataFrame({"qty": [3.0], "name": ["c"], "extra": ["e"]}).to_csv(        # other order + extra column
+        f"{root}/2025/2025-02.csv", sep=";", index=False)
+    pd.DataFrame({"name": ["z"], "qty": [9.0]}).to_csv(f"{root}/2025/readme.csv", sep=";", index=False)
+    rows = read_period_files(spark, root, "csv")
+    got = sorted((r.year_num, r.week_num, r.name, r.qty, r.extra) for r in rows.collect())
+    assert got == [(2024, 52, "a", 1.0, None), (2024, 52, "b", 2.0, None), (2025, 2, "c", 3.0, "e")]

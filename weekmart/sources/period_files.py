@@ -57,6 +57,55 @@ def plan_backfill(spark: SparkSession, root: str, ext: str = "csv",
     return period_files(spark, root, ext, year, week)
 
 
+def _first_lines(batches, encoding: str = "utf-8"):
+    """mapInPandas body: the first line of each listed file, read through a
+    pyarrow filesystem (local, HDFS or object store), never the whole file."""
+    import pandas as pd
+    from pyarrow import fs as pafs
+
+    for pdf in batches:
+        heads = []
+        for path in pdf["path"]:
+            try:
+                f, p = pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") \
+                    else (pafs.LocalFileSystem(), path)
+                with f.open_input_stream(p) as h:
+                    chunk = b""
+                    while b"\n" not in chunk and len(chunk) < (1 << 20):
+                        piece = h.read(65536)
+                        if not piece:
+                            break
+                        chunk += piece
+                heads.append(chunk.split(b"\n", 1)[0].decode(encoding, "replace").rstrip("\r"))
+            except Exception:  # noqa: BLE001 - unreadable file: no header
+                heads.append(None)
+        yield pd.DataFrame({"path": pdf["path"], "header": heads})
+
+
+def csv_headers(spark: SparkSession, root: str, ext: str = "csv") -> DataFrame:
+    """(path, header) for every period file: one distributed pass that
+    opens each file once and reads only its first line."""
+    files = period_files(spark, root, ext).select("path")
+    return files.mapInPandas(_first_lines, "path string, header string")
+
+
+def _csv_by_header(spark: SparkSession, root: str, sep: str, ext: str = "csv") -> DataFrame | None:
+    """Read CSV period files whose headers differ: files are grouped by
+    header (few distinct layouts), each group is read with its own header,
+    and the groups are combined by column name (absent columns -> null,
+    types widened)."""
+    groups: dict[str, list[str]] = {}
+    for r in csv_headers(spark, root, ext).where(F.col("header") != "").collect():
+        groups.setdefault(r["header"], []).append(r["path"])
+    out = None
+    for paths in groups.values():
+        part = (spark.read.option("header", "true").option("sep", sep)
+                .option("inferSchema", "true").csv(paths))
+        part = part.select("*", F.col("_metadata.file_path").alias("__file_path"))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
 def read_period_files(spark: SparkSession, root: str, fmt: str = "csv",
                       schema: T.StructType | str | None = None, sep: str = ";",
                       year: int | None = None, week: int | None = None,
@@ -72,14 +121,22 @@ def read_period_files(spark: SparkSession, root: str, fmt: str = "csv",
         if schema is not None:
             r = r.schema(schema)
         df = r.parquet(root)
+    elif fmt == "csv" and schema is None and header:
+        df = _csv_by_header(spark, root, sep)
+        if df is None:
+            return spark.createDataFrame([], "year_num int, week_num int")
     elif fmt == "csv":
         r = r.option("header", str(header).lower()).option("sep", sep)
         r = r.schema(schema) if schema is not None else r.option("inferSchema", "true")
         df = r.csv(root)
     else:
         raise ValueError(f"unsupported period file format {fmt!r}")
-    data = [c for c in df.columns if c not in ("year_num", "week_num")]
-    y, w = _period_from_path(F.col("_metadata.file_path"), fmt)
+    if "__file_path" in df.columns:
+        path_col = F.col("__file_path")
+    else:
+        path_col = F.col("_metadata.file_path")
+    data = [c for c in df.columns if c not in ("year_num", "week_num", "__file_path")]
+    y, w = _period_from_path(path_col, fmt)
     out = df.select(*[F.col(f"`{c}`") for c in data], y.alias("year_num"), w.alias("week_num"))
     out = out.where(F.col("year_num").isNotNull() & F.col("week_num").isNotNull())
     if year is not None:
