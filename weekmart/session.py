@@ -53,14 +53,14 @@ def build_session(master: str | None = "local[8]", app: str = "weekmart",
 
 
 def _checkpoint_root(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared checkpoint folder; also makes sure ``checkpoint()`` can use it."""
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        # Unset only in local tests: take a private folder and register it,
-        # so checkpoint() and our written tables share one place.
+        # Unset only in local tests: take a private folder.
         root = tempfile.mkdtemp(prefix="weekmart-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 

@@ -41,25 +41,37 @@ def observed_rows(obs: Observation) -> int:
         return 0
 
 
-def fan_out(df: DataFrame, sinks: list, spark: SparkSession | None = None) -> DataFrame:
-    """Load one result into several sinks.  The result is persisted once
-    (memory, spilling to disk; recomputed from lineage if an executor is
-    lost).  A failing sink is recorded and skipped; the others go on.
-    Returns (sink, status, rows, error), one row per sink instance."""
+def fan_out(df: DataFrame, sinks: list, spark: SparkSession | None = None,
+            materialize: str = "checkpoint") -> DataFrame:
+    """Load one result into several sinks.  A failing sink is recorded and
+    skipped; the others go on.  Returns (sink, status, rows, error), one row
+    per sink instance.
+
+    With more than one sink the result is computed once: by default it is
+    checkpointed into the shared ``spark.checkpoint.dir`` (lineage cut, so a
+    lost executor costs a re-read, not a re-run of the whole summary);
+    ``materialize="persist"`` keeps it in executor memory/disk instead."""
     spark = spark or df.sparkSession
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    source, cached = df, None
+    if len(sinks) > 1 and materialize == "checkpoint":
+        from weekmart.session import _checkpoint_root
+        _checkpoint_root(spark)          # sets a private folder only when unset
+        source = df.checkpoint(eager=True)
+    elif len(sinks) > 1 and materialize == "persist":
+        source = cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     statuses = []
     try:
         for sink in sinks:
             name = getattr(sink, "name", type(sink).__name__)
             try:
-                rows = sink.upsert(cached)
+                rows = sink.upsert(source)
                 statuses.append((name, "ok", int(rows), None))
             except Exception as e:  # noqa: BLE001 - isolate the failing sink
                 log.warning("sink %s failed: %s", name, e)
                 statuses.append((name, "error", 0, f"{type(e).__name__}: {str(e)[:300]}"))
     finally:
-        cached.unpersist()
+        if cached is not None:
+            cached.unpersist()
     return spark.createDataFrame(statuses, STATUS_SCHEMA)
 
 
