@@ -35,3 +35,26 @@ def test_summary_aggregates_before_the_shuffle(spark):
     assert "partial_sum" in text
     # the scan reads only the columns the summary needs
     assert "l_comment" not in text
+
+
+def test_layout_join_needs_no_shuffle_and_prunes_weeks(spark, scratch):
+    from weekmart.plans.layout import build_sales_layout
+    db = "wm_layout_" + scratch.rsplit("-", 1)[-1]
+    src = build_sales_layout(spark, SF_SMALL, db, f"{scratch}/layout", buckets=4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cube = sales_cube(spark, src, dims=["Agents_hybrid[name]"])
+        text = plan_text(cube.base)
+        assert "SortMergeJoin" in text
+        assert "Exchange hashpartitioning(l_orderkey" not in text
+        assert "Exchange hashpartitioning(o_orderkey" not in text
+        weeks = P.last_quarter(spark, dt.date(2000, 3, 15))
+        pruned = plan_text(weekly_summary(spark, src, periods=weeks))
+        assert "PartitionFilters: [isnotnull(year_num" in pruned or "PartitionFilters: [((year_num" in pruned
+        # same rows as the plain-file source
+        a = weekly_summary(spark, src, periods=weeks)
+        b = weekly_summary(spark, SF_SMALL, periods=weeks)
+        assert a.count() == b.count() and a.exceptAll(b).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -123,6 +123,10 @@ def measures() -> list[Measure]:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A source table: ``<dir>/<name>.parquet``, or ``<db>.<name>`` when the
+    source is ``catalog:<db>`` (the layout written by plans.layout)."""
+    if sf_dir.startswith("catalog:"):
+        return spark.table(f"`{sf_dir.removeprefix('catalog:')}`.`{name}`")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -146,7 +150,10 @@ def inline_dimensions(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
 
 def order_dimension(spark: SparkSession, sf_dir: str,
                     max_broadcast_rows: int | None = None) -> DataFrame:
-    """orders -> customer -> nation collapsed into one order-keyed arm."""
+    """orders -> customer -> nation collapsed into one order-keyed arm (read
+    as is from a layout source, where it is stored bucketed by order key)."""
+    if sf_dir.startswith("catalog:"):
+        return spark.table(f"`{sf_dir.removeprefix('catalog:')}`.`order_dim`")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     customer = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
@@ -186,7 +193,7 @@ def sales_cube(spark: SparkSession, sf_dir: str, fact: DataFrame | None = None,
     need_promo = any(d.startswith("Promo[") for d in dims)
 
     li = fact if fact is not None else read_table(spark, sf_dir, "lineitem")
-    li = li.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+    li = li.drop("year_num", "week_num").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                    "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
                    "l_linestatus", "l_shipdate")
     part = read_table(spark, sf_dir, "part").select(
