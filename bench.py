@@ -4,8 +4,10 @@
 
 Each query is run to completion with the ``noop`` sink (full computation,
 nothing collected).  ``upsert_rows_per_sec`` is the rate through the
-idempotent period upsert of the full weekly summary -- the one figure the
-reference publishes a claim for (bulk load, 50-100 thousand rows/s).
+idempotent period upsert of the full weekly summary, computing it included;
+``load_rows_per_sec`` loads the same rows already materialised -- the one
+figure the reference publishes a claim for (bulk load, 50-100 thousand
+rows/s).
 """
 
 from __future__ import annotations
@@ -70,11 +72,20 @@ def main() -> None:
     up = time.perf_counter() - t0
     timings["upsert_weekly_sales"] = round(up, 3)
 
+    # Load only: the same rows already materialised (checkpointed, untimed),
+    # then upserted into a fresh table -- the figure a bulk-load claim means.
+    ready = weekly_summary(spark, SF_DIR).checkpoint(eager=True)
+    t0 = time.perf_counter()
+    loaded = _table(spark, "bench_load").upsert(ready)
+    load = time.perf_counter() - t0
+    timings["load_weekly_sales"] = round(load, 3)
+
     total = round(sum(timings.values()), 3)
     print(json.dumps({
         "metric": "total_headline_sec", "value": total, "unit": "sec",
         "queries": timings, "sf": _sf(SF_DIR), "cpus": CPUS,
         "upsert_rows": rows, "upsert_rows_per_sec": round(rows / up, 1) if up else None,
+        "load_rows_per_sec": round(loaded / load, 1) if load else None,
     }, ensure_ascii=False))
     spark.stop()
 

@@ -21,3 +21,18 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "Реалізація_грн" in df.columns and "year_num" in df.columns
+
+
+def test_queries_hold_under_a_foreign_session(spark):
+    """The driver's session may differ: another time zone, ANSI off."""
+    conf = spark.conf
+    saved = {k: conf.get(k) for k in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled")}
+    conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        keys = ["weekly_sales", "period_filter", "with_period", "text_to_serial", "coerce_types"]
+        res = check(spark, SF_SMALL, keys, verbose=False)
+        assert all(v.get("hash_match") for v in res.values()), res
+    finally:
+        for k, v in saved.items():
+            conf.set(k, v)

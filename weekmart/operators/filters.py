@@ -60,8 +60,10 @@ def date_range(df: DataFrame, date_col: str, lo: _dt.date, hi: _dt.date) -> Data
     dtype = df.schema[date_col].dataType
     end = hi + _dt.timedelta(days=1)
     if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
-        a = F.lit(_dt.datetime.combine(lo, _dt.time())).cast(dtype)
-        b = F.lit(_dt.datetime.combine(end, _dt.time())).cast(dtype)
+        # Text literals cast to the column's type: no trip through the
+        # Python process's time zone.
+        a = F.lit(f"{lo.isoformat()} 00:00:00").cast(dtype)
+        b = F.lit(f"{end.isoformat()} 00:00:00").cast(dtype)
     else:
         a, b = F.lit(lo), F.lit(end)
     c = F.col(date_col)
