@@ -699,3 +699,21 @@ def q_distinct_keys(spark, sf):
     dims = ["Goods[fg1_name]", "Price_types[name]"]
     cube = sales_cube(spark, sf, dims=dims)
     return to_sink_form(summarize(cube.base, dims, []))
+
+
+# -- §3.1: one whole run (periods -> summary -> sinks -> manifest) -------------
+
+@register("weekly_export_run", f"""WITH wanted AS ({O.semi_available(_LQ_WEEKS)}),
+  res AS ({O.summary_sql()}),
+  c AS (SELECT year_num, week_num, COUNT(*) AS n FROM res GROUP BY 1, 2)
+  SELECT w.year_num, w.week_num, printf('%d-%02d', w.year_num, w.week_num) AS period,
+    COALESCE(c.n, 0) AS row_count FROM wanted w LEFT JOIN c
+    ON w.year_num = c.year_num AND w.week_num = c.week_num""")
+def q_weekly_export_run(spark, sf):
+    from weekmart.run import run_weekly_export
+    spec = ExportSpec(fmt="table", sinks=[_table(spark, "run")])
+    run = run_weekly_export(spark, sf, AS_OF, None, P.PeriodSpec(rule="last-quarter"), spec=spec)
+    bad = run.sinks.where(F.col("status") != "ok").count()
+    if bad:
+        raise AssertionError("a sink failed")
+    return run.manifest
