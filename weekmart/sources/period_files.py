@@ -106,6 +106,46 @@ def _csv_by_header(spark: SparkSession, root: str, sep: str, ext: str = "csv") -
     return out
 
 
+def _footers(batches):
+    """mapInPandas body: row count and schema text from each Parquet
+    footer (the file's data pages are not read)."""
+    import pandas as pd
+    import pyarrow.parquet as pq
+    from pyarrow import fs as pafs
+
+    for pdf in batches:
+        rows, schemas = [], []
+        for path in pdf["path"]:
+            try:
+                f, p = pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") \
+                    else (pafs.LocalFileSystem(), path)
+                with f.open_input_file(p) as h:
+                    meta = pq.ParquetFile(h).metadata
+                    rows.append(meta.num_rows)
+                    schemas.append(meta.schema.to_arrow_schema().to_string(show_schema_metadata=False))
+            except Exception:  # noqa: BLE001 - unreadable: treated as empty
+                rows.append(0)
+                schemas.append(None)
+        yield pd.DataFrame({"path": pdf["path"], "num_rows": rows, "schema": schemas})
+
+
+def _parquet_by_schema(spark: SparkSession, root: str) -> DataFrame | None:
+    """Second reader for Parquet sets whose schemas cannot be merged (for
+    example an empty week file typed without values): files without rows
+    are skipped, the rest are read per schema group and combined by name."""
+    listing = period_files(spark, root, "parquet").select("path")
+    info = listing.mapInPandas(_footers, "path string, num_rows long, schema string")
+    groups: dict[str, list[str]] = {}
+    for r in info.where(F.col("num_rows") > 0).collect():
+        groups.setdefault(r["schema"], []).append(r["path"])
+    out = None
+    for paths in groups.values():
+        part = spark.read.parquet(*paths)
+        part = part.select("*", F.col("_metadata.file_path").alias("__file_path"))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
 def read_period_files(spark: SparkSession, root: str, fmt: str = "csv",
                       schema: T.StructType | str | None = None, sep: str = ";",
                       year: int | None = None, week: int | None = None,
@@ -120,7 +160,12 @@ def read_period_files(spark: SparkSession, root: str, fmt: str = "csv",
         r = r.option("mergeSchema", "true")
         if schema is not None:
             r = r.schema(schema)
-        df = r.parquet(root)
+        try:
+            df = r.parquet(root)
+        except Exception:  # noqa: BLE001 - first reader failed: second reader
+            df = _parquet_by_schema(spark, root)
+            if df is None:
+                return spark.createDataFrame([], "year_num int, week_num int")
     elif fmt == "csv" and schema is None and header:
         df = _csv_by_header(spark, root, sep)
         if df is None:
