@@ -98,3 +98,31 @@ def test_rules_match_python_isocalendar(spark, as_of):
     month = [first + dt.timedelta(days=i) for i in range((nxt - first).days)]
     assert pairs(P.current_month(spark, as_of)) == py_weeks(month)
     assert pairs(P.last_weeks(spark, as_of, 5)) == py_weeks([as_of - dt.timedelta(weeks=i) for i in range(5)])
+
+
+def _all_weeks(y0, y1):
+    out = []
+    for y in range(y0, y1 + 1):
+        for w in range(1, 54):
+            try:
+                dt.date.fromisocalendar(y, w, 1)
+            except ValueError:
+                continue
+            out.append((y, w))
+    return out
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.integers(2018, 2022), st.integers(1, 53), st.integers(0, 120))
+def test_range_matches_brute_force(spark, y, w, span):
+    as_of = dt.date(2021, 6, 1)
+    weeks = _all_weeks(2017, 2023)
+    start = (y, w)
+    end_idx = min(len(weeks) - 1, next((i for i, p in enumerate(weeks) if p >= start), 0) + span)
+    end = weeks[end_idx]
+    label = lambda p: f"{p[0]}-{p[1]:02d}"
+    got = pairs(P.period_range(spark, label(start), label(end), as_of))
+    if start > end or start[0] < as_of.year - 3 or end[0] > as_of.year + 1:
+        assert got == []
+    else:
+        assert got == [p for p in weeks if start <= p <= end]
