@@ -107,12 +107,14 @@ class JdbcSink:
         w.save()
         return observed_rows(obs)
 
-    def upsert(self, df: DataFrame) -> int:
-        """Delete every period the frame holds, then append its rows.  The
-        period list is bounded (one row per week), so it is collected."""
+    def upsert(self, df: DataFrame, periods=None) -> int:
+        """Delete every period the frame holds, then append its rows.
+        ``periods`` (the run's period list) spares a distinct pass over the
+        frame; without it the bounded list of periods present is collected."""
         from weekmart.operators.filters import collect_periods
         self.setup(df)
-        for y, w in collect_periods(df.select(*KEYS).distinct()):
+        pairs = collect_periods(periods if periods is not None else df.select(*KEYS).distinct())
+        for y, w in pairs:
             self.delete_period(y, w)
         return self.insert(df)
 
