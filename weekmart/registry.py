@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from weekmart import oracle_sql as O
 from weekmart.functions.dates import (
-    date_serial, iso_week, iso_year, parse_period_label, period_label, week_exists, week_monday,
+    date_serial, parse_period_label, period_label, week_exists, week_monday,
 )
 from weekmart.functions.names import bare_names
 from weekmart.functions.values import (
