@@ -36,6 +36,11 @@ def test_reference_layout_listing_and_backfill(spark, scratch):
     st = {(r.year_num, r.week_num): (r.rows, r.status) for r in backfill(spark, root, t, "parquet").collect()}
     assert st == {(2024, 52): (2, "ok"), (2025, 1): (0, "empty"), (2025, 2): (1, "ok")}
     assert t.read().count() == 3
+    # an empty week file leaves that period's old rows alone and reports 'empty'
+    t.upsert(spark.createDataFrame([("old", 5.0, 2025, 1)], "name string, qty double, year_num int, week_num int"))
+    st = {(r.year_num, r.week_num): (r.rows, r.status) for r in backfill(spark, root, t, "parquet").collect()}
+    assert st[(2025, 1)] == (0, "empty")
+    assert t.read().count() == 4
 
 
 def test_csv_export_quoting_and_compression(spark, scratch):
