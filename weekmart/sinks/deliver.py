@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import io
 import json
-import os
 import time
 import urllib.error
 import urllib.request
@@ -26,6 +25,14 @@ RETRIES = 3
 RETRY_STATUS = {429}  # plus every 5xx
 
 
+def _filesystem(location: str):
+    """(pyarrow filesystem, path) for a local path, file: URI or remote URI."""
+    from pyarrow import fs as pafs
+    if "://" in location:
+        return pafs.FileSystem.from_uri(location)
+    return pafs.LocalFileSystem(), location.removeprefix("file:")
+
+
 class TransportError(Exception):
     def __init__(self, status: int | None, message: str):
         super().__init__(f"HTTP {status}: {message}" if status else message)
@@ -55,20 +62,25 @@ def send_with_retry(transport, key: str, payload: bytes, retries: int = RETRIES,
 
 
 class DirectoryTransport:
-    """Drops each payload as ``<dir>/<key>.parquet`` (write, then rename, so
-    a re-sent key replaces the file whole)."""
+    """Drops each payload as ``<dir>/<key>.parquet`` through a pyarrow
+    filesystem (local, HDFS or object store): written under a temporary
+    name, then moved into place, so a re-sent key replaces the file whole."""
 
     def __init__(self, directory: str):
-        self.directory = directory.removeprefix("file:")
+        self.directory = directory.rstrip("/")
+
+    def _fs(self):
+        return _filesystem(self.directory)
 
     def send(self, key: str, payload: bytes) -> int:
         import pyarrow.parquet as pq
-        path = os.path.join(self.directory, key + ".parquet")
-        os.makedirs(os.path.dirname(path), exist_ok=True)
+        fs, base = self._fs()
+        path = f"{base}/{key}.parquet"
+        fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
         tmp = f"{path}.{uuid.uuid4().hex}.tmp"
-        with open(tmp, "wb") as fh:
-            fh.write(payload)
-        os.replace(tmp, path)
+        with fs.open_output_stream(tmp) as out:
+            out.write(payload)
+        fs.move(tmp, path)
         return pq.read_metadata(io.BytesIO(payload)).num_rows
 
 
@@ -170,9 +182,10 @@ class DeliveryWriter(DataSourceArrowWriter):
         receipts = [r for m in messages if m is not None for r in m.receipts]
         log = self.options.get("receipts")
         if log:
-            os.makedirs(os.path.dirname(log.removeprefix("file:")), exist_ok=True)
-            with open(log.removeprefix("file:"), "w") as fh:
-                json.dump(receipts, fh)
+            fs, path = _filesystem(log)
+            fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
+            with fs.open_output_stream(path) as out:
+                out.write(json.dumps(receipts).encode())
 
     def abort(self, messages):
         pass
@@ -217,11 +230,12 @@ class DeliverySink:
     upsert = insert
 
     def receipts(self) -> list[dict]:
-        path = self.options.get("receipts")
-        if not path:
+        log = self.options.get("receipts")
+        if not log:
             return []
-        with open(path.removeprefix("file:")) as fh:
-            return json.load(fh)
+        fs, path = _filesystem(log)
+        with fs.open_input_stream(path) as fh:
+            return json.loads(fh.read())
 
     def close(self) -> None:
         pass
