@@ -717,3 +717,15 @@ def q_weekly_export_run(spark, sf):
     if bad:
         raise AssertionError("a sink failed")
     return run.manifest
+
+
+# -- storage layout: the same quarter read from the week-partitioned, ----------
+# -- order-key-bucketed layout (partition pruning, shuffle-free order join) ----
+
+@register("period_filter_layout", O.summary_sql(where=O.in_periods(_quarter_sql(*_LAST_Q))))
+def q_period_filter_layout(spark, sf):
+    from weekmart.plans.layout import build_sales_layout
+    d = scratch_dir(spark, "layout")
+    src = build_sales_layout(spark, sf, f"wm_layout_{d.rsplit('-', 1)[-1]}", d, buckets=4)
+    wanted = P.keep_available(P.last_quarter(spark, AS_OF), _avail(spark, src))
+    return weekly_summary(spark, src, periods=wanted)
