@@ -94,11 +94,14 @@ def _csv_by_header(spark: SparkSession, root: str, sep: str, ext: str = "csv") -
     header (few distinct layouts), each group is read with its own header,
     and the groups are combined by column name (absent columns -> null,
     types widened)."""
-    groups: dict[str, list[str]] = {}
-    for r in csv_headers(spark, root, ext).where(F.col("header") != "").collect():
-        groups.setdefault(r["header"], []).append(r["path"])
+    # Grouped on the executors: each distinct header reaches the driver once,
+    # with the paths the reader needs anyway.
+    groups = (csv_headers(spark, root, ext).where(F.col("header") != "")
+              .groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+              .collect())
     out = None
-    for paths in groups.values():
+    # Groups in order of their first file, so column order is stable.
+    for paths in sorted((r["paths"] for r in groups), key=lambda ps: ps[0]):
         part = (spark.read.option("header", "true").option("sep", sep)
                 .option("inferSchema", "true").csv(paths))
         part = part.select("*", F.col("_metadata.file_path").alias("__file_path"))
@@ -135,11 +138,12 @@ def _parquet_by_schema(spark: SparkSession, root: str) -> DataFrame | None:
     are skipped, the rest are read per schema group and combined by name."""
     listing = period_files(spark, root, "parquet").select("path")
     info = listing.mapInPandas(_footers, "path string, num_rows long, schema string")
-    groups: dict[str, list[str]] = {}
-    for r in info.where(F.col("num_rows") > 0).collect():
-        groups.setdefault(r["schema"], []).append(r["path"])
+    groups = (info.where(F.col("num_rows") > 0)
+              .groupBy("schema").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+              .collect())
     out = None
-    for paths in groups.values():
+    # Groups in order of their first file, so column order is stable.
+    for paths in sorted((r["paths"] for r in groups), key=lambda ps: ps[0]):
         part = spark.read.parquet(*paths)
         part = part.select("*", F.col("_metadata.file_path").alias("__file_path"))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
