@@ -24,3 +24,27 @@ def test_incremental_load_replaces_periods(spark, scratch):
     q.awaitTermination()
     got = sorted((r.week_num, r.name) for r in t.read().collect())
     assert got == [(1, "c"), (2, "d")]
+
+
+def test_period_split_over_batches_keeps_all_its_files(spark, scratch):
+    # Hive layout: week 2025-03 is two part files; one file per trigger puts
+    # them in different batches of the same run.
+    src = scratch.removeprefix("file:") + "/hive"
+    d3, d4 = f"{src}/year_num=2025/week_num=3", f"{src}/year_num=2025/week_num=4"
+    os.makedirs(d3, exist_ok=True)
+    os.makedirs(d4, exist_ok=True)
+    pd.DataFrame({"name": ["a"], "qty": [1.0]}).to_csv(f"{d3}/part-0.csv", sep=";", index=False)
+    pd.DataFrame({"name": ["b"], "qty": [2.0]}).to_csv(f"{d3}/part-1.csv", sep=";", index=False)
+    pd.DataFrame({"name": ["c"], "qty": [3.0]}).to_csv(f"{d4}/part-0.csv", sep=";", index=False)
+    t = TableSink(spark, "t_split_" + scratch.rsplit("-", 1)[-1], location=f"{scratch}/ts")
+    ck = scratch_dir(spark, "ck")
+    q = stream_load(spark, src, t, ck, "name string, qty double", "csv", max_files_per_trigger=1)
+    q.awaitTermination()
+    got = sorted((r.week_num, r.name) for r in t.read().collect())
+    assert got == [(3, "a"), (3, "b"), (4, "c")]
+    # a later run that re-delivers week 3 replaces it
+    pd.DataFrame({"name": ["z"], "qty": [9.0]}).to_csv(f"{d3}/part-2.csv", sep=";", index=False)
+    q = stream_load(spark, src, t, ck, "name string, qty double", "csv", max_files_per_trigger=1)
+    q.awaitTermination()
+    got = sorted((r.week_num, r.name) for r in t.read().collect())
+    assert got == [(3, "z"), (4, "c")]

@@ -7,6 +7,13 @@ upsert (dynamic partition overwrite, idempotent if a batch is replayed
 after a failure) -> ``Trigger.AvailableNow`` so a scheduled run takes
 everything new and stops.  Two files of one period in one batch land
 together; in different batches the later batch wins.
+
+With ``max_files_per_trigger`` one run is cut into several batches, and
+the files of one period (the part files of a ``year_num=/week_num=``
+directory) can fall into different batches.  Within an ``AvailableNow``
+run the first batch that carries a period replaces it and later batches
+of the same run append to it, so the run -- not the batch -- is the unit
+that replaces a period.
 """
 
 from __future__ import annotations
@@ -15,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weekmart.operators.filters import period_key
 from weekmart.sources.period_files import _period_from_path
 
 
@@ -41,10 +49,22 @@ def stream_load(spark: SparkSession, root: str, sink, checkpoint: str,
     """Start the load; with ``available_now`` it runs to the end of the
     files present and stops.  Returns the StreamingQuery."""
     stream = period_stream(spark, root, schema, fmt, sep, max_files_per_trigger)
+    split_run = available_now and bool(max_files_per_trigger)
+    replaced: set[tuple[int, int]] = set()   # periods this run has replaced
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
         b = clean(batch) if clean is not None else batch
-        sink.upsert(b)
+        if not split_run:
+            sink.upsert(b)
+            return
+        # The batch's periods: bounded by the files of one trigger.
+        keys = {(r[0], r[1]) for r in b.select("year_num", "week_num").distinct().collect()}
+        seen = period_key().isin(sorted(y * 100 + w for y, w in keys & replaced))
+        if keys - replaced:
+            sink.upsert(b.where(~seen))
+        if keys & replaced:
+            sink.insert(b.where(seen))
+        replaced.update(keys)
 
     w = stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
