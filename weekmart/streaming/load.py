@@ -13,7 +13,10 @@ the files of one period (the part files of a ``year_num=/week_num=``
 directory) can fall into different batches.  Within an ``AvailableNow``
 run the first batch that carries a period replaces it and later batches
 of the same run append to it, so the run -- not the batch -- is the unit
-that replaces a period.
+that replaces a period.  The set of replaced periods lives in the
+driver for one run: if a run dies between two batches of a split period,
+the restarted run replaces that period again from the replayed batch, so
+re-load the affected periods with the batch back-load after such a failure.
 """
 
 from __future__ import annotations
