@@ -65,6 +65,31 @@ class JdbcSink:
         finally:
             conn.close()
 
+    def _execute_batch(self, sql: str, rows: list[tuple]) -> None:
+        """One prepared statement, every parameter row in one batch and one
+        transaction: a run's period deletes cost one connection, not one
+        per period, and either all of them happen or none."""
+        if not rows:
+            return
+        conn = self._connection()
+        try:
+            conn.setAutoCommit(False)
+            st = conn.prepareStatement(sql)
+            try:
+                for params in rows:
+                    for i, p in enumerate(params, 1):
+                        st.setObject(i, p)
+                    st.addBatch()
+                st.executeBatch()
+                conn.commit()
+            except Exception:
+                conn.rollback()
+                raise
+            finally:
+                st.close()
+        finally:
+            conn.close()
+
     def schema(self) -> T.StructType | None:
         try:
             r = self.spark.read.format("jdbc").option("url", self.url).option("dbtable", self.table)
@@ -114,8 +139,10 @@ class JdbcSink:
         from weekmart.operators.filters import collect_periods
         self.setup(df)
         pairs = collect_periods(periods if periods is not None else df.select(*KEYS).distinct())
-        for y, w in pairs:
-            self.delete_period(y, w)
+        have = self._schema or self.schema()
+        if have is not None and all(k in have.fieldNames() for k in KEYS):
+            self._execute_batch(delete_period_sql(self.table, self.dialect),
+                                [(int(y), int(w)) for y, w in pairs])
         return self.insert(df)
 
     def close(self) -> None:
