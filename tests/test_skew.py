@@ -73,3 +73,22 @@ def test_hot_period_is_written_by_several_tasks(spark, scratch):
         files = [f for f in os.listdir(hot_dir) if f.endswith(".parquet")]
         assert len(files) > 1
         assert t.read().count() == df.count()
+
+
+def test_hot_group_is_combined_before_the_shuffle(spark):
+    from weekmart.plans.summary import summarize
+    fact = hot_fact(spark)
+    out = summarize(fact, ["year_num", "week_num"], [("qty", F.sum("l_quantity"))])
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        out.explain()
+    text = buf.getvalue()
+    # map-side combine first: a task sends one row per group, however hot
+    assert text.index("Exchange hashpartitioning(year_num") < text.index("partial_sum(l_quantity")
+    # brute force over the same rows
+    pdf = fact.select("year_num", "week_num", "l_quantity").toPandas()
+    want = {(int(y), int(w)): q for (y, w), q in pdf.groupby(["year_num", "week_num"])["l_quantity"].sum().items()}
+    got = {(r.year_num, r.week_num): r.qty for r in out.collect()}
+    assert got.keys() == want.keys()
+    assert all(abs(got[k] - want[k]) < 1e-6 for k in want)
+    assert want[(1999, 10)] > 0.3 * pdf["l_quantity"].sum()
