@@ -52,6 +52,15 @@ def test_layout_join_needs_no_shuffle_and_prunes_weeks(spark, scratch):
         weeks = P.last_quarter(spark, dt.date(2000, 3, 15))
         pruned = plan_text(weekly_summary(spark, src, periods=weeks))
         assert "PartitionFilters: [isnotnull(year_num" in pruned or "PartitionFilters: [((year_num" in pruned
+        # one file per (week, bucket) group, not one per group per scan task
+        import glob
+        from pyspark.sql import functions as F
+        from weekmart.plans.sales_cube import read_table
+        files = glob.glob(f"{scratch.removeprefix('file:')}/layout/lineitem/year_num=*/week_num=*/*.parquet")
+        groups = (spark.table(f"`{db}`.`lineitem`")
+                  .select("year_num", "week_num", F.expr("pmod(hash(l_orderkey), 4)")).distinct().count())
+        assert len(files) == groups
+        assert spark.table(f"`{db}`.`lineitem`").count() == read_table(spark, SF_SMALL, "lineitem").count()
         # same rows as the plain-file source
         a = weekly_summary(spark, src, periods=weeks)
         b = weekly_summary(spark, SF_SMALL, periods=weeks)
