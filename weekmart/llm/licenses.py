@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from weekmart.llm.storage import stored
 from weekmart.llm.text import alnum_words
 
 K = 2
@@ -62,9 +63,9 @@ def template_positions(spark: SparkSession, base: Sequence, templates: Sequence)
         if not 0 < len(grams) <= MAX_GRAMS:
             raise ValueError(f"a template needs {K} to {MAX_GRAMS + K - 1} words: {text!r}")
         rows += [(g, i, label, i < len(base), j, len(grams)) for j, g in enumerate(grams)]
-    df = spark.createDataFrame(
-        rows, "t_gram string, template int, label string, is_base boolean, at int, grams int")
-    df = df.withColumn("t_hash", F.xxhash64("t_gram"))
+    names = ("t_gram", "template", "label", "is_base", "at", "grams")
+    literals = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows]
+    df = spark.range(1).select(F.inline(F.array(*literals))).withColumn("t_hash", F.xxhash64("t_gram"))
     return F.broadcast(df) if len(rows) <= BROADCAST_POSITIONS else df
 
 
@@ -108,7 +109,7 @@ def spans(voted: DataFrame) -> DataFrame:
 def license_report(docs: DataFrame, base: Sequence = BASE_PHRASES,
                    templates: Sequence = TEMPLATES) -> DataFrame:
     """One row per document: base places and labels, all labels, best score."""
-    found = spans(votes(docs, template_positions(docs.sparkSession, base, templates)))
+    found = spans(stored(votes(docs, template_positions(docs.sparkSession, base, templates))))
     is_base = F.col("is_base")
     first = F.when(is_base, F.col("first_word").cast("long"))
     by_doc = found.groupBy(F.col("doc_id").alias("s_id"), F.col("doc_hash").alias("s_hash")).agg(

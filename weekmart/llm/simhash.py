@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weekmart.llm.storage import stored
@@ -91,25 +91,20 @@ def _mask(bits: list[int]) -> int:
     return m - (1 << 64) if m >= 1 << 63 else m
 
 
-def _bit(b: int) -> Column:
-    return F.lit(_mask([b]))
-
-
 def variants(fps: DataFrame, parts: list[list[int]]) -> DataFrame:
     """``fps`` exploded to its index rows: slot, masked bits and side.  Side 0
     and 1 hold a wildcard variant's deleted bit; exact segments go to both."""
-    rows = []
+    kinds = []
     for s, part in enumerate(parts):
-        whole = F.col("fp").bitwiseAND(F.lit(_mask(part)))
-        rows.append(F.struct(F.lit(s * 100 + BITS).alias("slot"), whole.alias("masked"),
-                             F.lit(None).cast("int").alias("side")))
-        for b in part:
-            rest = F.lit(_mask([x for x in part if x != b]))
-            rows.append(F.struct(
-                F.lit(s * 100 + b).alias("slot"), F.col("fp").bitwiseAND(rest).alias("masked"),
-                F.when(F.col("fp").bitwiseAND(_bit(b)) != 0, 1).otherwise(0).alias("side")))
-    return fps.select("*", F.explode(F.array(*rows)).alias("v")).select(
-        *fps.columns, "v.slot", "v.masked", "v.side")
+        kinds.append((s * 100 + BITS, _mask(part), 0))
+        kinds += [(s * 100 + b, _mask([x for x in part if x != b]), _mask([b])) for b in part]
+    table = F.array(*[F.struct(F.lit(slot).alias("slot"), F.lit(keep).cast("bigint").alias("keep"),
+                               F.lit(bit).cast("bigint").alias("bit")) for slot, keep, bit in kinds])
+    rows = fps.select("*", F.explode(table).alias("k"))
+    fp, bit = F.col("fp"), F.col("k.bit")
+    side = F.when(bit != 0, F.when(fp.bitwiseAND(bit) != 0, 1).otherwise(0))
+    return rows.select(*fps.columns, "k.slot", fp.bitwiseAND(F.col("k.keep")).alias("masked"),
+                       side.alias("side"))
 
 
 def _meet(index: DataFrame, keys: list[str], max_bits: int) -> DataFrame:
@@ -132,6 +127,8 @@ def links(fps: DataFrame, max_bits: int = 3, hot: int = HOT_BUCKET) -> DataFrame
         .select("slot", "masked").transform(stored)
     plain = index.join(big, ["slot", "masked"], "left_anti")
     found = _meet(plain, ["slot", "masked"], max_bits)
+    if not big.take(1):
+        return found
     crowded = index.join(big, ["slot", "masked"], "left_semi").select(
         "fp", F.col("slot").alias("slot1"), F.col("masked").alias("masked1"),
         F.col("side").alias("side1"))

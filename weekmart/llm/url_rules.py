@@ -76,9 +76,8 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT,
     baskets = labelled.select(F.concat(
         tokens(F.col("url")), F.when(F.col("bad"), F.array(F.lit(BAD)))
         .otherwise(F.array().cast("array<string>"))).alias("items")).where(F.size("items") > 0)
-    empty = spark.createDataFrame([], "rule_id bigint, tokens array<string>, confidence double")
     if not baskets.take(1):
-        return empty
+        return spark.range(0).selectExpr("id rule_id", "array('') tokens", "0.0D confidence")
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence) \
         .fit(baskets)
     rules = model.associationRules.where(F.array_contains("consequent", BAD)).select(
