@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import xxhash
 
@@ -99,8 +99,8 @@ def substring(docs, size=50):
 def quality(text):
     w = spaced(text)
     grams = [tuple(w[i:i + 3]) for i in range(len(w) - 2)]
-    covered = {j for i, g in enumerate(grams) if grams.count(g) > 1 for j in range(i, i + 3)} \
-        if len(set(grams)) < len(grams) else set()
+    times = Counter(grams)
+    covered = {j for i, g in enumerate(grams) if times[g] > 1 for j in range(i, i + 3)}
     lines = [x for x in (text or "").split("\n") if SPACE.search(x)]
     return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")),
             len(lines) - len(set(lines)), len(covered),

@@ -12,7 +12,7 @@ def docs(spark):
     real = spark.read.parquet(f"{SF}/documents.parquet")
     rng = random.Random(3)
     words = [f"w{i}" for i in range(400)]
-    long = " ".join(rng.choice(words) for _ in range(6000))
+    long = " ".join(rng.choice(words) for _ in range(1500))
     common = " ".join(f"shared{i}" for i in range(70))
     item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
     rows = [(9000, None), (9001, ""), (9002, " \t\n\x0b\x0c\r"), (9003, "one"), (9004, "Two words"),

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekmart.llm.text import free_name, lower_ascii
+from weekmart.llm.text import computed_once, free_name, lower_ascii
 
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string,score:double>>"
 MIN_SCORE = 0.6
@@ -142,7 +142,7 @@ def find_spans(docs: DataFrame, text: str = "text", out: str = "pii") -> DataFra
     base = F.lit(len(BASE_KINDS))
     merged = F.sort_array(F.filter(F.concat(*[F.col(n) for n in names]),
                                    lambda s: (s["rank"] < base) | (s["score"] >= MIN_SCORE)))
-    return df.withColumn(out, merged).drop(*names)
+    return df.withColumn(out, computed_once(merged)).drop(*names)
 
 
 def redacted(text: Column, spans: Column) -> Column:

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekmart.llm.text import SPACE_CHARS, free_name, lower_ascii, space_words
+from weekmart.llm.text import SPACE_CHARS, computed_once, free_name, lower_ascii, space_words
 
 # Frequent function words of the four corpus languages.
 STOP_WORDS = (
@@ -97,7 +97,7 @@ def quality_metrics(docs: DataFrame, text: str = "text") -> DataFrame:
         F.regexp_count(body, F.lit("!")).cast("long").alias("n_bangs"),
         F.size(F.col(ln)).cast("long").alias("n_lines"),
         stops.cast("long").alias("n_stop_words"))
-    return df.withColumn("quality", counts).drop(w, h, o, pos, ln, lw)
+    return df.withColumn("quality", computed_once(counts)).drop(w, h, o, pos, ln, lw)
 
 
 def _metric(name: str, q: Column) -> Column:

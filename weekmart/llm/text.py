@@ -35,6 +35,13 @@ def alnum_words(text: Column) -> Column:
         F.split(lower_ascii(F.coalesce(text, F.lit(""))), ALNUM_SEPARATORS), "")
 
 
+def computed_once(value: Column) -> Column:
+    """``value`` as a column that the optimizer neither copies into the filters
+    above it nor merges with other projections.  The partition number is what
+    makes it so; it does not change the value."""
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
 def free_name(columns: list[str], wanted: str) -> str:
     """``wanted``, prefixed with ``_`` until it clashes with no column."""
     taken = {c.lower() for c in columns}
