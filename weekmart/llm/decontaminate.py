@@ -35,6 +35,8 @@ from weekmart.llm.text import alnum_words
 WINDOW = 10
 MAX_TERMS_IN_TASK = 1_000_000  # vocabulary above this is joined, not sent to the tasks
 
+BROADCAST_DOCS = 500_000       # candidate documents sent to the postings; more are joined by shuffle
+
 # Lower-cased UTF-8: runs of bytes that are digits, a-z or non-ASCII.
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
@@ -143,7 +145,10 @@ def phrase_matches(postings: DataFrame, ranked: DataFrame) -> DataFrame:
         .select(*KEYS, "window_id", "size", "ranked", (F.col("p") - F.col("offset")).alias("start")) \
         .where("start >= 0")
     second = cand.where(size > 1).withColumn("term", F.col("ranked")[1]["term"])
-    met = _same_doc(second, postings.select(*KEYS, "term", "positions"), extra=("term",)).where(
+    # The vocabulary is bounded, so its terms can be sent to the postings.
+    terms = live.where(size > 1).select(F.col("ranked")[1]["term"].alias("term")).distinct()
+    listed = postings.join(F.broadcast(terms), "term", "left_semi")
+    met = _same_doc(second, listed.select(*KEYS, "term", "positions"), extra=("term",)).where(
         F.array_contains("positions", F.col("start") + F.col("ranked")[1]["offset"])) \
         .drop("positions", "term")
     met = stored(met)
@@ -153,7 +158,9 @@ def phrase_matches(postings: DataFrame, ranked: DataFrame) -> DataFrame:
         F.explode(F.slice("ranked", 3, WINDOW * 1000)).alias("r"))
     rest = rest.select(*KEYS, "window_id", "size", "start", F.col("r")["term"].alias("term"),
                        F.col("r")["offset"].alias("offset"))
-    wanted = met.select(*KEYS).distinct()
+    wanted = stored(met.select(*KEYS).distinct())
+    if wanted.count() <= BROADCAST_DOCS:
+        wanted = F.broadcast(wanted)
     narrow = _same_doc(postings.select(*KEYS, "term", "positions").where("term >= 0"), wanted,
                        "left_semi")
     held = _same_doc(rest, narrow, extra=("term",)).where(
