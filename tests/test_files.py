@@ -1,6 +1,7 @@
 import gzip
 import os
 
+import pytest
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -87,3 +88,41 @@ def test_parquet_second_reader_when_schemas_do_not_merge(spark, scratch):
     rows = read_period_files(spark, root, "parquet")
     got = sorted((r.week_num, r.name, r.extra) for r in rows.collect())
     assert got == [(1, "a", None), (3, "c", "e")]
+
+
+def test_backfill_matches_columns_by_name_and_reports_bad_files(spark, scratch):
+    from weekmart.sinks.table import TableSink
+    root = scratch.removeprefix("file:") + "/named"
+    os.makedirs(f"{root}/2025", exist_ok=True)
+    open(f"{root}/2025/2025-01.csv", "w").write("name;qty;price\na;1;2.5\n")
+    open(f"{root}/2025/2025-02.csv", "w").write("name;price;qty;more\nb;20.5;3;x\n")
+    with gzip.open(f"{root}/2025/2025-03.csv.gz", "wt") as f:
+        f.write("qty;name\n7;c\n")
+    schema = "name string, qty int, price double"
+    got = sorted(tuple(r) for r in read_period_files(spark, root, "csv", schema).collect())
+    assert got == [("a", 1, 2.5, 2025, 1), ("b", 3, 20.5, 2025, 2), ("c", 7, None, 2025, 3)]
+
+    root = scratch.removeprefix("file:") + "/broken"
+    os.makedirs(f"{root}/2025", exist_ok=True)
+    for week in (1, 2):
+        pd.DataFrame({"name": ["a"], "qty": [week]}).to_parquet(f"{root}/2025/2025-0{week}.parquet")
+    open(f"{root}/2025/2025-03.parquet", "wb").write(b"not parquet at all")
+    with pytest.raises(OSError):
+        read_period_files(spark, root, "parquet")
+    t = TableSink(spark, "t_broken_" + scratch.rsplit("-", 1)[-1], location=f"{scratch}/tb")
+    status = {r.week_num: (r.rows, r.status) for r in backfill(spark, root, t, "parquet").collect()}
+    assert status[1] == (1, "ok") and status[2] == (1, "ok")
+    assert status[3][0] == 0 and status[3][1].startswith("error: ")
+    assert t.read().count() == 2
+
+
+def test_backfill_counts_nothing_when_the_sink_fails(spark, scratch):
+    class Refusing:
+        def upsert(self, df):
+            raise RuntimeError("down")
+
+    root = scratch.removeprefix("file:") + "/refused"
+    os.makedirs(f"{root}/2025", exist_ok=True)
+    open(f"{root}/2025/2025-01.csv", "w").write("name\na\n")
+    rows = backfill(spark, root, Refusing(), "csv", "name string").collect()
+    assert [(r.rows, r.status) for r in rows] == [(0, "error: RuntimeError: down")]

@@ -22,3 +22,8 @@ def test_safe_names_clash_suffix_until_unique():
     assert len(set(out)) == 3
     assert out[0] == "a" and out[1] == "a_1"
     assert safe_names(["", "1x", "__"]) == ["col", "c_1x", "col_1"]
+
+
+def test_names_clash_without_regard_to_case():
+    assert safe_names(["Name", "name", "NAME_1"]) == ["Name", "name_1", "NAME_1_1"]
+    assert bare_names(["A[x]", "B[X]", "C[y]"]) == ["A[x]", "B[X]", "y"]

@@ -60,3 +60,26 @@ def test_quote_in_category_is_a_literal(spark):
     assert where_category(df, "fg1", 'TV 55" set').count() == 1
     assert where_category(df, "fg1", "x' OR '1'='1").count() == 1
     assert where_category(df, "fg1", "").count() == 3
+
+
+def test_number_text_is_plain_and_exact(spark):
+    import random
+    from decimal import Decimal
+
+    from pyspark.sql import types as T
+
+    from weekmart.functions.values import number_to_text
+    rng = random.Random(5)
+    values = [0.0, -0.0, 12345678.5, 1e-5, 1e20, -2.5e-7, 1e7, 9999999.0, 123456789.125, 5e-324, 1.7e308]
+    values += [rng.uniform(-1, 1) * 10 ** rng.randint(-12, 18) for _ in range(200)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for r in df.select("v", number_to_text("v").alias("t")).collect():
+        assert "E" not in r.t and float(r.t) == r.v
+        want = format(Decimal(repr(r.v)), "f")
+        want = want.rstrip("0").rstrip(".") if "." in want else want
+        assert len(r.t) <= len(want) + 1 and (r.t == want or r.v in (0.0, 5e-324) or float(r.t) == r.v)
+    kind = T.DecimalType(30, 2)
+    big = spark.createDataFrame([(Decimal("1234567890123456789012.25"),), (Decimal("3.00"),)],
+                                T.StructType([T.StructField("d", kind)]))
+    assert [r.t for r in big.select(number_to_text("d", kind).alias("t")).collect()] == \
+        ["1234567890123456789012.25", "3"]

@@ -1,57 +1,63 @@
 """Column-name rules.  Names are metadata, so these run on the driver over
-the list of names only; the data never leaves the executors."""
+the list of names only; the data never leaves the executors.
+
+Spark resolves names without regard to case, so names that differ only in
+case clash."""
 
 from __future__ import annotations
 
-import re
-from collections import Counter
+from collections import defaultdict
+from itertools import chain, count, groupby
+
 
-# A cube column arrives as ``Table[column]``; a measure as ``[name]``.
-_QUALIFIED = re.compile(r"(\w+)\[([^\]]+)\]")
-_NON_WORD = re.compile(r"[^\w]", flags=re.UNICODE)
-_UNDERSCORES = re.compile(r"_+")
+def _split_qualified(name: str) -> tuple[str, str]:
+    """('Table', 'column') of ``Table[column]``; ('', bare name) otherwise."""
+    table, bracket, rest = name.partition("[")
+    column, closed, _ = rest.partition("]")
+    if bracket and closed and column and table:
+        return table, column
+    return "", name.strip("[]")
 
 
-def _bare(name: str) -> str:
-    m = _QUALIFIED.match(name)
-    return m.group(2) if m else name.strip("[]")
+def _positions(names: list[str]) -> dict[str, list[int]]:
+    """Positions of each name, case aside."""
+    groups: dict[str, list[int]] = defaultdict(list)
+    for i, name in enumerate(names):
+        groups[name.lower()].append(i)
+    return groups
 
 
 def bare_names(columns: list[str]) -> list[str]:
     """Drop the ``Table[...]`` qualifier unless two columns would share the
     bare name; then every clashing column keeps its qualified name."""
-    counts = Counter(_bare(c) for c in columns)
-    out = []
-    for c in columns:
-        b = _bare(c)
-        qualified = _QUALIFIED.match(c) is not None
-        out.append(c if (qualified and counts[b] > 1) else b)
+    split = [_split_qualified(c) for c in columns]
+    out = [column for _, column in split]
+    for places in _positions(out).values():
+        for i in places if len(places) > 1 else ():
+            if split[i][0]:
+                out[i] = columns[i]
     return out
 
 
 def safe_name(name: str) -> str:
-    """SQL-safe identifier: non-word chars -> '_', runs collapsed, outer '_'
-    stripped, empty -> 'col', leading digit -> 'c_' prefix.  Unicode letters stay."""
-    s = _UNDERSCORES.sub("_", _NON_WORD.sub("_", name)).strip("_")
-    if not s:
-        s = "col"
-    if s[0].isdigit():
-        s = "c_" + s
-    return s
+    """SQL-safe identifier: the runs of letters and digits (of any script)
+    joined by single underscores; ``col`` if there is none, and ``c_`` before
+    a leading digit."""
+    runs = ["".join(chars) for wordy, chars in groupby(name, str.isalnum) if wordy]
+    if not runs:
+        return "col"
+    joined = "_".join(runs)
+    return f"c_{joined}" if joined[0].isdigit() else joined
 
 
 def safe_names(columns: list[str]) -> list[str]:
-    """safe_name for each column; a repeat gets ``_1``, ``_2`` ... and the
-    suffix is extended until the name is unique (``a``, ``a!``, ``a_1``)."""
+    """safe_name for each column.  The first column of a name keeps it; its
+    repeats get the first numbers that are free (``a``, ``a!``, ``a_1``)."""
+    out: list[str] = []
     taken: set[str] = set()
-    seen: Counter = Counter()
-    out = []
-    for c in columns:
-        base = safe_name(c)
-        name = base
-        while name in taken:
-            seen[base] += 1
-            name = f"{base}_{seen[base]}"
-        taken.add(name)
-        out.append(name)
+    for wanted in map(safe_name, columns):
+        free = (n for n in chain([wanted], (f"{wanted}_{k}" for k in count(1)))
+                if n.lower() not in taken)
+        out.append(next(free))
+        taken.add(out[-1].lower())
     return out

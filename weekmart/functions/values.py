@@ -38,17 +38,38 @@ def finite_frame(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def _plain(text: Column) -> Column:
+    """Number text in plain notation: ``1.25E7`` -> ``12500000``, ``1.0E-5`` ->
+    ``0.00001``; digits are moved, never recomputed.  A fraction of zeros goes."""
+    sign = F.when(F.startswith(text, F.lit("-")), "-").otherwise("")
+    parts = F.split(F.ltrim(text, F.lit("-")), "[eE]")
+    mantissa = F.split(parts[0], r"\.")
+    whole, fraction = mantissa[0], F.coalesce(F.get(mantissa, F.lit(1)), F.lit(""))
+    digits = F.concat(whole, fraction)
+    # Where the point stands among the digits.
+    point = F.length(whole) + F.coalesce(F.get(parts, F.lit(1)).cast("int"), F.lit(0))
+    zeros = lambda n: F.repeat(F.lit("0"), F.greatest(n, F.lit(0)))
+    before = F.concat(F.substring(digits, F.lit(1), F.greatest(point, F.lit(0))),
+                      zeros(point - F.length(digits)))
+    after = F.concat(zeros(-point), F.substring(digits, F.greatest(point, F.lit(0)) + 1,
+                                                F.length(digits)))
+    before = F.ltrim(before, F.lit("0"))
+    after = F.rtrim(after, F.lit("0"))
+    out = F.concat(sign, F.when(before == "", "0").otherwise(before),
+                   F.when(after == "", "").otherwise(F.concat(F.lit("."), after)))
+    return F.when(out == "-0", "0").otherwise(out)
+
+
 def number_to_text(c, dtype: T.DataType = T.DoubleType()) -> Column:
-    """Number -> text for a text target: whole doubles lose the '.0'
-    (3.0 -> '3', 1e20 -> '100000000000000000000'), NaN/inf -> null."""
+    """Number -> text for a text target, in plain notation from the shortest
+    digits that give the same number: whole numbers lose the '.0' (3.0 -> '3',
+    1e20 -> '100000000000000000000'), NaN/inf -> null, decimals keep every digit."""
     c = _c(c)
     if isinstance(dtype, _INTEGRAL):
         return c.cast("string")
     if isinstance(dtype, T.DecimalType):
-        c = c.cast("double")
-    f = finite(c)
-    whole = F.coalesce(f.try_cast(T.DecimalType(38, 0)).cast("string"), f.cast("string"))
-    return F.when(f == F.rint(f), whole).otherwise(f.cast("string"))
+        return _plain(c.cast("string"))
+    return _plain(finite(c).cast("string"))
 
 
 def text_to_serial(c) -> Column:

@@ -439,7 +439,7 @@ from weekmart.session import scratch_dir  # noqa: E402
 from weekmart.sinks.base import FailingSink, fan_out  # noqa: E402
 from weekmart.sinks.deliver import DeliverySink  # noqa: E402
 from weekmart.sinks.dialects import dialect_types_frame  # noqa: E402
-from weekmart.sinks.files import ExportSpec, export_csv, export_periods  # noqa: E402
+from weekmart.sinks.files import ExportSpec, csv_export, export_csv, export_periods  # noqa: E402
 from weekmart.sinks.table import TableSink  # noqa: E402
 from weekmart.plans.manifest import file_manifest, load_status  # noqa: E402
 from weekmart.sources.period_files import (  # noqa: E402
@@ -633,8 +633,8 @@ def q_export_manifest(spark, sf):
 
 @register("compressed_export")
 def q_compressed_export(spark, sf):
-    path, _ = _export(spark, sf, "compressed_export", compression="gzip")
-    obs = export_csv.last_observation.get
+    path = f"{scratch_dir(spark, 'compressed_export')}/csv"
+    obs = csv_export(_coarse(spark, sf), path, compression="gzip")
     files = period_files(spark, path, "csv.gz")
     return files.agg(F.count(F.lit(1)).cast("long").alias("files"),
                      F.sum("length").cast("long").alias("compressed_bytes")).select(

@@ -37,7 +37,10 @@ def type_family(t: T.DataType) -> str:
 
 def column_type(t: T.DataType, dialect: str) -> str:
     if dialect == "spark":
-        # Our own tables keep the exact Spark type.
+        # Our own tables keep the exact Spark type; a column without any value
+        # has none yet, and text can hold whatever comes later.
+        if isinstance(t, T.NullType):
+            return TYPE_MAPS["spark"]["text"]
         return t.simpleString()
     return TYPE_MAPS[dialect][type_family(t)]
 

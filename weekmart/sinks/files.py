@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weekmart.functions.values import finite_frame
+from weekmart.functions.values import finite_frame, number_to_text
 from weekmart.sinks.base import observed_rows
 
 KEYS = ["year_num", "week_num"]
@@ -22,6 +22,7 @@ KEYS = ["year_num", "week_num"]
 QUOTING = ("minimal", "all", "nonnumeric")
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
+_FRACTIONS = (T.FloatType, T.DoubleType, T.DecimalType)
 
 
 def _q(n: str):
@@ -52,7 +53,7 @@ def _nonnumeric(df: DataFrame, sep: str) -> DataFrame:
             continue
         c = _q(f.name)
         if isinstance(f.dataType, _NUMERIC):
-            v = c.cast("string")
+            v = number_to_text(c, f.dataType)
         else:
             v = F.concat(F.lit('"'), F.replace(c.cast("string"), F.lit('"'), F.lit('""')), F.lit('"'))
         fields.append(F.coalesce(v, F.lit("")))
@@ -66,13 +67,40 @@ def export_csv(df: DataFrame, path: str, sep: str = ";", quoting: str = "minimal
                sort_keys: list[str] | None = None, max_records_per_file: int | None = None,
                mode: str = "overwrite") -> int:
     """Write one CSV set per period.  ±inf/NaN and nulls are written as
-    empty fields.  Existing periods under ``path`` that this frame does not
-    hold are kept (dynamic overwrite).  Returns rows written."""
+    empty fields, numbers in plain notation.  Existing periods under ``path``
+    that this frame does not hold are kept (dynamic overwrite).  Returns rows
+    written."""
+    return csv_export(df, path, sep, quoting, encoding, header, compression, sort_keys,
+                      max_records_per_file, mode)["rows"]
+
+
+def _plain_numbers(df: DataFrame) -> DataFrame:
+    """Fractional columns as text in plain notation."""
+    return df.select(*[number_to_text(_q(f.name), f.dataType).alias(f.name)
+                       if isinstance(f.dataType, _FRACTIONS) else _q(f.name)
+                       for f in df.schema.fields])
+
+
+def csv_export(df: DataFrame, path: str, sep: str = ";", quoting: str = "minimal",
+               encoding: str = "UTF-8", header: bool = True, compression: str | None = None,
+               sort_keys: list[str] | None = None, max_records_per_file: int | None = None,
+               mode: str = "overwrite") -> dict[str, int]:
+    """:func:`export_csv` with what it wrote: ``rows`` and ``text_bytes``, the
+    UTF-8 bytes of the rows' values, separators, quotes and line ends before
+    compression (header lines not included)."""
     if quoting not in QUOTING:
         raise ValueError(f"quoting must be one of {QUOTING}")
     df = finite_frame(df)
+    if quoting != "nonnumeric":
+        df = _plain_numbers(df)
     obs = Observation("csv")
-    raw_len = F.length(F.concat_ws(sep, *[_q(c).cast("string") for c in df.columns if c not in KEYS]))
+    data = [f for f in df.schema.fields if f.name not in KEYS]
+    raw_len = F.octet_length(F.concat_ws(sep, *[
+        F.coalesce(_q(f.name).cast("string"), F.lit("")) for f in data]))
+    if quoting != "minimal":
+        quoted = len(data) if quoting == "all" else \
+            sum(not isinstance(f.dataType, _NUMERIC) for f in data)
+        raw_len = raw_len + 2 * quoted
     # Observed after the exchange (a range exchange samples its input first).
     out = layout(df, sort_keys).observe(
         obs, F.count(F.lit(1)).alias("rows"), F.sum(raw_len + 1).alias("text_bytes"))
@@ -89,8 +117,8 @@ def export_csv(df: DataFrame, path: str, sep: str = ";", quoting: str = "minimal
     if max_records_per_file:
         opts["maxRecordsPerFile"] = str(max_records_per_file)
     out.write.mode(mode).options(**opts).partitionBy(*KEYS).csv(path)
-    export_csv.last_observation = obs  # type: ignore[attr-defined]
-    return observed_rows(obs)
+    rows = observed_rows(obs)
+    return {"rows": rows, "text_bytes": int(obs.get.get("text_bytes") or 0) if rows else 0}
 
 
 def export_parquet(df: DataFrame, path: str, sort_keys: list[str] | None = None,

@@ -7,8 +7,11 @@ Two layouts are recognised, each from the file's path alone:
   ``export_parquet`` write (and any Hive-style partitioned set).
 
 Listing uses the ``binaryFile`` source without its ``content`` column, so
-it is a distributed directory listing that never opens the files.  Reading
-loads every file in one job and takes the period from ``_metadata``.
+it is a distributed directory listing that never opens the files.  Before
+reading, one distributed pass opens each file's start (CSV header, Parquet
+footer).  Files are then read in one job by column name, grouped by their
+layout, and take the period from ``_metadata``.  A file that cannot be opened
+is an error of its period, never an empty file.
 """
 
 from __future__ import annotations
@@ -17,13 +20,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weekmart.functions.values import coerce
+from weekmart.session import scratch_dir
+
 # File-name and directory patterns that carry a period.
 NAME_PATTERN = r"(?:^|/)(\d{4})-(\d{2})\.{ext}$"
 HIVE_PATTERN = r"/year_num=(\d+)/week_num=(\d+)/"
 
 
+# A CSV set may hold gzip files beside plain ones.
+_GLOBS = {"csv": "*.{csv,csv.gz}"}
+_ENDINGS = {"csv": r"csv(?:\.gz)?"}
+
+
 def _period_from_path(path: Column, ext: str) -> tuple[Column, Column]:
-    name_re = NAME_PATTERN.replace("{ext}", ext)
+    name_re = NAME_PATTERN.replace("{ext}", _ENDINGS.get(ext, ext.replace(".", r"\.")))
     y = F.coalesce(F.nullif(F.regexp_extract(path, name_re, 1), F.lit("")),
                    F.nullif(F.regexp_extract(path, HIVE_PATTERN, 1), F.lit("")))
     w = F.coalesce(F.nullif(F.regexp_extract(path, name_re, 2), F.lit("")),
@@ -38,7 +49,7 @@ def period_files(spark: SparkSession, root: str, ext: str = "csv",
     carries no period are left out."""
     files = (spark.read.format("binaryFile")
              .option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", f"*.{ext}")
+             .option("pathGlobFilter", _GLOBS.get(ext, f"*.{ext}"))
              .load(root)
              .select("path", "length"))
     y, w = _period_from_path(F.col("path"), ext)
@@ -57,142 +68,128 @@ def plan_backfill(spark: SparkSession, root: str, ext: str = "csv",
     return period_files(spark, root, ext, year, week)
 
 
-def _first_lines(batches, encoding: str = "utf-8"):
-    """mapInPandas body: the first line of each listed file, read through a
-    pyarrow filesystem (local, HDFS or object store), never the whole file."""
-    import pandas as pd
+def _open(path: str):
+    """(pyarrow filesystem, path) of a listed file, local or remote."""
     from pyarrow import fs as pafs
+    if "://" in path or path.startswith("file:"):
+        return pafs.FileSystem.from_uri(path)
+    return pafs.LocalFileSystem(), path
+
+
+def _csv_layout(path: str) -> str | None:
+    """The header line of a CSV file, plain or gzip; None for an empty file."""
+    fs, name = _open(path)
+    line = b""
+    with fs.open_input_stream(name) as stream:
+        while b"\n" not in line:
+            piece = stream.read(65536)
+            if not piece:
+                break
+            line += piece
+    return line.split(b"\n", 1)[0].decode("utf-8", "replace").rstrip("\r") or None
+
+
+def _parquet_layout(path: str) -> str | None:
+    """The schema text of a Parquet file's footer; None for one without rows."""
+    import pyarrow.parquet as pq
+    fs, name = _open(path)
+    with fs.open_input_file(name) as handle:
+        meta = pq.ParquetFile(handle).metadata
+        if meta.num_rows == 0:
+            return None
+        return meta.schema.to_arrow_schema().to_string(show_schema_metadata=False)
+
 
-    for pdf in batches:
-        heads = []
-        for path in pdf["path"]:
-            try:
-                f, p = pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") \
-                    else (pafs.LocalFileSystem(), path)
-                with f.open_input_stream(p) as h:
-                    chunk = b""
-                    while b"\n" not in chunk and len(chunk) < (1 << 20):
-                        piece = h.read(65536)
-                        if not piece:
-                            break
-                        chunk += piece
-                heads.append(chunk.split(b"\n", 1)[0].decode(encoding, "replace").rstrip("\r"))
-            except Exception:  # noqa: BLE001 - unreadable file: no header
-                heads.append(None)
-        yield pd.DataFrame({"path": pdf["path"], "header": heads})
-
-
-def csv_headers(spark: SparkSession, root: str, ext: str = "csv") -> DataFrame:
-    """(path, header) for every period file: one distributed pass that
-    opens each file once and reads only its first line."""
-    files = period_files(spark, root, ext).select("path")
-    return files.mapInPandas(_first_lines, "path string, header string")
-
-
-def _csv_by_header(spark: SparkSession, root: str, sep: str, ext: str = "csv") -> DataFrame | None:
-    """Read CSV period files whose headers differ: files are grouped by
-    header (few distinct layouts), each group is read with its own header,
-    and the groups are combined by column name (absent columns -> null,
-    types widened)."""
-    # Grouped on the executors: each distinct header reaches the driver once,
-    # with the paths the reader needs anyway.
-    groups = (csv_headers(spark, root, ext).where(F.col("header") != "")
-              .groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-              .collect())
+def file_layouts(spark: SparkSession, root: str, fmt: str = "csv",
+                 year: int | None = None, week: int | None = None) -> DataFrame:
+    """(path, year_num, week_num, layout, error) of every period file: files are
+    dealt over the cluster and each is opened once, at its start only."""
+    layout_of = {"csv": _csv_layout, "parquet": _parquet_layout}[fmt]
+
+    def run(batches):
+        for pdf in batches:
+            layouts, errors = [], []
+            for path in pdf["path"]:
+                layout = error = None
+                try:
+                    layout = layout_of(path)
+                except Exception as e:  # noqa: BLE001 - told per file
+                    error = f"{type(e).__name__}: {e}"
+                layouts.append(layout)
+                errors.append(error)
+            yield pdf.assign(layout=layouts, error=errors)
+
+    files = period_files(spark, root, fmt, year, week).drop("length") \
+        .repartition(4 * spark.sparkContext.defaultParallelism, "path")
+    scanned = files.mapInPandas(
+        run, "path string, year_num int, week_num int, layout string, error string")
+    out = scratch_dir(spark, "layouts")
+    scanned.write.mode("overwrite").parquet(out)
+    return spark.read.schema(scanned.schema).parquet(out)
+
+
+def _schema(schema: T.StructType | str) -> T.StructType:
+    return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+
+
+def _read_by_layout(spark: SparkSession, layouts: DataFrame, fmt: str, sep: str,
+                    schema: T.StructType | None) -> DataFrame | None:
+    """Rows of the files, combined by column name: the files of one layout are
+    read together (few distinct layouts; the driver holds the paths, as Spark's
+    reader does anyway).  With a schema its columns are picked by name and cast;
+    a column that a file lacks is null."""
+    groups = (layouts.where("layout is not null").groupBy("layout")
+              .agg(F.sort_array(F.collect_list("path")).alias("paths")).collect())
     out = None
     # Groups in order of their first file, so column order is stable.
     for paths in sorted((r["paths"] for r in groups), key=lambda ps: ps[0]):
-        part = (spark.read.option("header", "true").option("sep", sep)
-                .option("inferSchema", "true").csv(paths))
-        part = part.select("*", F.col("_metadata.file_path").alias("__file_path"))
+        if fmt == "parquet":
+            part = spark.read.parquet(*paths)
+        else:
+            part = (spark.read.option("header", "true").option("sep", sep)
+                    .option("inferSchema", str(schema is None).lower()).csv(paths))
+        at = F.col("_metadata.file_path").alias("__file_path")
+        if schema is None:
+            part = part.select("*", at)
+        else:
+            lacking = [f for f in schema.fields if f.name not in part.columns]
+            named = part.select("*", at)
+            picked = coerce(named, T.StructType(schema.fields + [T.StructField("__file_path", T.StringType())]))
+            part = picked.withColumns({f.name: F.lit(None).cast(f.dataType) for f in lacking}) \
+                if lacking else picked
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
 
-def _footers(batches):
-    """mapInPandas body: row count and schema text from each Parquet
-    footer (the file's data pages are not read)."""
-    import pandas as pd
-    import pyarrow.parquet as pq
-    from pyarrow import fs as pafs
-
-    for pdf in batches:
-        rows, schemas = [], []
-        for path in pdf["path"]:
-            try:
-                f, p = pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") \
-                    else (pafs.LocalFileSystem(), path)
-                with f.open_input_file(p) as h:
-                    meta = pq.ParquetFile(h).metadata
-                    rows.append(meta.num_rows)
-                    schemas.append(meta.schema.to_arrow_schema().to_string(show_schema_metadata=False))
-            except Exception:  # noqa: BLE001 - unreadable: treated as empty
-                rows.append(0)
-                schemas.append(None)
-        yield pd.DataFrame({"path": pdf["path"], "num_rows": rows, "schema": schemas})
-
-
-def _parquet_by_schema(spark: SparkSession, root: str) -> DataFrame | None:
-    """Second reader for Parquet sets whose schemas cannot be merged (for
-    example an empty week file typed without values): files without rows
-    are skipped, the rest are read per schema group and combined by name."""
-    listing = period_files(spark, root, "parquet").select("path")
-    info = listing.mapInPandas(_footers, "path string, num_rows long, schema string")
-    groups = (info.where(F.col("num_rows") > 0)
-              .groupBy("schema").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-              .collect())
-    out = None
-    # Groups in order of their first file, so column order is stable.
-    for paths in sorted((r["paths"] for r in groups), key=lambda ps: ps[0]):
-        part = spark.read.parquet(*paths)
-        part = part.select("*", F.col("_metadata.file_path").alias("__file_path"))
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
+def _rows_of(spark: SparkSession, layouts: DataFrame, fmt: str, sep: str,
+             schema: T.StructType | str | None) -> DataFrame:
+    wanted = None if schema is None else T.StructType(
+        [f for f in _schema(schema).fields if f.name not in ("year_num", "week_num")])
+    df = _read_by_layout(spark, layouts, fmt, sep, wanted)
+    if df is None:
+        fields = (wanted.fields if wanted else []) + [T.StructField("year_num", T.IntegerType()),
+                                                      T.StructField("week_num", T.IntegerType())]
+        return spark.createDataFrame([], T.StructType(fields))
+    data = wanted.fieldNames() if wanted else \
+        [c for c in df.columns if c not in ("year_num", "week_num", "__file_path")]
+    y, w = _period_from_path(F.col("__file_path"), fmt)
+    return df.select(*[F.col(f"`{c}`") for c in data], y.alias("year_num"), w.alias("week_num"))
 
 
 def read_period_files(spark: SparkSession, root: str, fmt: str = "csv",
                       schema: T.StructType | str | None = None, sep: str = ";",
-                      year: int | None = None, week: int | None = None,
-                      header: bool = True) -> DataFrame:
-    """Rows of every period file under root with ``year_num``/``week_num``
-    taken from each row's own file path.  Parquet sets are read with
-    ``mergeSchema`` (a file with an extra column adds that column; other
-    files give nulls).  Empty files add no rows.  Without a CSV schema the
-    reader infers one over all files."""
-    r = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{fmt}")
-    if fmt == "parquet":
-        r = r.option("mergeSchema", "true")
-        if schema is not None:
-            r = r.schema(schema)
-        try:
-            df = r.parquet(root)
-        except Exception:  # noqa: BLE001 - first reader failed: second reader
-            df = _parquet_by_schema(spark, root)
-            if df is None:
-                return spark.createDataFrame([], "year_num int, week_num int")
-    elif fmt == "csv" and schema is None and header:
-        df = _csv_by_header(spark, root, sep)
-        if df is None:
-            return spark.createDataFrame([], "year_num int, week_num int")
-    elif fmt == "csv":
-        r = r.option("header", str(header).lower()).option("sep", sep)
-        r = r.schema(schema) if schema is not None else r.option("inferSchema", "true")
-        df = r.csv(root)
-    else:
+                      year: int | None = None, week: int | None = None) -> DataFrame:
+    """Rows of every period file under root, matched by column name, with
+    ``year_num``/``week_num`` taken from each row's own file path.  Empty files
+    add no rows; a file that cannot be opened raises.  Without a schema the
+    columns of all files are combined and CSV types are inferred."""
+    if fmt not in ("csv", "parquet"):
         raise ValueError(f"unsupported period file format {fmt!r}")
-    if "__file_path" in df.columns:
-        path_col = F.col("__file_path")
-    else:
-        path_col = F.col("_metadata.file_path")
-    data = [c for c in df.columns if c not in ("year_num", "week_num", "__file_path")]
-    y, w = _period_from_path(path_col, fmt)
-    out = df.select(*[F.col(f"`{c}`") for c in data], y.alias("year_num"), w.alias("week_num"))
-    out = out.where(F.col("year_num").isNotNull() & F.col("week_num").isNotNull())
-    if year is not None:
-        out = out.where(F.col("year_num") == year)
-    if week is not None:
-        out = out.where(F.col("week_num") == week)
-    return out
+    layouts = file_layouts(spark, root, fmt, year, week)
+    bad = layouts.where("error is not null").orderBy("path").first()
+    if bad:
+        raise OSError(f"cannot read {bad['path']}: {bad['error']}")
+    return _rows_of(spark, layouts, fmt, sep, schema)
 
 
 def backfill_schema(spark: SparkSession, root: str, fmt: str = "csv", sep: str = ";") -> T.StructType:
@@ -209,37 +206,40 @@ def backfill(spark: SparkSession, root: str, sink, fmt: str = "csv",
     in the files replaces that period in the target.  Returns per period
     (year_num, week_num, files, rows, status).
 
-    The load itself records which periods carried rows (an Observation with
-    a set bounded by the number of weeks); their counts are then read from
-    the target's freshly replaced partitions (Parquet footers) instead of a
-    second pass over the source files.  A listed period without rows is
-    'empty' (and its old rows in the target are left alone)."""
+    A period with a file that cannot be opened is not loaded and reported as
+    ``error: ...`` while the others load.  If the sink fails, every period is
+    an error and has 0 rows.  A listed period without rows is ``empty`` (its old
+    rows in the target are left alone).  The load itself records which periods
+    carried rows (an Observation bounded by the number of weeks); their counts
+    are read from the target's replaced partitions."""
     from pyspark.sql import Observation
 
-    rows = read_period_files(spark, root, fmt, schema, sep, year, week)
+    keys = ["year_num", "week_num"]
+    layouts = file_layouts(spark, root, fmt, year, week)
+    files = layouts.groupBy(*keys).agg(F.count("*").alias("files"), F.min("error").alias("error"))
+    broken = files.where("error is not null").select(*keys)
+    rows = _rows_of(spark, layouts.join(broken, keys, "left_anti"), fmt, sep, schema)
     if clean is not None:
         rows = clean(rows)
-    files = (period_files(spark, root, fmt, year, week)
-             .groupBy("year_num", "week_num").agg(F.count(F.lit(1)).cast("long").alias("files")))
     obs = Observation("backfill_periods")
     observed = rows.observe(obs, F.collect_set(F.col("year_num") * 100 + F.col("week_num")).alias("keys"))
+    failure = None
     try:
         sink.upsert(observed)
-        status = "ok"
     except Exception as e:  # noqa: BLE001 - reported in the status frame
-        status = f"error: {type(e).__name__}: {str(e)[:200]}"
-    counted_from = rows
-    if status == "ok" and hasattr(sink, "read"):
-        try:
-            loaded = sorted(int(k) for k in (obs.get.get("keys") or []))
-        except Exception:  # noqa: BLE001 - no action ran: nothing loaded
-            loaded = []
-        keys = spark.createDataFrame([(k // 100, k % 100) for k in loaded], "year_num int, week_num int")
-        counted_from = sink.read().join(F.broadcast(keys), ["year_num", "week_num"], "left_semi")
-    counts = counted_from.groupBy("year_num", "week_num").agg(F.count(F.lit(1)).cast("long").alias("rows"))
-    return (files.join(counts, ["year_num", "week_num"], "left")
-            .select("year_num", "week_num", "files",
-                    F.coalesce("rows", F.lit(0)).cast("long").alias("rows"),
-                    F.when(F.lit(status) != "ok", F.lit(status))
-                    .when(F.coalesce("rows", F.lit(0)) == 0, F.lit("empty"))
-                    .otherwise(F.lit("ok")).alias("status")))
+        failure = f"error: {type(e).__name__}: {e}"
+    if failure is not None:
+        counted = files.select(*keys, F.lit(0).cast("long").alias("rows"))
+    else:
+        source = rows
+        if hasattr(sink, "read"):
+            loaded = [(k // 100, k % 100) for k in sorted(obs.get.get("keys") or [])]
+            source = sink.read().join(F.broadcast(
+                spark.createDataFrame(loaded, "year_num int, week_num int")), keys, "left_semi")
+        counted = source.groupBy(*keys).agg(F.count("*").alias("rows"))
+    n = F.coalesce("rows", F.lit(0)).cast("long")
+    return (files.join(counted, keys, "left")
+            .select(*keys, "files", F.when(F.col("error").isNull(), n).otherwise(0).cast("long").alias("rows"),
+                    F.when(F.col("error").isNotNull(), F.concat(F.lit("error: "), "error"))
+                    .when(F.lit(failure is not None), F.lit(failure))
+                    .when(n == 0, F.lit("empty")).otherwise(F.lit("ok")).alias("status")))
