@@ -5,7 +5,7 @@ import pytest
 from tests.conftest import SF_SMALL
 from weekmart.plans import periods as P
 from weekmart.run import run_weekly_export
-from weekmart.sinks.base import FailingSink
+from tests.doubles import FailingSink
 from weekmart.sinks.files import ExportSpec
 from weekmart.sinks.table import TableSink
 

@@ -1,8 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from weekmart.sinks.base import FailingSink, fan_out
-from weekmart.sinks.deliver import DeliverySink, FlakyTransport, TransportError, send_with_retry
+from weekmart.sinks.base import fan_out
+from tests.doubles import FailingSink, FlakyTransport
+from weekmart.sinks.deliver import DeliverySink, TransportError, send_with_retry
 from weekmart.sinks.table import TableSink
 
 SCHEMA = "a long, s string, year_num int, week_num int"
@@ -75,9 +76,41 @@ def test_retry_policy(tmp_path):
 
 def test_delivery_sink_end_to_end(spark, scratch):
     df = spark.createDataFrame([(i, "x", 2000, 1 + i % 3) for i in range(30)], SCHEMA)
-    sink = DeliverySink(spark, transport="flaky", codes="503,429", path=f"{scratch}/drop",
-                        backoff=0, receipts=f"{scratch}/r.json")
+    sink = DeliverySink(spark, transport=FlakyTransport(f"{scratch}/drop", [503, 429]), backoff=0,
+                        receipts=f"{scratch}/r.json")
     assert sink.upsert(df) == 30
     assert {r["attempts"] for r in sink.receipts()} == {3}
     back = spark.read.option("recursiveFileLookup", "true").parquet(f"{scratch}/drop")
     assert back.count() == 30
+
+
+def test_delivery_replaces_periods_whatever_the_task_layout(spark, scratch):
+    df = spark.createDataFrame([(i, "x", 2000, 1 + i % 3) for i in range(30)], SCHEMA)
+    sink = DeliverySink(spark, path=f"{scratch}/drop", backoff=0)
+    sink.upsert(df.repartition(7))
+    sink.upsert(df.coalesce(1))
+    read = lambda: spark.read.option("pathGlobFilter", "*.parquet").option(
+        "recursiveFileLookup", "true").parquet(f"{scratch}/drop")
+    assert read().count() == 30
+    sink.upsert(df.where("week_num = 2").limit(4))
+    assert {r.week_num: r["count"] for r in read().groupBy("week_num").count().collect()} == \
+        {1: 10, 2: 4, 3: 10}
+
+
+def test_http_prepare_creates_evolves_and_deletes(monkeypatch):
+    from pyspark.sql import types as T
+
+    from weekmart.sinks.deliver import HttpTransport
+    sent = []
+
+    def post(self, path, body, kind):
+        sent.append((path, body.decode()))
+        return {"columns": ["column_name", "column_type"],
+                "rows": [["a", "BIGINT"], ["year_num", "BIGINT"], ["week_num", "BIGINT"]]}
+
+    monkeypatch.setattr(HttpTransport, "_post", post)
+    schema = T.StructType.fromDDL("a string, b double, year_num int, week_num int")
+    HttpTransport("http://store", "t").prepare(schema, [(2025, 1), (2025, 2)], ["a"])
+    text = " ".join(b for _, b in sent)
+    assert "CREATE TABLE IF NOT EXISTS" in text and "ADD COLUMN IF NOT EXISTS" in text
+    assert "TYPE VARCHAR" in text and text.count("DELETE FROM") == 2

@@ -436,10 +436,10 @@ def q_manifest_stats(spark, sf):
 # per-category summary of the whole fact table.
 
 from weekmart.session import scratch_dir  # noqa: E402
-from weekmart.sinks.base import FailingSink, fan_out  # noqa: E402
+from weekmart.sinks.base import fan_out  # noqa: E402
 from weekmart.sinks.deliver import DeliverySink  # noqa: E402
 from weekmart.sinks.dialects import dialect_types_frame  # noqa: E402
-from weekmart.sinks.files import ExportSpec, csv_export, export_csv, export_periods  # noqa: E402
+from weekmart.sinks.files import ExportSpec, export_csv, export_periods  # noqa: E402
 from weekmart.sinks.table import TableSink  # noqa: E402
 from weekmart.plans.manifest import file_manifest, load_status  # noqa: E402
 from weekmart.sources.period_files import (  # noqa: E402
@@ -554,10 +554,14 @@ def q_insert_rows(spark, sf):
 _LQ_WEEKS = _quarter_sql(*_LAST_Q)
 
 
-@register("upsert_idempotent", f"""WITH s AS ({COARSE_SQL}),
+# The whole summary, with the returned rows alone in the last quarter's weeks.
+REPLACED_SQL = f"""WITH s AS ({COARSE_SQL}),
   r AS ({O.summary_sql(dims=['fg1_name'], where="l_returnflag = 'R'")})
   SELECT * FROM s WHERE NOT ({O.in_periods(_LQ_WEEKS, avail=False)})
-  UNION ALL SELECT * FROM r WHERE {O.in_periods(_LQ_WEEKS, avail=False)}""")
+  UNION ALL SELECT * FROM r WHERE {O.in_periods(_LQ_WEEKS, avail=False)}"""
+
+
+@register("upsert_idempotent", REPLACED_SQL)
 def q_upsert_idempotent(spark, sf):
     t = _table(spark, "upsert")
     s = _coarse(spark, sf)
@@ -570,30 +574,54 @@ def q_upsert_idempotent(spark, sf):
     return _typed(t.read())
 
 
-@register("fan_out_status")
+_N_COARSE = f"(SELECT count(*) FROM ({COARSE_SQL}))"
+
+
+@register("fan_out_status", f"""SELECT 'table' AS sink, 'ok' AS status, {_N_COARSE} AS rows
+  UNION ALL SELECT 'delivery', 'ok', {_N_COARSE}
+  UNION ALL SELECT 'unreachable_store', 'error', 0""")
 def q_fan_out_status(spark, sf):
     d = scratch_dir(spark, "fan_out")
-    sinks = [_table(spark, "fan_out_t"), FailingSink("unreachable_store"),
-             DeliverySink(spark, name="delivery", transport="directory", path=f"{d}/drop",
-                          backoff=0)]
-    return fan_out(_coarse(spark, sf), sinks)
+    table = _table(spark, "fan_out_t")
+    table.name = "table"
+    # The second store is not there: nothing can be written below a device.
+    sinks = [table,
+             DeliverySink(spark, name="unreachable_store", path="/dev/null/store", retries=1),
+             DeliverySink(spark, name="delivery", path=f"{d}/drop")]
+    return fan_out(_coarse(spark, sf), sinks).select("sink", "status", "rows")
 
 
-@register("load_status")
+@register("load_status", f"""SELECT 'ok' AS status, count(DISTINCT year_num * 100 + week_num) AS n,
+  CAST(count(*) AS BIGINT) AS rows FROM ({COARSE_SQL})""")
 def q_load_status(spark, sf):
-    return load_status(q_fan_out_status(spark, sf))
+    path, s = _export(spark, sf, "load_status")
+    return load_status(backfill(spark, path, _table(spark, "load_status"), "csv",
+                                schema=_csv_schema(s)))
 
 
 @register("deliver_with_retry", COARSE_SQL)
 def q_deliver_with_retry(spark, sf):
+    """Delivered twice, by another task layout: the second replaces the first."""
     d = scratch_dir(spark, "deliver")
-    sink = DeliverySink(spark, transport="flaky", codes="503,503", path=f"{d}/drop",
-                        backoff=0, receipts=f"{d}/receipts.json")
+    sink = DeliverySink(spark, path=f"{d}/drop")
+    sink.upsert(_coarse(spark, sf).repartition(5))
+    sink.upsert(_coarse(spark, sf).coalesce(2))
+    return _typed(_delivered(spark, d))
+
+
+@register("deliver_smaller_week", REPLACED_SQL)
+def q_deliver_smaller_week(spark, sf):
+    d = scratch_dir(spark, "deliver_smaller")
+    sink = DeliverySink(spark, path=f"{d}/drop")
     sink.upsert(_coarse(spark, sf))
-    attempts = {r["attempts"] for r in sink.receipts()}
-    if attempts != {3}:
-        raise AssertionError(f"expected 3 attempts per payload, saw {attempts}")
-    return _typed(spark.read.option("recursiveFileLookup", "true").parquet(f"{d}/drop"))
+    sink.upsert(where_periods(_coarse(spark, sf, where=F.col("l_returnflag") == "R"),
+                              P.last_quarter(spark, AS_OF)))
+    return _typed(_delivered(spark, d))
+
+
+def _delivered(spark, d):
+    return spark.read.option("recursiveFileLookup", "true") \
+        .option("pathGlobFilter", "*.parquet").parquet(f"{d}/drop")
 
 
 def _export(spark, sf, key, **kw) -> tuple[str, DataFrame]:
@@ -614,45 +642,48 @@ def q_csv_roundtrip(spark, sf):
     return spark.read.schema(schema).option("header", "true").option("sep", ";").csv(path)
 
 
-@register("period_layout")
+_WEEKS_SQL = f"SELECT DISTINCT year_num, week_num FROM ({COARSE_SQL})"
+
+
+@register("period_layout", f"SELECT *, true AS has_files FROM ({_WEEKS_SQL})")
 def q_period_layout(spark, sf):
     path, _ = _export(spark, sf, "period_layout")
     files = period_files(spark, path, "csv")
-    return file_manifest(files).select(*KEYS, "files")
+    return file_manifest(files).select(*KEYS, (F.col("files") > 0).alias("has_files"))
 
 
-@register("export_manifest")
+@register("export_manifest", f"""SELECT f.format, year_num, week_num, CAST(count(*) AS BIGINT) AS rows
+  FROM ({COARSE_SQL}), (SELECT unnest(['csv', 'parquet']) AS format) f GROUP BY ALL""")
 def q_export_manifest(spark, sf):
+    """Both formats of one export, counted from the files."""
     d = scratch_dir(spark, "export_manifest")
-    spec = ExportSpec(fmt="both", root=d)
-    export_periods(_coarse(spark, sf), spec)
-    csv = file_manifest(period_files(spark, f"{d}/csv", "csv")).withColumn("format", F.lit("csv"))
-    pq = file_manifest(period_files(spark, f"{d}/parquet", "parquet")).withColumn("format", F.lit("parquet"))
-    return csv.unionByName(pq)
+    s = _coarse(spark, sf)
+    export_periods(s, ExportSpec(fmt="both", root=d))
+    counts = [read_period_files(spark, f"{d}/{fmt}", fmt, schema=_csv_schema(s)).groupBy(*KEYS)
+              .agg(F.count("*").alias("rows")).select(F.lit(fmt).alias("format"), *KEYS, "rows")
+              for fmt in ("csv", "parquet")]
+    return counts[0].unionByName(counts[1])
 
 
-@register("compressed_export")
+@register("compressed_export", COARSE_SQL)
 def q_compressed_export(spark, sf):
+    """A gzip export and what reading it back gives."""
+    s = _coarse(spark, sf)
     path = f"{scratch_dir(spark, 'compressed_export')}/csv"
-    obs = csv_export(_coarse(spark, sf), path, compression="gzip")
-    files = period_files(spark, path, "csv.gz")
-    return files.agg(F.count(F.lit(1)).cast("long").alias("files"),
-                     F.sum("length").cast("long").alias("compressed_bytes")).select(
-        "files", "compressed_bytes",
-        F.lit(int(obs["text_bytes"])).cast("long").alias("text_bytes"),
-        (F.lit(1.0) - F.col("compressed_bytes") / F.lit(float(obs["text_bytes"]))).alias("saving"))
+    export_csv(s, path, compression="gzip")
+    return _typed(read_period_files(spark, path, "csv", schema=_csv_schema(s)))
 
 
-@register("period_file_listing")
+@register("period_file_listing", f"SELECT * FROM ({_WEEKS_SQL}) WHERE year_num = 2000")
 def q_period_file_listing(spark, sf):
     path, _ = _export(spark, sf, "listing")
-    return period_files(spark, path, "csv", year=2000)
+    return period_files(spark, path, "csv", year=2000).select(*KEYS).distinct()
 
 
-@register("backfill_plan")
+@register("backfill_plan", f"SELECT * FROM ({_WEEKS_SQL}) WHERE year_num = 1999 AND week_num = 7")
 def q_backfill_plan(spark, sf):
-    path, _ = _export(spark, sf, "plan")
-    return plan_backfill(spark, path, "csv")
+    path, _ = _export(spark, sf, "backfill_plan")
+    return plan_backfill(spark, path, "csv", year=1999, week=7).select(*KEYS).distinct()
 
 
 @register("backfill_schema")

@@ -68,30 +68,8 @@ def fan_out(df: DataFrame, sinks: list, spark: SparkSession | None = None,
                 statuses.append((name, "ok", int(rows), None))
             except Exception as e:  # noqa: BLE001 - isolate the failing sink
                 log.warning("sink %s failed: %s", name, e)
-                statuses.append((name, "error", 0, f"{type(e).__name__}: {str(e)[:300]}"))
+                statuses.append((name, "error", 0, f"{type(e).__name__}: {e}"))
     finally:
         if cached is not None:
             cached.unpersist()
     return spark.createDataFrame(statuses, STATUS_SCHEMA)
-
-
-class FailingSink:
-    """A sink that always fails (for checking failure isolation)."""
-
-    def __init__(self, name: str = "failing", message: str = "target unavailable"):
-        self.name, self.message = name, message
-
-    def setup(self, df):
-        raise ConnectionError(self.message)
-
-    def delete_period(self, year, week):
-        raise ConnectionError(self.message)
-
-    def insert(self, df):
-        raise ConnectionError(self.message)
-
-    def upsert(self, df):
-        raise ConnectionError(self.message)
-
-    def close(self):
-        pass

@@ -1,28 +1,40 @@
 """Delivery of period data to a store that accepts Parquet uploads.
 
-A Python Data Source writer: each task turns its Arrow batches into one
-Parquet payload per period it holds and hands it to a transport with
-retries -- network errors, 5xx and 429 are retried after 1 s, 2 s, ...;
-any other 4xx fails at once.  Payloads are keyed by (period, partition),
-so a retried Spark task re-sends the same key instead of a new one.  The
-driver's ``commit`` receives every task's receipt.
+A Python Data Source writer: tasks receive rows clustered and sorted by period,
+stream them into Parquet payloads of bounded size, one period each, and hand the
+payloads to a transport with retries -- network errors, 5xx and 429 are sent
+again after 1 s, 2 s, ...; any other 4xx fails at once.
+
+A delivery replaces the periods it holds.  Payloads carry the delivery's run id:
+the directory transport stages them under it and the driver's commit puts the
+staged parts of successful tasks in place of each period's old ones; the upload
+transport deletes each period once, before any upload of the run.
 """
 
 from __future__ import annotations
 
+import base64
 import io
 import json
 import time
 import urllib.error
 import urllib.request
 import uuid
+from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+from weekmart.functions.values import DATE_TEXT_PATTERN
+from weekmart.sinks.dialects import column_ddl, column_type, quote
+
 # Attempts per payload and the status codes worth retrying.
 RETRIES = 3
 RETRY_STATUS = {429}  # plus every 5xx
+PAYLOAD_BYTES = 64 << 20  # Arrow bytes after which a payload is closed
 
 
 def _filesystem(location: str):
@@ -45,96 +57,157 @@ def retryable(e: Exception) -> bool:
     return isinstance(e, (OSError, ConnectionError, TimeoutError))
 
 
+def pauses(retries: int = RETRIES, backoff: float = 1.0) -> Iterator[float]:
+    """Seconds to wait before each further attempt: backoff, twice it, ..."""
+    return (backoff * 2 ** i for i in range(max(0, retries - 1)))
+
+
 def send_with_retry(transport, key: str, payload: bytes, retries: int = RETRIES,
                     backoff: float = 1.0) -> tuple[int, int]:
     """Returns (rows acknowledged, attempts used)."""
-    last: Exception | None = None
-    for attempt in range(retries):
+    waits = pauses(retries, backoff)
+    attempts = 0
+    while True:
+        attempts += 1
         try:
-            return transport.send(key, payload), attempt + 1
-        except Exception as e:  # noqa: BLE001 - classified below
-            if not retryable(e):
+            return transport.send(key, payload), attempts
+        except Exception as e:
+            wait = next(waits, None) if retryable(e) else None
+            if wait is None:
                 raise
-            last = e
-            if attempt < retries - 1 and backoff:
-                time.sleep(backoff * 2 ** attempt)
-    raise last  # type: ignore[misc]
+            time.sleep(wait)
 
 
 class DirectoryTransport:
-    """Drops each payload as ``<dir>/<key>.parquet`` through a pyarrow
-    filesystem (local, HDFS or object store): written under a temporary
-    name, then moved into place, so a re-sent key replaces the file whole."""
+    """Parquet files ``<dir>/<period>/<part>.parquet`` through a pyarrow
+    filesystem (local, HDFS or object store).  ``send`` stages a payload as
+    ``<dir>/_staged/<run>/<key>.parquet``; ``publish`` replaces periods."""
 
-    def __init__(self, directory: str):
-        self.directory = directory.rstrip("/")
+    def __init__(self, directory: str, run: str = "run"):
+        self.directory, self.run = directory.rstrip("/"), run
 
-    def _fs(self):
-        return _filesystem(self.directory)
+    def _staged(self, base: str, key: str) -> str:
+        return f"{base}/_staged/{self.run}/{key}.parquet"
+
+    def prepare(self, schema: T.StructType, periods: list[tuple[int, int]], text: list[str]) -> None:
+        pass
 
     def send(self, key: str, payload: bytes) -> int:
         import pyarrow.parquet as pq
-        fs, base = self._fs()
-        path = f"{base}/{key}.parquet"
+        fs, base = _filesystem(self.directory)
+        path = self._staged(base, key)
         fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
+        # A retried task writes the same key again: under a temporary name, then
+        # moved, so that a half-written file is never taken for a payload.
         tmp = f"{path}.{uuid.uuid4().hex}.tmp"
         with fs.open_output_stream(tmp) as out:
             out.write(payload)
         fs.move(tmp, path)
         return pq.read_metadata(io.BytesIO(payload)).num_rows
 
+    def publish(self, keys: list[str]) -> None:
+        """Put the staged payloads in place of their periods' old parts."""
+        from pyarrow import fs as pafs
+        fs, base = _filesystem(self.directory)
+        for period in sorted({k.split("/")[0] for k in keys}):
+            target = f"{base}/{period}"
+            if fs.get_file_info(target).type != pafs.FileType.NotFound:
+                fs.delete_dir_contents(target)
+            fs.create_dir(target, recursive=True)
+        for key in keys:
+            fs.move(self._staged(base, key), f"{base}/{key}.parquet")
+        self.discard()
+
+    def discard(self) -> None:
+        from pyarrow import fs as pafs
+        fs, base = _filesystem(self.directory)
+        if fs.get_file_info(f"{base}/_staged/{self.run}").type != pafs.FileType.NotFound:
+            fs.delete_dir(f"{base}/_staged/{self.run}")
 
-class FlakyTransport(DirectoryTransport):
-    """Test transport: answers each payload key with the given status codes
-    first, then delivers it."""
-
-    def __init__(self, directory: str, codes: list[int]):
-        super().__init__(directory)
-        self.codes = list(codes)
-        self.calls: dict[str, int] = {}
-
-    def send(self, key: str, payload: bytes) -> int:
-        n = self.calls.get(key, 0)
-        self.calls[key] = n + 1
-        if n < len(self.codes):
-            raise TransportError(self.codes[n], "scripted failure")
-        return super().send(key, payload)
+    def delete_period(self, year: int, week: int) -> None:
+        from pyarrow import fs as pafs
+        fs, base = _filesystem(self.directory)
+        target = f"{base}/{year}-{week:02d}"
+        if fs.get_file_info(target).type != pafs.FileType.NotFound:
+            fs.delete_dir(target)
 
 
 class HttpTransport:
-    """POST multipart/form-data ``file`` + ``table`` + ``mode=append`` to
-    ``<url>/upload``; the reply's ``total_rows`` is the count delivered."""
+    """A store reached by HTTP: ``POST <url>/upload`` takes multipart/form-data
+    ``file`` + ``table`` + ``mode=append`` and answers ``total_rows``; ``/execute``
+    takes ``{"statements": [...]}`` and ``/query`` ``{"sql": ...}``."""
 
     def __init__(self, url: str, table: str, api_key: str | None = None, timeout: float = 120):
         self.url, self.table, self.api_key, self.timeout = url.rstrip("/"), table, api_key, timeout
 
-    def send(self, key: str, payload: bytes) -> int:
-        boundary = uuid.uuid4().hex
-        parts = []
-        for name, value in (("table", self.table), ("mode", "append")):
-            parts.append(f'--{boundary}\r\nContent-Disposition: form-data; name="{name}"\r\n\r\n{value}\r\n'.encode())
-        parts.append((f'--{boundary}\r\nContent-Disposition: form-data; name="file"; '
-                      f'filename="{key.replace("/", "_")}.parquet"\r\n'
-                      f"Content-Type: application/octet-stream\r\n\r\n").encode() + payload + b"\r\n")
-        parts.append(f"--{boundary}--\r\n".encode())
-        req = urllib.request.Request(f"{self.url}/upload", data=b"".join(parts), method="POST")
-        req.add_header("Content-Type", f"multipart/form-data; boundary={boundary}")
+    def _post(self, path: str, body: bytes, kind: str) -> dict:
+        req = urllib.request.Request(f"{self.url}/{path}", data=body, method="POST")
+        req.add_header("Content-Type", kind)
         if self.api_key:
             req.add_header("X-API-Key", self.api_key)
         try:
             with urllib.request.urlopen(req, timeout=self.timeout) as resp:
-                return int(json.loads(resp.read() or b"{}").get("total_rows", 0))
+                return json.loads(resp.read() or b"{}")
         except urllib.error.HTTPError as e:
-            raise TransportError(e.code, e.read()[:500].decode("utf-8", "replace")) from e
+            raise TransportError(e.code, e.read().decode("utf-8", "replace")) from e
+
+    def execute(self, statements: list[str]) -> dict:
+        return self._post("execute", json.dumps({"statements": statements}).encode(), "application/json")
+
+    def query(self, sql: str) -> dict:
+        return self._post("query", json.dumps({"sql": sql}).encode(), "application/json")
+
+    def prepare(self, schema: T.StructType, periods: list[tuple[int, int]], text: list[str]) -> None:
+        """Before a run: create the table, add columns it lacks, turn whole-number
+        columns that receive ``text`` into text, and delete the run's periods."""
+        table = quote(self.table, "duckdb")
+        self.execute([f"CREATE TABLE IF NOT EXISTS {table} ({column_ddl(schema, 'duckdb')})"])
+        answer = self.query(f"DESCRIBE {table}")
+        name, kind = (answer["columns"].index(c) for c in ("column_name", "column_type"))
+        have = {row[name].lower(): row[kind] for row in answer["rows"]}
+        changes = []
+        for f in schema.fields:
+            column = quote(f.name, "duckdb")
+            if f.name.lower() not in have:
+                changes.append(f"ALTER TABLE {table} ADD COLUMN IF NOT EXISTS {column} "
+                               f"{column_type(f.dataType, 'duckdb')}")
+            elif have[f.name.lower()] == "BIGINT" and f.name in text:
+                changes.append(f"ALTER TABLE {table} ALTER COLUMN {column} TYPE VARCHAR")
+        for year, week in periods:
+            changes.append(f"DELETE FROM {table} WHERE year_num = {int(year)} AND week_num = {int(week)}")
+        if changes:
+            self.execute(changes)
+
+    def send(self, key: str, payload: bytes) -> int:
+        boundary = uuid.uuid4().hex
+        fields = [('name="table"', "", self.table.encode()), ('name="mode"', "", b"append"),
+                  (f'name="file"; filename="{key.replace("/", "_")}.parquet"',
+                   "Content-Type: application/octet-stream\r\n", payload)]
+        body = b"".join(f"--{boundary}\r\nContent-Disposition: form-data; {what}\r\n{extra}\r\n".encode()
+                        + value + b"\r\n" for what, extra, value in fields)
+        answer = self._post("upload", body + f"--{boundary}--\r\n".encode(),
+                            f"multipart/form-data; boundary={boundary}")
+        return int(answer.get("total_rows", 0))
+
+    def publish(self, keys: list[str]) -> None:
+        pass
+
+    def discard(self) -> None:
+        pass
+
+    def delete_period(self, year: int, week: int) -> None:
+        self.execute([f"DELETE FROM {quote(self.table, 'duckdb')} WHERE year_num = {int(year)} "
+                      f"AND week_num = {int(week)}"])
 
 
 def make_transport(options: dict):
+    if "transport_object" in options:
+        made = cloudpickle.loads(base64.b64decode(options["transport_object"]))
+        made.run = options.get("run", "run")
+        return made
     kind = options.get("transport", "directory")
     if kind == "directory":
-        return DirectoryTransport(options["path"])
-    if kind == "flaky":
-        codes = [int(c) for c in options.get("codes", "").split(",") if c]
-        return FlakyTransport(options["path"], codes)
+        return DirectoryTransport(options["path"], options.get("run", "run"))
     if kind == "http":
         return HttpTransport(options["url"], options["table"], options.get("api_key"))
     raise ValueError(f"unknown transport {kind!r}")
@@ -145,13 +218,24 @@ class DeliveryCommit(WriterCommitMessage):
         self.receipts = receipts
 
 
+def period_runs(batch) -> Iterator[tuple[int, object]]:
+    """(period key, slice) of each stretch of equal periods in an Arrow batch."""
+    import numpy as np
+    import pyarrow as pa
+    keys = (np.asarray(batch.column("year_num").cast(pa.int64())) * 100
+            + np.asarray(batch.column("week_num").cast(pa.int64())))
+    cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield int(keys[a]), batch.slice(a, b - a)
+
+
 class DeliveryWriter(DataSourceArrowWriter):
     def __init__(self, options: dict):
         self.options = dict(options)
 
     def write(self, iterator):
         import pyarrow as pa
-        import pyarrow.compute as pc
         import pyarrow.parquet as pq
         from pyspark import TaskContext
 
@@ -160,26 +244,33 @@ class DeliveryWriter(DataSourceArrowWriter):
         transport = make_transport(self.options)
         retries = int(self.options.get("retries", RETRIES))
         backoff = float(self.options.get("backoff", 1.0))
-        batches = list(iterator)
-        receipts = []
-        if not batches:
-            return DeliveryCommit(receipts)
-        table = pa.Table.from_batches(batches)
-        if table.num_rows == 0:
-            return DeliveryCommit(receipts)
-        keys = pc.add(pc.multiply(table["year_num"].cast(pa.int64()), 100),
-                      table["week_num"].cast(pa.int64()))
-        for k in pc.unique(keys).to_pylist():
-            sub = table.filter(pc.equal(keys, k))
-            buf = io.BytesIO()
-            pq.write_table(sub, buf)
-            key = f"{k // 100}-{k % 100:02d}/part-{part:05d}"
-            rows, attempts = send_with_retry(transport, key, buf.getvalue(), retries, backoff)
-            receipts.append({"key": key, "rows": rows, "attempts": attempts})
+        receipts: list[dict] = []
+        held: list = []
+        period, size = None, 0
+
+        def flush():
+            nonlocal held, size
+            if held:
+                buf = io.BytesIO()
+                pq.write_table(pa.Table.from_batches(held), buf)
+                key = f"{period // 100}-{period % 100:02d}/part-{part:05d}-{len(receipts):05d}"
+                rows, attempts = send_with_retry(transport, key, buf.getvalue(), retries, backoff)
+                receipts.append({"key": key, "rows": rows, "attempts": attempts})
+            held, size = [], 0
+
+        for batch in iterator:
+            for key, rows in period_runs(batch):
+                if key != period or size >= PAYLOAD_BYTES:
+                    flush()
+                period = key
+                held.append(rows)
+                size += rows.nbytes
+        flush()
         return DeliveryCommit(receipts)
 
     def commit(self, messages):
         receipts = [r for m in messages if m is not None for r in m.receipts]
+        make_transport(self.options).publish([r["key"] for r in receipts])
         log = self.options.get("receipts")
         if log:
             fs, path = _filesystem(log)
@@ -188,7 +279,7 @@ class DeliveryWriter(DataSourceArrowWriter):
                 out.write(json.dumps(receipts).encode())
 
     def abort(self, messages):
-        pass
+        make_transport(self.options).discard()
 
 
 class DeliveryDataSource(DataSource):
@@ -204,31 +295,53 @@ class DeliveryDataSource(DataSource):
 
 
 class DeliverySink:
-    """Sink over the delivery data source.  ``options`` pick the transport:
-    ``transport=directory|flaky|http`` with ``path`` / ``codes`` / ``url``,
-    ``table``, ``retries``, ``backoff`` (seconds before the first retry)."""
+    """Sink over the delivery data source.  ``transport`` is ``directory`` (with
+    ``path``), ``http`` (with ``url``, ``table``) or a transport object; further
+    options: ``retries``, ``backoff`` (seconds before the first retry) and
+    ``receipts`` (a file for the list of what was sent)."""
 
-    def __init__(self, spark, name: str = "delivery", **options):
+    def __init__(self, spark, name: str = "delivery", transport="directory", **options):
         self.spark, self.name = spark, name
         self.options = {k: str(v) for k, v in options.items()}
+        if isinstance(transport, str):
+            self.options["transport"] = transport
+        else:
+            self.options["transport_object"] = base64.b64encode(cloudpickle.dumps(transport)).decode()
         spark.dataSource.register(DeliveryDataSource)
 
     def setup(self, df: DataFrame) -> None:
-        pass
+        make_transport(self.options).prepare(df.schema, [], [])
 
     def delete_period(self, year: int, week: int) -> None:
-        pass  # keyed payloads replace a period's parts on re-delivery
+        make_transport(self.options).delete_period(year, week)
 
     def insert(self, df: DataFrame) -> int:
+        """Deliver ``df``; each period it holds replaces that period."""
         from weekmart.sinks.base import counted, observed_rows
-        # Period-clustered, AQE-sized task inputs: a task groups its whole
-        # partition by period, so a retry re-sends the same keyed payloads.
-        out, obs = counted(df.hint("rebalance", "year_num", "week_num"))
-        out.write.format("weekmart_delivery").mode("append").options(**self.options).save()
+        options = {**self.options, "run": uuid.uuid4().hex}
+        transport = make_transport(options)
+        if isinstance(transport, HttpTransport):
+            self._prepare(transport, df)
+        # AQE-sized task inputs, periods together: a task holds one payload at a time.
+        dealt = df.hint("rebalance", "year_num", "week_num").sortWithinPartitions("year_num", "week_num")
+        out, obs = counted(dealt)
+        out.write.format("weekmart_delivery").mode("append").options(**options).save()
         return observed_rows(obs)
 
     upsert = insert
 
+    def _prepare(self, transport: HttpTransport, df: DataFrame) -> None:
+        """Tell the store what comes: periods (as many as weeks) and columns of
+        text that is not a date."""
+        strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+        periods = [(r[0], r[1]) for r in df.select("year_num", "week_num").distinct().collect()]
+        text: list[str] = []
+        if strings:
+            row = df.agg(*[F.max(~F.col(f"`{c}`").rlike(DATE_TEXT_PATTERN)).alias(f"t{i}")
+                           for i, c in enumerate(strings)]).first()
+            text = [c for c, other in zip(strings, row) if other]
+        transport.prepare(df.schema, periods, text)
+
     def receipts(self) -> list[dict]:
         log = self.options.get("receipts")
         if not log:
