@@ -438,14 +438,14 @@ def q_manifest_stats(spark, sf):
 from weekmart.session import scratch_dir  # noqa: E402
 from weekmart.sinks.base import fan_out  # noqa: E402
 from weekmart.sinks.deliver import DeliverySink  # noqa: E402
-from weekmart.sinks.dialects import dialect_types_frame  # noqa: E402
+from weekmart.sinks.dialects import column_type  # noqa: E402
 from weekmart.sinks.files import ExportSpec, export_csv, export_periods  # noqa: E402
 from weekmart.sinks.table import TableSink  # noqa: E402
 from weekmart.plans.manifest import file_manifest, load_status  # noqa: E402
 from weekmart.sources.period_files import (  # noqa: E402
     backfill, backfill_schema, period_files, plan_backfill, read_period_files,
 )
-from weekmart.sources.tables import schema_frame  # noqa: E402
+from weekmart.sources.tables import column_facts  # noqa: E402
 from weekmart.streaming.load import stream_load  # noqa: E402
 
 COARSE_SQL = O.summary_sql(dims=["fg1_name"])
@@ -473,23 +473,37 @@ def _cols_sql(cols) -> str:
     return ", ".join(f'"{c}"' for c in cols)
 
 
-@register("table_create")
+def _facts_sql(text: str, whole: str, real: str, where: str = "true") -> str:
+    """Rows (column, type, filled) of the coarse summary for a set of type names."""
+    def kind(c):
+        return text if c == "fg1_name" else whole if c in KEYS else real
+    parts = [f"SELECT '{c}' AS \"column\", '{kind(c)}' AS type, count(\"{c}\") AS filled "
+             f"FROM s WHERE {where}" for c in COARSE_COLS]
+    return f"WITH s AS ({COARSE_SQL}) " + " UNION ALL ".join(parts)
+
+
+@register("table_create", _facts_sql("string", "int", "double", "year_num = 1999"))
 def q_table_create(spark, sf):
+    """The table as created from the summary's columns, one year loaded."""
     t = _table(spark, "table_create")
-    t.setup(_coarse(spark, sf))
-    return schema_frame(spark, t.schema())
+    s = _coarse(spark, sf)
+    t.setup(s)
+    t.insert(s.where("year_num = 1999"))
+    return column_facts(t.read())
 
 
-@register("target_schema")
+@register("target_schema", _facts_sql("string", "int", "double"))
 def q_target_schema(spark, sf):
     t = _table(spark, "target_schema")
-    t.upsert(_coarse(spark, sf))
-    return schema_frame(spark, t.schema())
+    s = _coarse(spark, sf)
+    t.upsert(s)
+    return column_facts(t.read(), {f.name: f.dataType.simpleString() for f in t.schema().fields})
 
 
-@register("dialect_types")
+@register("dialect_types", _facts_sql("VARCHAR", "BIGINT", "DOUBLE"))
 def q_dialect_types(spark, sf):
-    return dialect_types_frame(spark, weekly_summary(spark, sf).schema)
+    s = _coarse(spark, sf)
+    return column_facts(s, {f.name: column_type(f.dataType, "duckdb") for f in s.schema.fields})
 
 
 _COMMISSION = "Комісія_по_кредитам"
@@ -686,10 +700,12 @@ def q_backfill_plan(spark, sf):
     return plan_backfill(spark, path, "csv", year=1999, week=7).select(*KEYS).distinct()
 
 
-@register("backfill_schema")
+@register("backfill_schema", _facts_sql("string", "int", "double"))
 def q_backfill_schema(spark, sf):
     path, _ = _export(spark, sf, "schema")
-    return schema_frame(spark, backfill_schema(spark, path, "csv"))
+    rows = read_period_files(spark, path, "csv")
+    types = {f.name: f.dataType.simpleString() for f in backfill_schema(spark, path, "csv").fields}
+    return column_facts(rows, types)
 
 
 @register("backfill_read", COARSE_SQL)

@@ -68,12 +68,3 @@ def create_table_sql(table: str, schema: T.StructType, dialect: str,
     if dialect == "derby":
         return f"CREATE TABLE {table} ({cols})"
     return f"CREATE TABLE IF NOT EXISTS {table} ({cols})"
-
-
-def dialect_types_frame(spark, schema: T.StructType):
-    """(column, spark_type, clickhouse, duckdb, postgresql) for a schema."""
-    rows = [(f.name, f.dataType.simpleString(), column_type(f.dataType, "clickhouse"),
-             column_type(f.dataType, "duckdb"), column_type(f.dataType, "postgresql"))
-            for f in schema.fields]
-    return spark.createDataFrame(
-        rows, "column string, spark_type string, clickhouse string, duckdb string, postgresql string")

@@ -53,7 +53,7 @@ def _nonnumeric(df: DataFrame, sep: str) -> DataFrame:
             continue
         c = _q(f.name)
         if isinstance(f.dataType, _NUMERIC):
-            v = number_to_text(c, f.dataType)
+            v = _number(c, f.dataType)
         else:
             v = F.concat(F.lit('"'), F.replace(c.cast("string"), F.lit('"'), F.lit('""')), F.lit('"'))
         fields.append(F.coalesce(v, F.lit("")))
@@ -74,9 +74,18 @@ def export_csv(df: DataFrame, path: str, sep: str = ";", quoting: str = "minimal
                       max_records_per_file, mode)["rows"]
 
 
+def _number(c, kind: T.DataType):
+    """A number's CSV text: plain notation; a float keeps a fraction, so that the
+    column is read back as what it is."""
+    text = number_to_text(c, kind)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.when(F.contains(text, F.lit(".")), text).otherwise(F.concat(text, F.lit(".0")))
+    return text
+
+
 def _plain_numbers(df: DataFrame) -> DataFrame:
     """Fractional columns as text in plain notation."""
-    return df.select(*[number_to_text(_q(f.name), f.dataType).alias(f.name)
+    return df.select(*[_number(_q(f.name), f.dataType).alias(f.name)
                        if isinstance(f.dataType, _FRACTIONS) else _q(f.name)
                        for f in df.schema.fields])
 
