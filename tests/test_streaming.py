@@ -48,3 +48,34 @@ def test_period_split_over_batches_keeps_all_its_files(spark, scratch):
     q.awaitTermination()
     got = sorted((r.week_num, r.name) for r in t.read().collect())
     assert got == [(3, "z"), (4, "c")]
+
+
+def test_crash_between_batches_and_replay_lose_nothing(spark, scratch):
+    src = scratch.removeprefix("file:") + "/crash"
+    d = f"{src}/year_num=2025/week_num=3"
+    os.makedirs(d, exist_ok=True)
+    for i in range(3):
+        pd.DataFrame({"qty": [float(i)], "name": [f"r{i}"]}).to_csv(f"{d}/part-{i}.csv", sep=";", index=False)
+    t = TableSink(spark, "t_crash_" + scratch.rsplit("-", 1)[-1], location=f"{scratch}/tc")
+    ck = scratch_dir(spark, "ck")
+
+    class Crashing:
+        calls = 0
+
+        def upsert(self, df):
+            self.calls += 1
+            if self.calls == 3:
+                raise RuntimeError("lost")
+            n = t.upsert(df)
+            if self.calls == 2:
+                t.upsert(df)      # as if the batch were replayed
+            return n
+
+    q = stream_load(spark, src, Crashing(), ck, "name string, qty double", "csv", max_files_per_trigger=1)
+    try:
+        q.awaitTermination()
+    except Exception:
+        pass
+    q = stream_load(spark, src, t, ck, "name string, qty double", "csv", max_files_per_trigger=1)
+    q.awaitTermination()
+    assert sorted((r.name, r.qty) for r in t.read().collect()) == [("r0", 0.0), ("r1", 1.0), ("r2", 2.0)]

@@ -57,7 +57,3 @@ def parse_period_label(c) -> tuple[Column, Column]:
 def date_serial(c) -> Column:
     """Date or timestamp -> whole days since 1899-12-30 (time of day dropped)."""
     return F.datediff(F.to_date(_c(c)), F.lit(SERIAL_EPOCH)).cast("long")
-
-
-def py_label(year: int, week: int) -> str:
-    return PERIOD_LABEL_FORMAT % (year, week)

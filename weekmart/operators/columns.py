@@ -14,17 +14,3 @@ def align_columns(df: DataFrame, target: T.StructType | list[str]) -> DataFrame:
     names = target.fieldNames() if isinstance(target, T.StructType) else list(target)
     have = set(df.columns)
     return df.select(*[F.col(f"`{n}`") for n in names if n in have])
-
-
-def select_in_order(df: DataFrame, names: list[str], fill_missing: dict[str, T.DataType] | None = None) -> DataFrame:
-    """Project to ``names`` in that order; a name the frame lacks becomes a
-    typed null column (used before positional inserts)."""
-    fill_missing = fill_missing or {}
-    have = set(df.columns)
-    cols = []
-    for n in names:
-        if n in have:
-            cols.append(F.col(f"`{n}`"))
-        else:
-            cols.append(F.lit(None).cast(fill_missing.get(n, T.StringType())).alias(n))
-    return df.select(*cols)

@@ -24,20 +24,13 @@ def with_period(df: DataFrame, date_col: str) -> DataFrame:
     return df.withColumn("year_num", iso_year(date_col)).withColumn("week_num", iso_week(date_col))
 
 
-# A period list is bounded by its rule (a range of years has at most 54
-# weeks per year); this guard keeps a mistaken input from reaching the driver.
-MAX_PERIODS = 10_000
-
-
 def collect_periods(periods) -> list[tuple[int, int]]:
-    """The (small, rule-bounded) period set as a sorted list of pairs."""
+    """The distinct periods as a sorted list of pairs: one per calendar week at
+    most, however many rows the frame has."""
     if isinstance(periods, (list, tuple)):
         pairs = periods
     else:
-        rows = periods.select(*KEYS).limit(MAX_PERIODS + 1).collect()
-        if len(rows) > MAX_PERIODS:
-            raise ValueError(f"more than {MAX_PERIODS} periods requested")
-        pairs = [(r[0], r[1]) for r in rows]
+        pairs = [(r[0], r[1]) for r in periods.select(*KEYS).distinct().collect()]
     return sorted({(int(y), int(w)) for y, w in pairs if y is not None and w is not None})
 
 

@@ -3,8 +3,7 @@
 By default the choice is Spark's: a side is broadcast when the planner's
 size estimate is under ``spark.sql.autoBroadcastJoinThreshold``, or when
 AQE measures it under the adaptive threshold at run time; otherwise both
-sides are shuffled on the key.  A caller may add an explicit row bound
-(``max_broadcast_rows``), checked with a bounded read before hinting.
+sides are shuffled on the key.
 """
 
 from __future__ import annotations
@@ -12,31 +11,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Above this many rows a dimension is joined by shuffle (sort-merge, with
-# AQE free to switch to broadcast at run time when the real side is small).
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def has_at_most(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has at most ``n`` rows.  Reads at most n+1 rows."""
-    return df.limit(n + 1).count() <= n
-
-
 def join_dimension(fact: DataFrame, dim: DataFrame, fact_keys, dim_keys,
-                   how: str = "left", max_broadcast_rows: int | None = None,
-                   bounded: bool = False) -> DataFrame:
+                   how: str = "left", bounded: bool = False) -> DataFrame:
     """``fact`` LEFT JOIN ``dim`` (facts without a member keep nulls).
 
     ``bounded=True`` declares a dimension whose size is fixed by
-    construction (inline members); it is broadcast without a check.  With
-    ``max_broadcast_rows`` the dimension is hinted only after
-    :func:`has_at_most` proves it small.  Otherwise Spark's size checks
-    decide (see the module note).
+    construction (inline members); it is broadcast without a check.
+    Otherwise Spark's size checks decide (see the module note).
     """
     fact_keys = [fact_keys] if isinstance(fact_keys, str) else list(fact_keys)
     dim_keys = [dim_keys] if isinstance(dim_keys, str) else list(dim_keys)
-    small = bounded or (max_broadcast_rows is not None and has_at_most(dim, max_broadcast_rows))
-    right = F.broadcast(dim) if small else dim
+    right = F.broadcast(dim) if bounded else dim
     if fact_keys == dim_keys:
         return fact.join(right, fact_keys, how)
     cond = [fact[a] == right[b] for a, b in zip(fact_keys, dim_keys)]

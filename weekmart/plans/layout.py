@@ -60,7 +60,3 @@ def build_sales_layout(spark: SparkSession, sf_dir: str, database: str, location
            .option("path", f"{loc}/{name}")
            .saveAsTable(f"`{database}`.`{name}`"))
     return CATALOG_PREFIX + database
-
-
-def is_catalog_source(source: str) -> bool:
-    return source.startswith(CATALOG_PREFIX)

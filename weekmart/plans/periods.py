@@ -138,7 +138,7 @@ def period_range(spark: SparkSession, start: str, end: str, as_of: _dt.date) ->
 
 def apply_rule(spark: SparkSession, rule: str, as_of: _dt.date, n: int | None = None) -> DataFrame:
     if rule in ("last-weeks", "rolling-weeks"):
-        return last_weeks(spark, as_of, n or 0)
+        return sort_periods(last_weeks(spark, as_of, n or 0))
     table = {
         "current-month": current_month, "last-month": last_month,
         "current-quarter": current_quarter, "last-quarter": last_quarter,
@@ -146,7 +146,7 @@ def apply_rule(spark: SparkSession, rule: str, as_of: _dt.date, n: int | None =
     }
     if rule not in table:
         raise ValueError(f"unknown period rule {rule!r}; expected one of {RULES}")
-    return table[rule](spark, as_of)
+    return sort_periods(table[rule](spark, as_of))
 
 
 # -- set operations against the weeks that hold data -------------------------
@@ -167,13 +167,10 @@ def intersect_periods(periods: DataFrame, available: DataFrame) -> DataFrame:
 
 
 def sort_periods(periods: DataFrame) -> DataFrame:
+    """Periods in calendar order (a handful of rows: one per week)."""
     return periods.orderBy(*KEYS)
 
 
-def distinct_periods(periods: DataFrame) -> DataFrame:
-    return periods.select(*KEYS).distinct()
-
-
 # -- resolver -----------------------------------------------------------------
 
 @dataclass
@@ -220,5 +217,5 @@ def resolve_periods(spark: SparkSession, as_of: _dt.date, available: DataFrame,
             wanted = period_range(spark, a, b, as_of)
         else:
             wanted = period_range(spark, spec.start, spec.end, as_of)
-        return keep_available(wanted, available)
+        return sort_periods(keep_available(wanted, available))
     return current_week(spark, as_of)

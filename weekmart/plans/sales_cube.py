@@ -148,8 +148,7 @@ def inline_dimensions(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
             _values_frame(spark, PROMO, PROMO_SCHEMA))
 
 
-def order_dimension(spark: SparkSession, sf_dir: str,
-                    max_broadcast_rows: int | None = None) -> DataFrame:
+def order_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders -> customer -> nation collapsed into one order-keyed arm (read
     as is from a layout source, where it is stored bucketed by order key)."""
     if sf_dir.startswith("catalog:"):
@@ -157,12 +156,10 @@ def order_dimension(spark: SparkSession, sf_dir: str,
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     customer = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    cust = join_dimension(customer, nation, "c_nationkey", "n_nationkey",
-                          max_broadcast_rows=max_broadcast_rows)
+    cust = join_dimension(customer, nation, "c_nationkey", "n_nationkey")
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    od = join_dimension(orders, cust, "o_custkey", "c_custkey",
-                        max_broadcast_rows=max_broadcast_rows)
+    od = join_dimension(orders, cust, "o_custkey", "c_custkey")
     return od.select(
         "o_orderkey",
         F.col("c_name").alias("Agents_hybrid[name]"),
@@ -177,7 +174,6 @@ ORDER_ARM = ("Agents_hybrid[", "Markets[", "Channel_type[", "Price_types[name]",
 
 
 def sales_cube(spark: SparkSession, sf_dir: str, fact: DataFrame | None = None,
-               max_broadcast_rows: int | None = None,
                dims: list[str] | None = None) -> CubeModel:
     """Build the cube.  ``fact`` may be a pre-filtered lineitem frame (for
     example date-range pruned); by default the whole table.
@@ -198,16 +194,20 @@ def sales_cube(spark: SparkSession, sf_dir: str, fact: DataFrame | None = None,
                    "l_linestatus", "l_shipdate")
     part = read_table(spark, sf_dir, "part").select(
         "p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
-    kw = {"max_broadcast_rows": max_broadcast_rows}
 
+    # The part arm goes first, so that a category filter cuts the fact before it is
+    # dealt by order key.  A stored layout is bucketed by order key: there the
+    # order arm goes first and needs no exchange.
     x = li
+    arms = [(part, "l_partkey", "p_partkey")]
     if need_order:
-        x = join_dimension(x, order_dimension(spark, sf_dir, max_broadcast_rows),
-                           "l_orderkey", "o_orderkey", **kw)
-    x = join_dimension(x, part, "l_partkey", "p_partkey", **kw)
+        arm = (order_dimension(spark, sf_dir), "l_orderkey", "o_orderkey")
+        arms = [arm, *arms] if sf_dir.startswith("catalog:") else [*arms, arm]
+    for dim, fact_key, dim_key in arms:
+        x = join_dimension(x, dim, fact_key, dim_key)
     if need_supplier:
         supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-        x = join_dimension(x, supplier, "l_suppkey", "s_suppkey", **kw)
+        x = join_dimension(x, supplier, "l_suppkey", "s_suppkey")
     credit, promo = inline_dimensions(spark)
     if need_credit:
         x = join_dimension(x, credit, "l_linestatus", "cp_key", bounded=True)

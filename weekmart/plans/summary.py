@@ -62,10 +62,6 @@ def sales_available_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return available_periods(read_table(spark, sf_dir, "lineitem"))
 
 
-def rename_columns(df: DataFrame, names: list[str]) -> DataFrame:
-    return df.toDF(*names)
-
-
 def bare_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*bare_names(df.columns))
 
@@ -92,8 +88,7 @@ def to_sink_form(df: DataFrame) -> DataFrame:
 
 def weekly_summary(spark: SparkSession, sf_dir: str, periods: DataFrame | None = None,
                    category: str | None = None, dims: list[str] | None = None,
-                   measure_names: list[str] | None = None,
-                   max_broadcast_rows: int | None = None) -> DataFrame:
+                   measure_names: list[str] | None = None) -> DataFrame:
     """The export's result in sink form for the given periods (all weeks
     when ``periods`` is None), optionally for one ``fg1_name`` category."""
     fact = read_table(spark, sf_dir, "lineitem")
@@ -106,7 +101,7 @@ def weekly_summary(spark: SparkSession, sf_dir: str, periods: DataFrame | None =
     need = list(dims) if dims is not None else None
     if category and need is not None and "Goods[fg1_name]" not in need:
         need.append("Goods[fg1_name]")
-    cube = sales_cube(spark, sf_dir, fact=fact, max_broadcast_rows=max_broadcast_rows, dims=need)
+    cube = sales_cube(spark, sf_dir, fact=fact, dims=need)
     if category:
         cube.base = where_category(cube.base, cube.filters["fg1_name"], category)
     return to_sink_form(cube_summary(cube, dims=dims, measure_names=measure_names))

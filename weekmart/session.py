@@ -8,7 +8,6 @@ tests) do we pick a folder of our own.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -52,27 +51,30 @@ def build_session(master: str | None = "local[8]", app: str = "weekmart",
     return spark
 
 
+def _qualified(spark: SparkSession, path: str):
+    """The folder as a Hadoop path with its scheme, and its file system: a path
+    without a scheme belongs to the default file system, as Spark reads it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.makeQualified(p), fs
+
+
 def _checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; also makes sure ``checkpoint()`` can use it."""
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        # Unset only in local tests: take a private folder.
+        # A machine's own folder serves only where one machine does all the work.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="weekmart-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
-    return root.rstrip("/")
+    return _qualified(spark, root)[0].toString().rstrip("/")
 
 
 def scratch_dir(spark: SparkSession, name: str = "run") -> str:
     """A fresh, unique folder under the shared checkpoint root."""
-    root = _checkpoint_root(spark)
-    path = f"{root}/weekmart/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.removeprefix("file:"), exist_ok=True)
-    return path
-
-
-def ensure_dynamic_overwrite(spark: SparkSession) -> None:
-    """Per-period replace relies on dynamic partition overwrite."""
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    path, fs = _qualified(spark, f"{_checkpoint_root(spark)}/weekmart/{name}-{uuid.uuid4().hex[:12]}")
+    fs.mkdirs(path)
+    return path.toString()

@@ -114,7 +114,6 @@ class TableSink:
             else F.col(_q(f.name)) for f in old.schema.fields])
         tmp = f"{self.table}__widen_{uuid.uuid4().hex[:8]}"
         loc = f" LOCATION '{self.location.rstrip('/')}_{uuid.uuid4().hex[:8]}'" if self.location else ""
-        new.createOrReplaceTempView("__weekmart_widen_src")
         ddl = column_ddl(new.schema, "spark")
         parts = ", ".join(_q(k) for k in self.keys)
         self.spark.sql(f"CREATE TABLE {_qt(tmp)} ({ddl}) USING parquet PARTITIONED BY ({parts}){loc}")
@@ -185,16 +184,5 @@ class TableSink:
             conf.set("spark.sql.sources.partitionOverwriteMode", before)
         return observed_rows(obs)
 
-    def purge_periods(self, pairs) -> None:
-        """Delete periods that a run asked for but that produced no rows
-        (off by default: an empty period leaves old rows, as before)."""
-        for y, w in pairs:
-            self.delete_period(y, w)
-
     def close(self) -> None:
         pass
-
-
-def target_schema(spark: SparkSession, table: str) -> T.StructType:
-    """The target's column names and types as the catalog records them."""
-    return spark.table(table).schema

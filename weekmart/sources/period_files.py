@@ -102,8 +102,13 @@ def _parquet_layout(path: str) -> str | None:
 
 def file_layouts(spark: SparkSession, root: str, fmt: str = "csv",
                  year: int | None = None, week: int | None = None) -> DataFrame:
-    """(path, year_num, week_num, layout, error) of every period file: files are
-    dealt over the cluster and each is opened once, at its start only."""
+    """:func:`layouts_of` every period file under root."""
+    return layouts_of(spark, period_files(spark, root, fmt, year, week).drop("length"), fmt)
+
+
+def layouts_of(spark: SparkSession, files: DataFrame, fmt: str = "csv") -> DataFrame:
+    """(path, year_num, week_num, layout, error) of the listed files, which are
+    dealt over the cluster and opened once each, at their start only."""
     layout_of = {"csv": _csv_layout, "parquet": _parquet_layout}[fmt]
 
     def run(batches):
@@ -119,9 +124,8 @@ def file_layouts(spark: SparkSession, root: str, fmt: str = "csv",
                 errors.append(error)
             yield pdf.assign(layout=layouts, error=errors)
 
-    files = period_files(spark, root, fmt, year, week).drop("length") \
-        .repartition(4 * spark.sparkContext.defaultParallelism, "path")
-    scanned = files.mapInPandas(
+    dealt = files.repartition(4 * spark.sparkContext.defaultParallelism, "path")
+    scanned = dealt.mapInPandas(
         run, "path string, year_num int, week_num int, layout string, error string")
     out = scratch_dir(spark, "layouts")
     scanned.write.mode("overwrite").parquet(out)

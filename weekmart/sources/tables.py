@@ -1,22 +1,9 @@
-"""Reading a target's schema back."""
+"""What a table's columns hold."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-
-def target_schema(spark: SparkSession, table: str) -> T.StructType:
-    return spark.table(table).schema
-
-
-def jdbc_schema(spark: SparkSession, url: str, table: str, properties: dict | None = None) -> T.StructType:
-    """Columns of a JDBC table (Spark asks the database for a zero-row result)."""
-    r = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    for k, v in (properties or {}).items():
-        r = r.option(k, v)
-    return r.load().schema
 
 
 def column_facts(df: DataFrame, types: dict[str, str] | None = None) -> DataFrame:

@@ -1,49 +1,100 @@
 """Incremental period load: a growing directory of period files, each
-micro-batch replacing the periods it carries in the target.
-
-``readStream`` over the files (the stream's checkpoint remembers which
-files were taken) -> period from each row's file path -> ``foreachBatch``
-upsert (dynamic partition overwrite, idempotent if a batch is replayed
-after a failure) -> ``Trigger.AvailableNow`` so a scheduled run takes
-everything new and stops.  Two files of one period in one batch land
-together; in different batches the later batch wins.
-
-With ``max_files_per_trigger`` one run is cut into several batches, and
-the files of one period (the part files of a ``year_num=/week_num=``
-directory) can fall into different batches.  Within an ``AvailableNow``
-run the first batch that carries a period replaces it and later batches
-of the same run append to it, so the run -- not the batch -- is the unit
-that replaces a period.  The set of replaced periods lives in the
-driver for one run: if a run dies between two batches of a split period,
-the restarted run replaces that period again from the replayed batch, so
-re-load the affected periods with the batch back-load after such a failure.
+micro-batch replacing the periods it touches in the target.
+
+The stream only discovers files (``binaryFile`` without its content); its
+checkpoint remembers which ones were taken.  ``foreachBatch`` then loads every
+touched period whole, from all files that the present run has seen of it, by
+column name, and replaces the period.  Which files a run has seen is kept in a
+small file beside the checkpoint, written before the load: a replayed batch adds
+nothing new to it and loads the same rows again, and a restart after a crash goes
+on with the same run, so neither the batch size nor a failure changes the result.
+
+A run is what ``AvailableNow`` takes in one go: it is over when every file that
+was there at its start has been taken.  A later run that brings new files of a
+period replaces that period.  A file that cannot be read fails the batch.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections import defaultdict
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weekmart.operators.filters import period_key
-from weekmart.sources.period_files import _period_from_path
+from weekmart.sources.period_files import (
+    _GLOBS, _period_from_path, _rows_of, layouts_of, period_files,
+)
+
+# Fixed value: the columns of Spark's binaryFile source.
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def period_stream(spark: SparkSession, root: str, schema: T.StructType | str, fmt: str = "csv",
-                  sep: str = ";", max_files_per_trigger: int | None = None) -> DataFrame:
-    r = (spark.readStream.schema(schema)
-         .option("recursiveFileLookup", "true")
-         .option("pathGlobFilter", f"*.{fmt}"))
+def period_stream(spark: SparkSession, root: str, fmt: str = "csv",
+                  max_files_per_trigger: int | None = None) -> DataFrame:
+    """(path, year_num, week_num) of period files as they appear."""
+    r = (spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
+         .option("recursiveFileLookup", "true").option("pathGlobFilter", _GLOBS.get(fmt, f"*.{fmt}")))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    if fmt == "csv":
-        df = r.option("header", "true").option("sep", sep).csv(root)
-    else:
-        df = r.parquet(root)
-    data = [c for c in df.columns if c not in ("year_num", "week_num")]
-    y, w = _period_from_path(F.col("_metadata.file_path"), fmt)
-    out = df.select(*[F.col(f"`{c}`") for c in data], y.alias("year_num"), w.alias("week_num"))
-    return out.where(F.col("year_num").isNotNull() & F.col("week_num").isNotNull())
+    y, w = _period_from_path(F.col("path"), fmt)
+    found = r.load(root).select("path", y.alias("year_num"), w.alias("week_num"))
+    return found.where("year_num is not null and week_num is not null")
+
+
+class RunState:
+    """The files of the run in progress, kept as JSON beside the checkpoint."""
+
+    def __init__(self, location: str):
+        from weekmart.sinks.deliver import _filesystem
+        self.fs, base = _filesystem(location)
+        self.path = f"{base.rstrip('/')}-run.json"
+        self.expected: set[str] = set()      # there when the run began
+        self.taken: dict[str, list[str]] = {}  # per period, before it is loaded
+        self.loaded: set[str] = set()
+        self.epoch = -1                      # of the last batch
+        self.over = False                    # the run before this one was finished
+
+    def load(self) -> None:
+        from pyarrow import fs as pafs
+        if self.fs.get_file_info(self.path).type != pafs.FileType.NotFound:
+            with self.fs.open_input_stream(self.path) as f:
+                told = json.loads(f.read())
+            self.expected, self.loaded = set(told["expected"]), set(told["loaded"])
+            self.taken, self.epoch = told["taken"], told["epoch"]
+
+    def save(self) -> None:
+        told = {"expected": sorted(self.expected), "loaded": sorted(self.loaded),
+                "taken": self.taken, "epoch": self.epoch}
+        self.fs.create_dir(self.path.rsplit("/", 1)[0], recursive=True)
+        tmp = f"{self.path}.{uuid.uuid4().hex}"
+        with self.fs.open_output_stream(tmp) as f:
+            f.write(json.dumps(told).encode())
+        self.fs.move(tmp, self.path)
+
+    def begin(self, present: set[str]) -> None:
+        """A new run, unless the last one was cut short."""
+        self.load()
+        self.over = self.expected <= self.loaded
+        self.expected = present if self.over else self.expected | present
+
+    def take(self, files: list[tuple[str, int, int]], epoch: int) -> set[tuple[int, int]]:
+        """Note a batch's files; returns the periods they touch.  The last run's
+        files are forgotten with the first batch that does not replay its last."""
+        if self.over and epoch != self.epoch:
+            self.taken, self.loaded, self.over = {}, set(), False
+        found = defaultdict(set, {k: set(v) for k, v in self.taken.items()})
+        for path, year, week in files:
+            found[f"{year}-{week}"].add(path)
+        self.taken, self.epoch = {k: sorted(v) for k, v in found.items()}, epoch
+        self.save()
+        return {(year, week) for _, year, week in files}
+
+    def done(self) -> None:
+        self.loaded = {p for paths in self.taken.values() for p in paths}
+        self.save()
 
 
 def stream_load(spark: SparkSession, root: str, sink, checkpoint: str,
@@ -51,24 +102,25 @@ def stream_load(spark: SparkSession, root: str, sink, checkpoint: str,
                 clean=None, available_now: bool = True, max_files_per_trigger: int | None = None):
     """Start the load; with ``available_now`` it runs to the end of the
     files present and stops.  Returns the StreamingQuery."""
-    stream = period_stream(spark, root, schema, fmt, sep, max_files_per_trigger)
-    split_run = available_now and bool(max_files_per_trigger)
-    replaced: set[tuple[int, int]] = set()   # periods this run has replaced
+    state = RunState(checkpoint)
+    state.begin({r.path for r in period_files(spark, root, fmt).select("path").collect()})
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        b = clean(batch) if clean is not None else batch
-        if not split_run:
-            sink.upsert(b)
+        # One row per file of the trigger.
+        touched = state.take([(r.path, r.year_num, r.week_num) for r in batch.collect()], epoch_id)
+        files = [(p, y, w) for y, w in sorted(touched) for p in state.taken[f"{y}-{w}"]]
+        if not files:
             return
-        # The batch's periods: bounded by the files of one trigger.
-        keys = {(r[0], r[1]) for r in b.select("year_num", "week_num").distinct().collect()}
-        seen = period_key().isin(sorted(y * 100 + w for y, w in keys & replaced))
-        if keys - replaced:
-            sink.upsert(b.where(~seen))
-        if keys & replaced:
-            sink.insert(b.where(seen))
-        replaced.update(keys)
-
-    w = stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
+        listed = spark.createDataFrame(files, "path string, year_num int, week_num int")
+        layouts = layouts_of(spark, listed, fmt)
+        bad = layouts.where("error is not null").first()
+        if bad:
+            raise OSError(f"cannot read {bad['path']}: {bad['error']}")
+        rows = _rows_of(spark, layouts, fmt, sep, schema)
+        sink.upsert(clean(rows) if clean is not None else rows)
+        state.done()
+
+    w = period_stream(spark, root, fmt, max_files_per_trigger).writeStream \
+        .foreachBatch(load_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
