@@ -116,6 +116,9 @@ def shared_runs(texts: DataFrame) -> DataFrame:
     shared = rows.groupBy("anchor").agg(F.min("t1").alias("a"), F.max("t1").alias("b"),
                                         F.count("*").alias("c")) \
         .where("a < b").select("anchor", (F.col("c") > HOT_TEXTS).alias("hot"))
+    # Read back from storage, so that the join's sides are plain exchanges and a
+    # common anchor's rows can be split over tasks.
+    shared = stored(shared)
     return rows.join(shared, "anchor").groupBy("t1", "t2", "doc").agg(
         F.collect_list(F.struct("anchor", "first", "count", "hot")).alias("runs"))
 
