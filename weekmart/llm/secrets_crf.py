@@ -303,13 +303,27 @@ def train(texts: list[str], t: Training = Training()) -> Model:
 
 def training_texts(docs: DataFrame, t: Training = Training()) -> list[str]:
     """The sample: the documents with the smallest id hashes among those that
-    hold a base secret, and as many among all."""
+    hold a base secret, and as many among all.
+
+    Only documents below a hash bound take part, and the bound is raised until
+    enough are found, so what the tasks send does not grow with their number."""
     suspect = (r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]|AKIA[A-Z0-9]{16}"
                r"|[0-9a-f]{24}")
-    rows = docs.select("text", F.xxhash64("doc_id").alias("h")).where("text is not null")
-    some = rows.where(F.col("text").rlike(suspect)).orderBy("h", "text").limit(t.documents)
-    rest = rows.orderBy("h", "text").limit(t.documents)
-    return [r.text for r in some.collect()] + [r.text for r in rest.collect()]
+    scale = 1 << 30
+    rows = docs.where("text is not null").select(
+        "text", F.pmod(F.xxhash64("doc_id"), F.lit(scale)).alias("h"))
+    n = max(1, docs.count())
+
+    def smallest(share: float, wanted) -> list[str]:
+        below = rows.where(F.col("h") < int(min(1.0, share) * scale)).where(wanted)
+        return [r.text for r in below.orderBy("h", "text").limit(t.documents).collect()]
+
+    share = 8 * t.documents / n
+    some = smallest(share, F.col("text").rlike(suspect))
+    while len(some) < t.documents and share < 1:
+        share *= 8
+        some = smallest(share, F.col("text").rlike(suspect))
+    return some + smallest(2 * t.documents / n, F.lit(True))
 
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:
