@@ -205,7 +205,8 @@ def simhash_report(docs: DataFrame) -> DataFrame:
 
 def first_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest
-    doc_id.  Rows that repeat that doc_id all stay with it."""
+    doc_id.  Rows that repeat that doc_id all stay with it; rows without a
+    doc_id stay if some component has none at all, else they go."""
     kept = near_duplicates(docs, shingle, max_bits) \
         .where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     k = kept.withColumnRenamed("doc_id", "kept_id")
