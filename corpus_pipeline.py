@@ -6,8 +6,8 @@ each result as Parquet to the shared checkpoint folder and reads it back as the
 next stage's input.
 
 * quality_rules keeps the documents that pass the threshold table.
-* near_duplicates keeps of each SimHash component the document with the
-  smallest doc_id.
+* near_duplicates keeps of each SimHash component one document, with the
+  smallest doc_id; rows that share that id are reduced to one as well.
 * decontaminate drops documents that hold a 10-word window of a benchmark item.
 * redact_pii replaces personal data in ``text`` and updates ``n_chars``.
 * mix_sources draws documents to the target weights: its rows carry

@@ -21,6 +21,7 @@ Defined cases: null or empty text (no words) has fingerprint zero and links like
 any other; a text shorter than the shingle is one shingle; repeated rows are kept
 and share a component; a null doc_id is never a component id unless its whole
 component is null; further columns do not matter; an empty table gives none.
+``first_of_each`` keeps one row of each component, whatever ids its rows have.
 """
 
 from __future__ import annotations
@@ -29,10 +30,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+
 from weekmart.llm.storage import stored
+from weekmart.llm.text import free_name
 
 SEED = 42
 BITS = 64
@@ -65,18 +69,21 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
     return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp) of every row; ``fp`` holds the 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = 3, **hashes: Column) -> DataFrame:
+    """(doc_id, fp) of every row; ``fp`` holds the 64 bits as a signed long.
+    ``hashes`` are further long columns to compute beside them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([fingerprint(t.as_buffer().to_pybytes() if t.is_valid else None, shingle)
                             for t in b.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))],
-                                             names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(fps.view(np.int64)), *b.columns[2:]], names=names)
 
+    names = ["doc_id", "fp", *hashes]
     kind = docs.schema["doc_id"].dataType.simpleString()
-    narrow = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    return narrow.mapInArrow(run, f"doc_id {kind}, fp bigint")
+    narrow = docs.select("doc_id", F.col("text").cast("binary").alias("text"),
+                         *[c.alias(n) for n, c in hashes.items()])
+    return narrow.mapInArrow(run, ", ".join([f"doc_id {kind}", *[f"{n} bigint" for n in names[1:]]]))
 
 
 def segments(bits: list[int], max_bits: int) -> list[list[int]]:
@@ -186,13 +193,18 @@ def components(edges: DataFrame) -> DataFrame:
     return e.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")
 
 
+def _rooted(nodes: DataFrame, max_bits: int) -> DataFrame:
+    """``nodes`` (one row per ``fp``) with the root of their component."""
+    roots = components(links(nodes.select("fp"), max_bits))
+    return nodes.join(roots, F.col("fp") == F.col("node"), "left").select(
+        *nodes.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """(doc_id, fp, component_id) of every row of ``docs``."""
     prints = stored(fingerprints(docs, shingle))
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first_doc")))
-    roots = components(links(nodes.select("fp"), max_bits))
-    labelled = nodes.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "first_doc", F.coalesce("root", "fp").alias("root"))
+    labelled = _rooted(nodes, max_bits)
     ids = labelled.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     by_print = labelled.join(ids, "root").select("fp", "component_id")
     return prints.join(by_print, "fp").select("doc_id", "fp", "component_id")
@@ -203,11 +215,44 @@ def simhash_report(docs: DataFrame) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _has_map(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return any(_has_map(f.dataType) for f in kind)
+    return isinstance(kind, MapType) or isinstance(kind, ArrayType) and _has_map(kind.elementType)
+
+
+def row_hashes(docs: DataFrame) -> dict[str, Column]:
+    """Hashes of a row's text and of its columns besides doc_id and text."""
+    rest = [F.to_json(docs[f.name]) if _has_map(f.dataType) else docs[f.name]
+            for f in docs.schema if f.name.lower() not in ("doc_id", "text")]
+    return {"text_hash": F.xxhash64(docs["text"]),
+            "rest_hash": F.xxhash64(*rest) if rest else F.lit(0).cast("bigint")}
+
+
 def first_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest
-    doc_id.  Rows that repeat that doc_id all stay with it; rows without a
-    doc_id stay if some component has none at all, else they go."""
-    kept = near_duplicates(docs, shingle, max_bits) \
-        .where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    k = kept.withColumnRenamed("doc_id", "kept_id")
-    return docs.join(k, docs["doc_id"].eqNullSafe(k["kept_id"]), "left_semi")
+    """``docs`` with one row of each component: one with the smallest doc_id (a
+    null id only if the component has no other), among rows that share it the
+    one with the smallest hashes.  Equal rows are one."""
+    hashes = row_hashes(docs)
+    key = ["doc_id", *hashes]
+    prints = stored(fingerprints(docs, shingle, **hashes))
+    copies = prints.groupBy("fp", *key).agg(F.count("*").alias("copies"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), *key, "copies")).alias("first")
+    nodes = stored(copies.groupBy("fp").agg(first))
+    kept = stored(_rooted(nodes, max_bits).groupBy("root").agg(F.min("first").alias("first"))
+                  .select(*[F.col(f"first.{c}").alias(f"kept_{c}") for c in (*key, "copies")]))
+
+    def rows_of(keys: DataFrame) -> DataFrame:
+        same = docs["doc_id"].eqNullSafe(keys["kept_doc_id"])
+        for name, value in hashes.items():
+            same = same & (value == keys[f"kept_{name}"])
+        return docs.join(keys, same, "left_semi")
+
+    once = rows_of(kept.where("kept_copies = 1"))
+    repeated = kept.where("kept_copies > 1")
+    if not repeated.take(1):
+        return once
+    name = free_name(docs.columns, "row_key")
+    one = rows_of(repeated).withColumn(name, F.struct(docs["doc_id"], *hashes.values())) \
+        .dropDuplicates([name]).drop(name)
+    return once.unionByName(one)
