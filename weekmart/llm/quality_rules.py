@@ -4,6 +4,12 @@
 rule to apply).  ``quality_metrics`` computes the counts, ``judge`` compiles the
 table into one boolean column; there is no user function and no shuffle.
 
+The stop-word rule needs a list for the text's language, so it holds for
+documents whose ``lang`` is one of ``LISTED_LANGS`` (``en-US`` counts as ``en``).
+Without a ``lang`` (null, blank, ``und``, or no such column) it holds unless more
+than half of the words have a letter that is not Latin.  All other texts are
+judged by the remaining rules.
+
 Defined cases: null text counts as empty (no words, rejected as too short);
 repeated rows are judged row by row; every other column is carried along
 untouched; an empty table gives an empty result.
@@ -18,7 +24,8 @@ from pyspark.sql import functions as F
 
 from weekmart.llm.text import SPACE_CHARS, computed_once, free_name, lower_ascii, space_words
 
-# Frequent function words of the four corpus languages.
+# Frequent function words of the listed languages.
+LISTED_LANGS = ("en", "de", "fr", "es")
 STOP_WORDS = (
     "the of and to in a is that for it with as on by this was "
     "der die und in den von zu das mit sich des auf ist im dem nicht ein eine als auch "
@@ -27,6 +34,7 @@ STOP_WORDS = (
 ).split()
 
 SYMBOLS = r"[#*$%&|<>]"
+OTHER_SCRIPT = r"[\p{L}&&[^\p{IsLatin}]]"
 
 # metric, comparison that must hold, bound, only from this many words
 THRESHOLDS: tuple[tuple[str, str, float, int], ...] = (
@@ -53,8 +61,22 @@ def _repeat_words(positions: str) -> Column:
     return F.aggregate(gaps, F.lit(0).cast("long"), lambda a, x: a + x)
 
 
+def _has_stop_words(docs: DataFrame, words: Column) -> Column:
+    """True where ``STOP_WORDS`` has words of the text's language."""
+    foreign = F.size(F.filter(words, lambda x: x.rlike(OTHER_SCRIPT)))
+    by_script = 2 * foreign <= F.size(words)
+    lang = next((f.name for f in docs.schema if f.name.lower() == "lang"
+                 and f.dataType.typeName() in ("string", "varchar", "char")), None)
+    if lang is None:
+        return by_script
+    code = F.lower(F.trim(F.regexp_replace(F.col(lang), "[-_].*$", "")))
+    unknown = F.coalesce(code, F.lit("")).isin("", "und")
+    return F.when(unknown, by_script).otherwise(code.isin(*LISTED_LANGS))
+
+
 def quality_metrics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` plus the counts of ``COUNTS`` in a struct column ``quality``.
+    """``docs`` plus the counts of ``COUNTS`` in a struct column ``quality``,
+    with ``stop_rule`` true where the stop-word rule can be applied.
 
     A repeated window is found by sorting the document's (window hash, start)
     pairs and comparing neighbours, so the work is n log n in its words.  Two
@@ -96,7 +118,8 @@ def quality_metrics(docs: DataFrame, text: str = "text") -> DataFrame:
         _repeat_words(pos).alias("n_repeat_words"),
         F.regexp_count(body, F.lit("!")).cast("long").alias("n_bangs"),
         F.size(F.col(ln)).cast("long").alias("n_lines"),
-        stops.cast("long").alias("n_stop_words"))
+        stops.cast("long").alias("n_stop_words"),
+        _has_stop_words(docs, words).alias("stop_rule"))
     return df.withColumn("quality", computed_once(counts)).drop(w, h, o, pos, ln, lw)
 
 
@@ -119,7 +142,10 @@ def judge(quality: Column, thresholds: Sequence[tuple[str, str, float, int]] = T
     for metric, comparison, bound, least_words in thresholds:
         value = _metric(metric, quality)
         holds = value >= bound if comparison == ">=" else value <= bound
-        verdict = verdict & (holds | (quality["n_words"] < least_words))
+        exempt = quality["n_words"] < least_words
+        if metric == "stop_ratio":
+            exempt = exempt | ~quality["stop_rule"]
+        verdict = verdict & (holds | exempt)
     return verdict
 
 
@@ -143,7 +169,8 @@ def keep_good(docs: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
 def quality_report(docs: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
     """One row per document: the base counts and the verdict."""
     q = F.col("quality")
-    judged = quality_metrics(docs.select("doc_id", "text"))
+    named = [c for c in docs.columns if c.lower() == "lang"]
+    judged = quality_metrics(docs.select("doc_id", "text", *named))
     return judged.select(
         "doc_id", q["n_words"].alias("n_words"), q["word_chars"].alias("word_chars"),
         q["n_symbols"].alias("n_symbols"), q["n_dup_lines"].alias("n_dup_lines"),
