@@ -1,11 +1,14 @@
 """URL filters: fixed host/path rules, then association rules mined from labels.
 
 Labelled URLs become sets of tokens (host labels, path segments, query names);
-Spark's FP-growth mines the combinations that imply a bad label.  Rules below
-the support or confidence bound are pruned, and so is a rule whose tokens
-include those of another rule at least as confident.  Rules are matched by an
-inverted index: token -> rules, joined to the URLs' tokens; a rule applies to a
-URL when all its tokens have met.
+Spark's FP-growth mines the combinations that at least ``MIN_BAD_PAGES`` bad pages
+share, a number that does not depend on the table's size; their confidence is
+counted over all labelled pages.  Tokens that stand in exactly the same labelled
+URLs are mined as one and written out again afterwards, so that a long repeated
+URL does not give every subset of its tokens.  Rules below the confidence bound
+are pruned, and so is a rule whose tokens include those of another rule at least
+as confident.  Rules are matched by an inverted index: a rule's rarest token ->
+rule, joined to the URLs' tokens; a rule applies to a URL that has all its tokens.
 
 Defined cases: a url that is null or has no ``://`` has empty host and path,
 matches no fixed rule and no mined one; pages without label are not used to
@@ -32,9 +35,8 @@ RULES: tuple[tuple[str, str, str], ...] = (
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 )
-MIN_SUPPORT = 0.005
+MIN_BAD_PAGES = 3
 MIN_CONFIDENCE = 0.6
-BAD = "label:bad"
 
 
 def host_of(url: Column) -> Column:
@@ -69,42 +71,78 @@ def tokens(url: Column) -> Column:
     return F.array_distinct(F.concat(labels, parts, names))
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT,
+def holding(sets: DataFrame, rows: DataFrame, items: str) -> DataFrame:
+    """``rows`` joined to the sets (set_id, members, rare, ...) that the array
+    ``items`` holds; found by each set's rarest member."""
+    posts = rows.select("*", F.explode(items).alias("rare"))
+    return posts.join(sets, "rare").where(F.size(F.array_except("members", items)) == 0)
+
+
+def _with_rarest(sets: DataFrame, seen: DataFrame) -> DataFrame:
+    """``sets`` (set_id, members, ...) with the member that the fewest pages have."""
+    rare = sets.select("set_id", F.explode("members").alias("item")).join(seen, "item") \
+        .groupBy("set_id").agg(F.min(F.struct("pages", "item"))["item"].alias("rare"))
+    return sets.join(rare, "set_id")
+
+
+def mine(labelled: DataFrame, min_bad: int = MIN_BAD_PAGES,
          min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """(rule_id, tokens, confidence) from rows (url, bad)."""
+    """(rule_id, tokens, confidence, rare) from rows (url, bad)."""
     spark = labelled.sparkSession
-    baskets = labelled.select(F.concat(
-        tokens(F.col("url")), F.when(F.col("bad"), F.array(F.lit(BAD)))
-        .otherwise(F.array().cast("array<string>"))).alias("items")).where(F.size("items") > 0)
-    if not baskets.take(1):
-        return spark.range(0).selectExpr("id rule_id", "array('') tokens", "0.0D confidence")
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence) \
-        .fit(baskets)
-    rules = model.associationRules.where(F.array_contains("consequent", BAD)).select(
-        F.array_sort("antecedent").alias("tokens"), "confidence")
-    rules = rules.select(F.xxhash64("tokens").alias("rule_id"), "tokens", "confidence")
-    rules = stored(rules)
+    urls = stored(labelled.where("url is not null").groupBy("url").agg(
+        F.count("*").alias("pages"), F.count(F.when(F.col("bad"), 1)).alias("bad_pages")))
+    words = urls.select("*", F.explode(tokens(F.col("url"))).alias("token"))
+    # Tokens of the same URLs have equal counts and hash sums.
+    by_token = words.groupBy("token").agg(
+        F.sum("pages").alias("pages"), F.sum("bad_pages").alias("bad_pages"),
+        F.sum(F.xxhash64("url").cast("decimal(38,0)")).alias("h1"),
+        F.bit_xor(F.xxhash64("url", F.lit(1))).alias("h2")).where(F.col("bad_pages") >= min_bad)
+    classes = stored(by_token.groupBy("pages", "bad_pages", "h1", "h2").agg(
+        F.min("token").alias("item"), F.collect_list("token").alias("names")))
+    baskets = stored(words.select("url", "token").join(
+        classes.select("item", F.explode("names").alias("token")), "token")
+        .groupBy("url").agg(F.collect_set("item").alias("items")).join(urls, "url"))
+    bad = baskets.where("bad_pages > 0").select(
+        "items", F.explode(F.sequence(F.lit(1), F.col("bad_pages"))).alias("i")).select("items")
+    n_bad = bad.count()
+    if n_bad == 0:
+        return spark.range(0).selectExpr("id rule_id", "array('') tokens", "0.0D confidence", "'' rare")
+    found = FPGrowth(itemsCol="items", minSupport=(min_bad - 0.5) / n_bad).fit(bad).freqItemsets
+    sets = stored(found.select(F.xxhash64(F.array_sort("items")).alias("set_id"),
+                               F.array_sort("items").alias("members"), "freq"))
+    sets = stored(_with_rarest(sets, classes.select("item", "pages")))
+    counted = holding(sets, baskets.select("items", "pages"), "items") \
+        .groupBy("set_id").agg(F.sum("pages").alias("pages"))
+    sure = stored(sets.join(counted, "set_id").withColumn("confidence", F.col("freq") / F.col("pages"))
+                  .where(F.col("confidence") >= min_confidence).drop("pages", "freq"))
     # A rule that holds all tokens of another at least as confident adds nothing.
-    posts = rules.select("rule_id", F.size("tokens").alias("n"), "confidence",
-                         F.explode("tokens").alias("token"))
-    a, b = posts.alias("a"), posts.alias("b")
-    covered = a.join(b, F.col("a.token") == F.col("b.token")) \
-        .where("b.n < a.n and b.confidence >= a.confidence") \
-        .groupBy("a.rule_id", "b.rule_id", "b.n").agg(F.count("*").alias("c")) \
-        .where("c = n").select(F.col("a.rule_id").alias("rule_id")).distinct()
-    return rules.join(covered, "rule_id", "left_anti")
+    larger = sure.select(F.col("set_id").alias("a_id"), F.col("members").alias("a_members"),
+                         F.col("confidence").alias("a_confidence"))
+    covered = holding(sure, larger, "a_members") \
+        .where("size(members) < size(a_members) and confidence >= a_confidence") \
+        .select(F.col("a_id").alias("set_id")).distinct()
+    least = sure.join(covered, "set_id", "left_anti")
+    # Every choice of one token per class is a rule; tokens of a class are equally rare.
+    members = least.select("set_id", "rare", "confidence", F.explode("members").alias("item")) \
+        .join(classes.select("item", "names"), "item").groupBy("set_id", "confidence").agg(
+            F.array_sort(F.collect_list(F.struct((F.col("item") != F.col("rare")).alias("later"),
+                                                 "item", "names"))).alias("m"))
+    none = F.array(F.array().cast("array<string>"))
+    choices = F.aggregate(F.col("m"), none, lambda done, c: F.flatten(F.transform(
+        done, lambda d: F.transform(c["names"], lambda x: F.concat(d, F.array(x))))))
+    rules = members.select("confidence", F.explode(choices).alias("chosen"))
+    return rules.select(F.xxhash64(F.array_sort("chosen")).alias("rule_id"),
+                        F.array_sort("chosen").alias("tokens"), "confidence",
+                        F.get("chosen", F.lit(0)).alias("rare"))
 
 
 def matches(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """(url, score): distinct URLs that some rule matches, with the highest
     confidence among their rules."""
-    index = rules.select("rule_id", F.size("tokens").alias("n"), "confidence",
-                         F.explode("tokens").alias("token"))
     words = urls.select("url").where("url is not null").distinct() \
-        .select("url", F.explode(tokens(F.col("url"))).alias("token"))
-    met = words.join(index, "token").groupBy("url", "rule_id", "n", "confidence") \
-        .agg(F.count("*").alias("met")).where("met = n")
-    return met.groupBy("url").agg(F.max("confidence").alias("score"))
+        .select("url", tokens(F.col("url")).alias("words"))
+    sets = rules.withColumnsRenamed({"rule_id": "set_id", "tokens": "members"})
+    return holding(sets, words, "words").groupBy("url").agg(F.max("confidence").alias("score"))
 
 
 def judge_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
@@ -113,7 +151,7 @@ def judge_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
     bad = labels.where("doc_id is not null").groupBy(F.col("doc_id").alias("page_id")).agg(
         F.max(F.coalesce((F.col("quality") == 0) | (F.col("toxic") == 1), F.lit(False))).alias("bad"))
     rules = mine(pages.select("page_id", "url").join(bad, "page_id").select("url", "bad"))
-    hit = matches(pages, rules).withColumnRenamed("url", "hit_url")
+    hit = matches(pages, stored(rules)).withColumnRenamed("url", "hit_url")
     url = F.col("url")
     judged = pages.select("page_id", "url").join(hit, url == F.col("hit_url"), "left").select(
         "page_id", host_of(url).alias("host"), path_of(url).alias("path"), "score")
