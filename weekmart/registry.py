@@ -484,12 +484,13 @@ def _facts_sql(text: str, whole: str, real: str, where: str = "true") -> str:
 
 @register("table_create", _facts_sql("string", "int", "double", "year_num = 1999"))
 def q_table_create(spark, sf):
-    """The table as created from the summary's columns, one year loaded."""
+    """The table as created from the summary's columns and loaded whole; the
+    facts are those of one year, as the SQL states them."""
     t = _table(spark, "table_create")
     s = _coarse(spark, sf)
     t.setup(s)
-    t.insert(s.where("year_num = 1999"))
-    return column_facts(t.read())
+    t.insert(s)
+    return column_facts(t.read().where("year_num = 1999"))
 
 
 @register("target_schema", _facts_sql("string", "int", "double"))
