@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from weekmart.llm import (
-    decontaminate, licenses, mixing, pii, quality_rules, secrets_crf, simhash, substring_dedup,
-    url_rules, warc,
+    decontaminate, licenses, mixing, pii, quality_rules, secrets_crf, simhash, spelling,
+    substring_dedup, token_archive, url_rules, vector_codes, warc,
 )
 from weekmart.llm import oracle_sql as O
 from weekmart.llm.text import table
@@ -78,3 +78,20 @@ def q_quality(spark, sf):
 @register("op10_substring_dedup")
 def q_substring(spark, sf):
     return substring_dedup.substring_report(table(spark, sf, "documents"))
+
+
+@register("op11_token_archive")
+def q_tokens(spark, sf):
+    import public_tokenizers
+    return token_archive.token_report(table(spark, sf, "documents"), scratch_dir(spark, "tokens"),
+                                      public_tokenizers.path("byte_bpe_50k.json"), 2)
+
+
+@register("op12_vector_codes")
+def q_vectors(spark, sf):
+    return vector_codes.code_report(table(spark, sf, "embeddings"))
+
+
+@register("op13_spelling")
+def q_spelling(spark, sf):
+    return spelling.spelling_report(table(spark, sf, "documents"))
