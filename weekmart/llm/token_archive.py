@@ -82,8 +82,15 @@ class Encoder:
             for token, number in self.tokenizer.get_vocab(with_added_tokens=True).items():
                 self.width[number] = len(token)
 
-    def plain(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    def plain(self, texts: list[str], step: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids) of texts, ``step`` at a time: the library's results
+        take far more memory than the ids."""
+        ids, sizes = [np.zeros(0, np.int32)], []
+        for i in range(0, len(texts), step):
+            for e in self.tokenizer.encode_batch(texts[i:i + step], add_special_tokens=False):
+                ids.append(np.array(e.ids, np.int32))
+                sizes.append(len(ids[-1]))
+        return np.concatenate(ids), np.array(sizes, np.int64)
 
     def pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids) of pieces.  Pieces that begin with a blank and end
@@ -94,49 +101,60 @@ class Encoder:
                            bool, len(texts))
         at = np.flatnonzero(easy)
         chosen = [texts[i] for i in at.tolist()]
-        joined = self.plain(["".join(chosen[i:i + JOINED]) for i in range(0, len(chosen), JOINED)])
-        flat = np.fromiter((i for ids in joined for i in ids), np.int64, sum(map(len, joined)))
+        joined = ["".join(chosen[i:i + JOINED]) for i in range(0, len(chosen), JOINED)]
+        flat, _ = self.plain(joined, 32)
         ends = np.cumsum(np.fromiter((len(x.encode()) for x in chosen), np.int64, len(chosen)))
         last = np.searchsorted(np.cumsum(self.width[flat]), ends) + 1
         sizes[at] = np.diff(last, prepend=0)
         other = np.flatnonzero(~easy)
-        rest = self.plain([texts[i] for i in other.tolist()])
-        sizes[other] = [len(x) for x in rest]
-        out = np.empty(int(sizes.sum()), np.int64)
+        rest, sizes[other] = self.plain([texts[i] for i in other.tolist()], 2000)
+        out = np.empty(int(sizes.sum()), np.int32)
         is_easy = np.repeat(easy, sizes)
         out[is_easy] = flat
-        out[~is_easy] = np.fromiter((i for ids in rest for i in ids), np.int64, int((~is_easy).sum()))
+        out[~is_easy] = rest
         return out, sizes
 
-    def __call__(self, texts: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, number of ids of each)."""
+    def __call__(self, texts: pa.LargeBinaryArray) -> "Coded":
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
         raw = texts.buffers()[2]
         data = np.frombuffer(raw, np.uint8)[:offsets[-1]] if raw is not None else np.zeros(0, np.uint8)
-        body = data[offsets[0]:].tobytes() if self.added else b""
-        if not self.by_pieces or any(a in body for a in self.added):
-            found = self.plain([t.as_py().decode() for t in texts])
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            return np.fromiter((i for ids in found for i in ids), np.int64, int(sizes.sum())), sizes
-        if not len(data):
-            return np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
+        whole = not self.by_pieces
+        if self.added and not whole:
+            body = data[offsets[0]:].tobytes()
+            whole = any(a in body for a in self.added)
+        if whole or not len(data):
+            ids, sizes = self.plain([t.as_py().decode() for t in texts], 32)
+            return Coded(ids, sizes, np.arange(len(texts)), np.arange(len(texts) + 1))
         at = cuts(data, offsets).astype(np.int64)
         at = at[at >= offsets[0]]
         coded = pa.Array.from_buffers(pa.large_binary(), len(at) - 1,
                                       [None, pa.py_buffer(at), raw]).dictionary_encode()
         ids, sizes = self.pieces(coded.dictionary.cast(pa.large_string()).to_pylist())
-        which = coded.indices.to_numpy(zero_copy_only=False)
-        count = sizes[which]
-        end = np.cumsum(count)
-        source = np.repeat((np.cumsum(sizes) - sizes)[which] - (end - count), count)
+        return Coded(ids, sizes, coded.indices.to_numpy(zero_copy_only=False),
+                     np.searchsorted(at, offsets))
+
+
+class Coded:
+    """Texts as numbers of pieces; ids are put together a few texts at a time."""
+
+    def __init__(self, ids, sizes, pieces, bounds):
+        """``ids`` and ``sizes`` of the pieces; text t holds ``pieces[bounds[t]:bounds[t + 1]]``."""
+        self.ids, self.count, self.pieces, self.bounds = ids, sizes, pieces, bounds
+        self.start = np.cumsum(sizes) - sizes
+        total = np.concatenate([[0], np.cumsum(sizes[pieces])])
+        self.sizes = np.diff(total[bounds])              # ids of each text
+
+    def texts(self, first: int, last: int) -> np.ndarray:
+        which = self.pieces[self.bounds[first]:self.bounds[last]]
+        count = self.count[which]
+        source = np.repeat(self.start[which] - (np.cumsum(count) - count), count)
         source += np.arange(len(source))
-        of_text = np.concatenate([[0], end])[np.searchsorted(at, offsets)]
-        return ids[source], np.diff(of_text)
+        return self.ids[source]
 
 
 def with_end(ids: np.ndarray, sizes: np.ndarray, end_id: int) -> np.ndarray:
     """``ids`` with ``end_id`` after each document."""
-    out = np.full(len(ids) + len(sizes), end_id, np.int64)
+    out = np.full(len(ids) + len(sizes), end_id, np.int32)
     inside = np.ones(len(out), bool)
     inside[np.cumsum(sizes + 1) - 1] = False
     out[inside] = ids
@@ -164,8 +182,8 @@ def encode_shards(docs: DataFrame, config: str, end_id: int, shard_ids: int = SH
                 continue
             encoder = encoder or Encoder(config)
             texts = batch.column(1).cast(pa.large_binary())
-            ids, n = encoder(texts)
-            ids, n = with_end(ids, n, end_id), n + 1
+            coded = encoder(texts)
+            n = coded.sizes + 1
             owners, first = batch.column(0).to_pylist(), 0
             ends = np.cumsum(n)
             while first < len(n):
@@ -175,7 +193,7 @@ def encode_shards(docs: DataFrame, config: str, end_id: int, shard_ids: int = SH
                 last = min(last, len(n))
                 names += owners[first:last]
                 sizes.append(n[first:last])
-                parts.append(ids[before:int(ends[last - 1])])
+                parts.append(with_end(coded.texts(first, last), coded.sizes[first:last], end_id))
                 held += len(parts[-1])
                 first = last
                 if held >= shard_ids:
