@@ -24,7 +24,7 @@ SAMPLE = 64                          # symbols between stored positions
 def _frequent(seq: np.ndarray, turn: int, least: int):
     """Places of frequent pairs, their bucket and how often each bucket is used.
     Pairs meet in hash buckets; a bucket serves one pair a round."""
-    bits = max(10, int(len(seq)).bit_length())
+    bits = max(10, int(len(seq)).bit_length() - 1)
     key = (seq[:-1] << 32) | seq[1:]
     odd = (0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019 * 2 * turn) & 0xFFFFFFFFFFFFFFFF
     bucket = ((key.view(np.uint64) * np.uint64(odd)) >> np.uint64(64 - bits)).view(np.int64)

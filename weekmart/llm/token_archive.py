@@ -9,8 +9,8 @@
    by Spark's committer; ``body`` holds the shard's own byte format and its checksum.
 4. Readers decode whole shards, or single documents by random access.
 
-Texts are cut where the tokenizer's own splitting always has a border, each distinct
-piece is encoded once a batch by the tokenizers library, and the pieces' ids are put
+Texts are cut where the tokenizer's own splitting always has a border, each new
+piece is encoded once by the tokenizers library, and the pieces' ids are put
 together; ``tests/llm`` compares this with encoding whole texts.  A tokenizer that
 does not split that way encodes whole texts.
 
@@ -23,18 +23,23 @@ cut inside a document, so a very long text makes a shard of its own size.
 from __future__ import annotations
 
 import json
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weekmart.llm.pair_grammar import Shard, encode_shard
 
 SHARD_IDS = 1 << 20
+SLICE_BYTES = 4 << 20   # text turned into ids at once
 JOINED = 200            # pieces encoded as one string
+KNOWN = 400_000         # pieces whose ids a worker keeps
 LETTERS = b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SHARDS = "part int, number int, n_docs bigint, n_ids bigint, body binary"
 
@@ -77,6 +82,7 @@ class Encoder:
         self.added = [t["content"].encode() for t in parsed.get("added_tokens") or []]
         self.by_pieces = splits_at_words(parsed)
         self.base = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.forget()
         if self.by_pieces:
             self.width = np.zeros(self.base, np.int64)     # bytes of an id's text
             for token, number in self.tokenizer.get_vocab(with_added_tokens=True).items():
@@ -92,48 +98,81 @@ class Encoder:
                 sizes.append(len(ids[-1]))
         return np.concatenate(ids), np.array(sizes, np.int64)
 
-    def pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, number of ids) of pieces.  Pieces that begin with a blank and end
-        visibly are encoded in one string, as a border lies between them; each
-        piece's ids are found again by the bytes they stand for."""
-        sizes = np.zeros(len(texts), np.int64)
-        easy = np.fromiter((x[:1] in (" ", "\n") and "!" <= x[-1:] <= "~" for x in texts),
-                           bool, len(texts))
-        at = np.flatnonzero(easy)
-        chosen = [texts[i] for i in at.tolist()]
-        joined = ["".join(chosen[i:i + JOINED]) for i in range(0, len(chosen), JOINED)]
-        flat, _ = self.plain(joined, 32)
+    def pieces(self, texts: pa.LargeBinaryArray) -> np.ndarray:
+        """The numbers of pieces in ``known``; new ones are encoded."""
+        if len(self.known) > KNOWN:
+            self.forget()
+        number = pc.index_in(texts, value_set=self.known)
+        is_new = pc.is_null(number)
+        new = texts.filter(is_new)
+        number = number.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        if len(new):
+            number[is_new.to_numpy(zero_copy_only=False)] = len(self.known) + np.arange(len(new))
+            self.known = pa.concat_arrays([self.known, new])
+            ids, sizes = self.encode_pieces(new.cast(pa.large_string()).to_pylist())
+            self.ids, self.count = np.concatenate([self.ids, ids]), np.concatenate([self.count, sizes])
+        return number
+
+    def encode_pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids).  Pieces that begin with a blank and end visibly are
+        encoded in one string, as a border lies between them; each piece's ids are
+        found again by the bytes they stand for."""
+        easy = np.fromiter((x[0] in " \n" and "!" <= x[-1] <= "~" for x in texts), bool, len(texts))
+        chosen = [x for x, e in zip(texts, easy.tolist()) if e]
+        flat, _ = self.plain(["".join(chosen[i:i + JOINED]) for i in range(0, len(chosen), JOINED)], 32)
         ends = np.cumsum(np.fromiter((len(x.encode()) for x in chosen), np.int64, len(chosen)))
-        last = np.searchsorted(np.cumsum(self.width[flat]), ends) + 1
-        sizes[at] = np.diff(last, prepend=0)
-        other = np.flatnonzero(~easy)
-        rest, sizes[other] = self.plain([texts[i] for i in other.tolist()], 2000)
-        out = np.empty(int(sizes.sum()), np.int32)
-        is_easy = np.repeat(easy, sizes)
-        out[is_easy] = flat
-        out[~is_easy] = rest
-        return out, sizes
+        sizes = np.zeros(len(texts), np.int64)
+        sizes[easy] = np.diff(np.searchsorted(np.cumsum(self.width[flat]), ends) + 1, prepend=0)
+        rest, sizes[~easy] = self.plain([x for x, e in zip(texts, easy.tolist()) if not e], 2000)
+        ids = np.empty(int(sizes.sum()), np.int32)
+        of_easy = np.repeat(easy, sizes)
+        ids[of_easy], ids[~of_easy] = flat, rest
+        return ids, sizes
+
+    def forget(self) -> None:
+        self.known = pa.array([], pa.large_binary())
+        self.ids, self.count = np.zeros(0, np.int32), np.zeros(0, np.int64)
 
     def __call__(self, texts: pa.LargeBinaryArray) -> "Coded":
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
-        raw = texts.buffers()[2]
-        data = np.frombuffer(raw, np.uint8)[:offsets[-1]] if raw is not None else np.zeros(0, np.uint8)
+        raw, base = texts.buffers()[2], int(offsets[0])
+        data = np.frombuffer(raw, np.uint8)[base:offsets[-1]] if raw is not None else np.zeros(0, np.uint8)
         whole = not self.by_pieces
         if self.added and not whole:
-            body = data[offsets[0]:].tobytes()
+            body = data.tobytes()
             whole = any(a in body for a in self.added)
         if whole or not len(data):
             ids, sizes = self.plain([t.as_py().decode() for t in texts], 32)
             return Coded(ids, sizes, np.arange(len(texts)), np.arange(len(texts) + 1))
-        at = cuts(data, offsets).astype(np.int64)
-        at = at[at >= offsets[0]]
+        at = cuts(data, offsets - base).astype(np.int64)
+        at += base
         coded = pa.Array.from_buffers(pa.large_binary(), len(at) - 1,
                                       [None, pa.py_buffer(at), raw]).dictionary_encode()
-        ids, sizes = self.pieces(coded.dictionary.cast(pa.large_string()).to_pylist())
-        return Coded(ids, sizes, coded.indices.to_numpy(zero_copy_only=False),
+        number = self.pieces(coded.dictionary)
+        return Coded(self.ids, self.count, number[coded.indices.to_numpy(zero_copy_only=False)],
                      np.searchsorted(at, offsets))
 
 
+def encoder_of(config: str) -> Encoder:
+    """The worker process's encoder for a tokenizer.  It lives in ``sys.modules``, as
+    functions that travel by value share no globals from task to task."""
+    kept = sys.modules.setdefault("weekmart_worker_state", types.ModuleType("weekmart_worker_state"))
+    if getattr(kept, "config", None) != config:
+        kept.config, kept.encoder = config, Encoder(config)
+    return kept.encoder
+
+
+def slices(texts: pa.LargeBinaryArray) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``SLICE_BYTES`` together."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    first = 0
+    while first < len(texts):
+        last = int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, "right")) - 1
+        last = min(max(last, first + 1), len(texts))
+        yield first, last
+        first = last
+
+
 class Coded:
     """Texts as numbers of pieces; ids are put together a few texts at a time."""
 
@@ -180,25 +219,25 @@ def encode_shards(docs: DataFrame, config: str, end_id: int, shard_ids: int = SH
         for batch in batches:
             if not batch.num_rows:
                 continue
-            encoder = encoder or Encoder(config)
-            texts = batch.column(1).cast(pa.large_binary())
-            coded = encoder(texts)
-            n = coded.sizes + 1
-            owners, first = batch.column(0).to_pylist(), 0
-            ends = np.cumsum(n)
-            while first < len(n):
-                before = int(ends[first - 1]) if first else 0
-                # Up to the document that fills the shard.
-                last = int(np.searchsorted(ends, before + max(shard_ids - held, 1))) + 1
-                last = min(last, len(n))
-                names += owners[first:last]
-                sizes.append(n[first:last])
-                parts.append(with_end(coded.texts(first, last), coded.sizes[first:last], end_id))
-                held += len(parts[-1])
-                first = last
-                if held >= shard_ids:
-                    yield shard()
-                    names, sizes, parts, held, number = [], [], [], 0, number + 1
+            encoder = encoder or encoder_of(config)
+            texts, owners = batch.column(1).cast(pa.large_binary()), batch.column(0).to_pylist()
+            for begin, end in slices(texts):
+                coded = encoder(texts.slice(begin, end - begin))
+                n, first = coded.sizes + 1, 0
+                ends = np.cumsum(n)
+                while first < len(n):
+                    before = int(ends[first - 1]) if first else 0
+                    # Up to the document that fills the shard.
+                    last = int(np.searchsorted(ends, before + max(shard_ids - held, 1))) + 1
+                    last = min(last, len(n))
+                    names += owners[begin + first:begin + last]
+                    sizes.append(n[first:last])
+                    parts.append(with_end(coded.texts(first, last), coded.sizes[first:last], end_id))
+                    held += len(parts[-1])
+                    first = last
+                    if held >= shard_ids:
+                        yield shard()
+                        names, sizes, parts, held, number = [], [], [], 0, number + 1
         if names:
             yield shard()
 
