@@ -106,6 +106,17 @@ def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
         seq = out
 
 
+def expand_all(symbols: np.ndarray, rules: np.ndarray, span: np.ndarray, base: int) -> np.ndarray:
+    """``expand`` for many symbols: each rule is expanded once, then looked up."""
+    texts = np.concatenate([expand(base + np.arange(len(rules)), rules, base), np.arange(base)])
+    size = np.concatenate([np.ones(base, np.int64), span.astype(np.int64)])
+    start = np.concatenate([int(span.sum()) + np.arange(base), np.cumsum(size[base:]) - size[base:]])
+    count = size[symbols]
+    source = np.repeat(start[symbols] - (np.cumsum(count) - count), count)
+    source += np.arange(len(source))
+    return texts.astype(np.int32)[source]
+
+
 def _pack(values: np.ndarray, bits: int) -> bytes:
     as_bits = np.unpackbits(values.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1,
                             count=bits, bitorder="little")
@@ -162,7 +173,8 @@ class Shard:
         self.offsets = np.cumsum(self.sizes) - self.sizes
 
     def ids(self) -> np.ndarray:
-        return expand(_unpack(self.packed, self.bits, 0, self.n_symbols), self.rules, self.base)
+        symbols = _unpack(self.packed, self.bits, 0, self.n_symbols)
+        return expand_all(symbols, self.rules, self.span, self.base)
 
     def read(self, start: int, count: int) -> np.ndarray:
         """Ids ``start`` .. ``start + count`` without expanding the rest."""

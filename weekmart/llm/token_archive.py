@@ -37,9 +37,9 @@ from pyspark.sql import functions as F
 from weekmart.llm.pair_grammar import Shard, encode_shard
 
 SHARD_IDS = 1 << 20
-SLICE_BYTES = 4 << 20   # text turned into ids at once
+SLICE_BYTES = 8 << 20   # text turned into ids at once
 JOINED = 200            # pieces encoded as one string
-KNOWN = 400_000         # pieces whose ids a worker keeps
+KNOWN = 1_000_000       # pieces whose ids a worker keeps
 LETTERS = b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SHARDS = "part int, number int, n_docs bigint, n_ids bigint, body binary"
 
