@@ -4,7 +4,8 @@ random access (NumPy, used inside tasks).
 A round counts all neighbouring pairs and replaces the frequent ones by new
 symbols; a pair gives way to a more frequent one that overlaps it, and in a run
 of one symbol every second place is taken.  Rounds start at high counts, so that
-the most frequent pairs become rules first, and end when no pair is worth a rule.
+the most frequent pairs become rules first; the last count is repeated until a round
+saves less than ``WORTH`` of the symbols.
 """
 
 from __future__ import annotations
@@ -16,8 +17,9 @@ import numpy as np
 
 MAGIC = b"PGR1"
 HEAD = "<4sIqqqqqI"                   # magic, crc of the rest, documents, ids, symbols, rules, base, bits
-THRESHOLDS = (1024, 256, 64, 16, 4, 4)   # occurrences a pair needs, round by round
+THRESHOLDS = (1024, 256, 64, 16, 4)  # occurrences a pair needs, round by round
 LEAST = 4                            # replacements that pay for a rule
+WORTH = 0.05                         # part of the symbols that a further round must save
 SAMPLE = 64                          # symbols between stored positions
 
 
@@ -43,19 +45,19 @@ def compress(ids: np.ndarray, base: int, thresholds=THRESHOLDS) -> tuple[np.ndar
     """(symbols, rules): symbol ``base + r`` stands for the pair ``rules[r]``
     (left << 32 | right); rules refer to earlier symbols only."""
     seq, rules, following = ids.astype(np.int64), [], base
-    for turn, least in enumerate(thresholds):
-        if len(seq) < 2:
-            break
+    turn, before = 0, 0
+    while len(seq) > 1 and (turn < len(thresholds) or len(seq) < (1 - WORTH) * before):
+        least, before, turn = thresholds[min(turn, len(thresholds) - 1)], len(seq), turn + 1
         at, bucket, count, holder, bits = _frequent(seq, turn, least)
         if not len(at):
             continue
         weight = np.zeros(len(seq) + 1, np.int64)        # place i at i + 1
         own = (count[bucket] << bits) | bucket
         weight[at + 1] = own
-        before, after = weight[at], weight[at + 2]
-        run = np.maximum.accumulate(np.where(before == own, 0, np.arange(len(at))))
+        left, right = weight[at], weight[at + 2]
+        run = np.maximum.accumulate(np.where(left == own, 0, np.arange(len(at))))
         second = (np.arange(len(at)) - run) & 1
-        wins = (second == 0) & (own >= before) & (own >= after)
+        wins = (second == 0) & (own >= left) & (own >= right)
         at, bucket = at[wins], bucket[wins]
         used = np.bincount(bucket, minlength=1 << bits)
         pays = used[bucket] >= LEAST
