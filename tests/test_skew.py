@@ -78,13 +78,13 @@ def test_hot_period_is_written_by_several_tasks(spark, scratch):
 def test_hot_group_is_combined_before_the_shuffle(spark):
     from weekmart.plans.summary import summarize
     fact = hot_fact(spark)
-    out = summarize(fact, ["year_num", "week_num"], [("qty", F.sum("l_quantity"))])
+    out = summarize(fact, ["year_num", "week_num"], [("qty", F.col("l_quantity"))])
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         out.explain()
     text = buf.getvalue()
     # map-side combine first: a task sends one row per group, however hot
-    assert text.index("Exchange hashpartitioning(year_num") < text.index("partial_sum(l_quantity")
+    assert text.index("Exchange hashpartitioning(year_num") < text.index("partial_sum(")
     # brute force over the same rows
     pdf = fact.select("year_num", "week_num", "l_quantity").toPandas()
     want = {(int(y), int(w)): q for (y, w), q in pdf.groupby(["year_num", "week_num"])["l_quantity"].sum().items()}

@@ -39,6 +39,18 @@ def bare_names(columns: list[str]) -> list[str]:
     return out
 
 
+def match_names(have: list[str], wanted: list[str]) -> dict[str, int]:
+    """For each wanted name that ``have`` holds, case aside, its position: the same
+    spelling if there is one, else the first."""
+    places = _positions(have)
+    out: dict[str, int] = {}
+    for name in wanted:
+        found = places.get(name.lower(), [])
+        if found:
+            out[name] = next((i for i in found if have[i] == name), found[0])
+    return out
+
+
 def safe_name(name: str) -> str:
     """SQL-safe identifier: the runs of letters and digits (of any script)
     joined by single underscores; ``col`` if there is none, and ``c_`` before

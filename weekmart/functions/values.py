@@ -121,13 +121,15 @@ def coerce_column(c, source: T.DataType, target: T.DataType, nullable: bool = Tr
 
 def coerce(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Align a frame to a target schema: keep the target's columns that the
-    frame has (in the target's order) and coerce each to the target type."""
-    have = {f.name: f for f in df.schema.fields}
+    frame has, whatever their case (in the target's order), and coerce each to
+    the target type."""
+    from weekmart.operators.columns import matched
+    df, have = matched(df, schema.fieldNames())
     cols = []
     for f in schema.fields:
         if f.name in have:
-            src = have[f.name].dataType
-            cols.append(coerce_column(F.col(f"`{f.name}`"), src, f.dataType, f.nullable).alias(f.name))
+            column, source = have[f.name]
+            cols.append(coerce_column(column, source, f.dataType, f.nullable).alias(f.name))
     return df.select(*cols)
 
 

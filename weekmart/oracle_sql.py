@@ -70,17 +70,23 @@ DIMS_SAFE = [
     "bank_credit_product_code", "product_name", "payment_count", "promo_type_name", "basis",
 ]
 
-_D = "CAST({c} AS DECIMAL(18,2))"
-_Q, _P, _DI, _T, _R = (_D.format(c=c) for c in
-                       ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "p_retailprice"))
+_SELL, _BUY, _BONUS = "l_extendedprice * (1 - l_discount)", "p_retailprice * l_quantity", \
+    "l_extendedprice * l_discount"
+
+
+def exact_sum_sql(value: str) -> str:
+    """The exact sum of doubles: each is a whole number of 2^-80, added as HUGEINT."""
+    return f"(CAST(SUM(CAST(({value}) * pow(2, 80) AS HUGEINT)) AS DOUBLE) / pow(2, 80))"
+
+
 MEASURES_SQL = {
-    "Реалізація_к_сть": f"SUM({_Q})",
-    "Реалізація_грн": f"SUM({_P} * (1 - {_DI}))",
-    "Реалізація_ЦЗ_грн": f"SUM({_R} * {_Q})",
-    "Дохід_грн": f"SUM({_P} * (1 - {_DI}) - {_R} * {_Q})",
-    "Отримані_бонуси": f"SUM({_P} * {_DI})",
-    "Використані_бонуси": f"SUM(CASE WHEN l_returnflag = 'R' THEN {_P} * {_DI} END)",
-    "Комісія_по_кредитам": f"SUM({_P} * {_T})",
+    "Реалізація_к_сть": exact_sum_sql("l_quantity"),
+    "Реалізація_грн": exact_sum_sql(_SELL),
+    "Реалізація_ЦЗ_грн": exact_sum_sql(_BUY),
+    "Дохід_грн": exact_sum_sql(f"{_SELL} - {_BUY}"),
+    "Отримані_бонуси": exact_sum_sql(_BONUS),
+    "Використані_бонуси": exact_sum_sql(f"CASE WHEN l_returnflag = 'R' THEN {_BONUS} END"),
+    "Комісія_по_кредитам": exact_sum_sql("l_extendedprice * l_tax"),
 }
 
 

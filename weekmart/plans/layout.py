@@ -55,7 +55,7 @@ def build_sales_layout(spark: SparkSession, sf_dir: str, database: str, location
        .bucketBy(buckets, "o_orderkey").sortBy("o_orderkey")
        .option("path", f"{loc}/order_dim")
        .saveAsTable(f"`{database}`.`order_dim`"))
-    for name in ("part", "supplier"):
+    for name in ("part", "supplier", "customer", "nation"):
         (read_table(spark, sf_dir, name).write.mode("overwrite")
            .option("path", f"{loc}/{name}")
            .saveAsTable(f"`{database}`.`{name}`"))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 class Measure:
     name: str          # the cube's measure name, e.g. sell_qty
     caption: str       # the result caption the measure is reported under
-    agg: Column        # aggregate over the cube's base columns
+    value: Column      # what is summed, over the cube's base columns
 
 
 @dataclass

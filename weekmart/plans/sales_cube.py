@@ -26,8 +26,6 @@ of members and are always broadcast.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,34 +90,20 @@ PROMO_SCHEMA = "pr_key string, promo_type_name string, basis string"
 MEASURE_INPUTS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "p_retailprice", "l_returnflag"]
 
 
-def cents(c: str):
-    """Money/quantity as exact hundredths in a long: the value the column
-    has as decimal(18,2), scaled by 100.  Long sums stay in whole-stage
-    codegen; an overflow raises under ANSI mode instead of wrapping."""
-    return F.round(F.col(c).cast("decimal(18,2)").cast("double") * 100).cast("long")
-
-
-def exact(total, scale: int):
-    """Exact long sum at ``scale`` decimals -> double, via one decimal per group."""
-    unit = F.lit(Decimal(1).scaleb(-scale)).cast(f"decimal({scale},{scale})")
-    return (total.cast("decimal(38,0)") * unit).cast("double")
-
-
 def measures() -> list[Measure]:
-    qty, price, disc, tax, retail = (cents("l_quantity"), cents("l_extendedprice"),
-                                     cents("l_discount"), cents("l_tax"), cents("p_retailprice"))
-    sell = price * (F.lit(100) - disc)          # scale 4
-    buy = retail * qty                           # scale 4
-    aggs = {
-        "sell_qty": exact(F.sum(qty), 2),
-        "sell_amount_nds": exact(F.sum(sell), 4),
-        "buy_amount_nds": exact(F.sum(buy), 4),
-        "profit_amount_nds": exact(F.sum(sell - buy), 4),
-        "bonus_obtained_amount": exact(F.sum(price * disc), 4),
-        "bonus_used_amount": exact(F.sum(F.when(F.col("l_returnflag") == "R", price * disc)), 4),
-        "credit_commission_amount": exact(F.sum(price * tax), 4),
+    """The seven measures: products of the inputs as they are, summed exactly."""
+    qty, price, disc, tax, retail = (F.col(c).cast("double") for c in MEASURE_INPUTS[:5])
+    sell, buy, bonus = price * (F.lit(1.0) - disc), retail * qty, price * disc
+    values = {
+        "sell_qty": qty,
+        "sell_amount_nds": sell,
+        "buy_amount_nds": buy,
+        "profit_amount_nds": sell - buy,
+        "bonus_obtained_amount": bonus,
+        "bonus_used_amount": F.when(F.col("l_returnflag") == "R", bonus),
+        "credit_commission_amount": price * tax,
     }
-    return [Measure(n, cap, aggs[n]) for n, cap in MEASURE_CAPTIONS]
+    return [Measure(n, cap, values[n]) for n, cap in MEASURE_CAPTIONS]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -161,7 +145,7 @@ def order_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     od = join_dimension(orders, cust, "o_custkey", "c_custkey")
     return od.select(
-        "o_orderkey",
+        "o_orderkey", "o_custkey",
         F.col("c_name").alias("Agents_hybrid[name]"),
         F.col("n_name").alias("Markets[doc_prefix_original]"),
         F.col("c_mktsegment").alias("Channel_type[sell_channel_type_name]"),

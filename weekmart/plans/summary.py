@@ -1,8 +1,8 @@
 """The weekly summary: filter, group, measure, name, clean.
 
 ``weekly_summary`` is the whole Spark form of one export run:
-resolve periods -> prune the fact scan to their dates -> star joins ->
-group by the 23 cube columns (+ year/week) with the 7 measures -> drop
+resolve periods -> prune the fact scan to their dates -> keys of the star's
+arms -> sums by those keys -> names of the 23 cube columns (``keyed``) -> drop
 blank groups -> bare names -> safe names, ±inf -> null.  One Catalyst
 plan covers every period at once; partial (map-side) aggregation runs
 before the shuffle, so a hot group is combined in each task first.
@@ -14,11 +14,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekmart.functions.dates import iso_week, iso_year
+from weekmart.functions.exact import exact_sums
 from weekmart.functions.names import bare_names, safe_names
 from weekmart.functions.values import finite_frame
-from weekmart.operators.filters import KEYS, where_category, where_periods, with_period
+from weekmart.operators.filters import KEYS, where_periods, with_period
 from weekmart.plans.model import CubeModel
-from weekmart.plans.sales_cube import read_table, sales_cube
+from weekmart.plans.keyed import keyed_summary
+from weekmart.plans.sales_cube import read_table
 
 
 def _q(name: str) -> Column:
@@ -27,22 +29,12 @@ def _q(name: str) -> Column:
 
 def summarize(df: DataFrame, dims: list[str], measures: list[tuple[str, Column]],
               drop_blank: bool = True) -> DataFrame:
-    """Group by ``dims`` with named aggregate ``measures``.  A group is kept
+    """Group by ``dims`` with the named exact sums of ``measures``.  A group is kept
     only if at least one measure is non-blank.  Without measures this is the
     distinct combinations of ``dims``."""
     if not measures:
         return df.select(*[_q(d) for d in dims]).distinct()
-    out = df.groupBy(*[_q(d) for d in dims]).agg(*[m.alias(a) for a, m in measures])
-    if drop_blank:
-        out = drop_blank_groups(out, [a for a, _ in measures])
-    return out
-
-
-def drop_blank_groups(df: DataFrame, measure_cols: list[str]) -> DataFrame:
-    """HAVING any measure IS NOT NULL."""
-    if len(measure_cols) == 1:
-        return df.where(_q(measure_cols[0]).isNotNull())
-    return df.where(F.coalesce(*[_q(c) for c in measure_cols]).isNotNull())
+    return exact_sums(df, dims, dict(measures), drop_blank)
 
 
 def available_periods(fact: DataFrame, date_col: str = "l_shipdate",
@@ -78,7 +70,7 @@ def cube_summary(cube: CubeModel, dims: list[str] | None = None,
     if with_keys:
         dims = dims + KEYS
     ms = cube.measures if measure_names is None else [cube.measure(n) for n in measure_names]
-    return summarize(cube.base, dims, [(m.caption, m.agg) for m in ms], drop_blank=drop_blank)
+    return summarize(cube.base, dims, [(m.caption, m.value) for m in ms], drop_blank=drop_blank)
 
 
 def to_sink_form(df: DataFrame) -> DataFrame:
@@ -98,13 +90,9 @@ def weekly_summary(spark: SparkSession, sf_dir: str, periods: DataFrame | None =
             fact = where_periods(fact, periods)
         else:
             fact = where_periods(with_period(fact, "l_shipdate"), periods, "l_shipdate")
-    need = list(dims) if dims is not None else None
-    if category and need is not None and "Goods[fg1_name]" not in need:
-        need.append("Goods[fg1_name]")
-    cube = sales_cube(spark, sf_dir, fact=fact, dims=need)
-    if category:
-        cube.base = where_category(cube.base, cube.filters["fg1_name"], category)
-    return to_sink_form(cube_summary(cube, dims=dims, measure_names=measure_names))
+    # The exact sums are finite or null, and no other column is a double.
+    return safe_columns(bare_columns(
+        keyed_summary(spark, sf_dir, fact, dims, measure_names, category)))
 
 
 def sort_summary(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -18,6 +18,7 @@ from weekmart import oracle_sql as O
 from weekmart.functions.dates import (
     date_serial, parse_period_label, period_label, week_exists, week_monday,
 )
+from weekmart.functions.exact import exact_sums
 from weekmart.functions.names import bare_names
 from weekmart.functions.values import (
     coerce, finite, normalise_cells, number_to_text, text_to_serial,
@@ -60,6 +61,32 @@ def q_weekly_sales(spark, sf):
     return weekly_summary(spark, sf)
 
 
+CHANNEL_DIMS = ["Goods[fg1_name]", "Channel_type[sell_channel_type_name]", "Price_types[name]",
+                "Price_types[is_tender]", "Promo[promo_type_name]"]
+_CHANNEL = O.summary_sql(dims=["fg1_name", "sell_channel_type_name", "Price_types_name",
+                               "is_tender", "promo_type_name"])
+CHANNEL_SQL = f'SELECT * EXCLUDE ("Price_types_name"), "Price_types_name" AS name FROM ({_CHANNEL})'
+
+
+@register("channel_sales", CHANNEL_SQL)
+def q_channel_sales(spark, sf):
+    """Groups of many fact rows, many customers and many parts each."""
+    return weekly_summary(spark, sf, dims=CHANNEL_DIMS)
+
+
+@register("exact_sums", f"""SELECT l_returnflag, l_linestatus,
+  {O.exact_sum_sql('l_extendedprice / 7')} AS seventh_of_price,
+  {O.exact_sum_sql('(l_linenumber - 4) * l_extendedprice / 7')} AS balanced,
+  {O.exact_sum_sql('CASE WHEN l_discount = 0 THEN NULL ELSE l_tax / 3 END')} AS third_of_tax
+  FROM lineitem GROUP BY 1, 2""")
+def q_exact_sums(spark, sf):
+    price = F.col("l_extendedprice")
+    return exact_sums(_lineitem(spark, sf), ["l_returnflag", "l_linestatus"], {
+        "seventh_of_price": price / 7,
+        "balanced": (F.col("l_linenumber") - 4) * price / 7,
+        "third_of_tax": F.when(F.col("l_discount") != 0, F.col("l_tax") / 3)})
+
+
 @register("weekly_sales_sorted", O.summary_sql(order=True))
 def q_weekly_sales_sorted(spark, sf):
     df = weekly_summary(spark, sf)
@@ -482,15 +509,14 @@ def _facts_sql(text: str, whole: str, real: str, where: str = "true") -> str:
     return f"WITH s AS ({COARSE_SQL}) " + " UNION ALL ".join(parts)
 
 
-@register("table_create", _facts_sql("string", "int", "double", "year_num = 1999"))
+@register("table_create", _facts_sql("string", "int", "double"))
 def q_table_create(spark, sf):
-    """The table as created from the summary's columns and loaded whole; the
-    facts are those of one year, as the SQL states them."""
+    """The table as created from the summary's columns and loaded whole."""
     t = _table(spark, "table_create")
     s = _coarse(spark, sf)
     t.setup(s)
     t.insert(s)
-    return column_facts(t.read().where("year_num = 1999"))
+    return column_facts(t.read())
 
 
 @register("target_schema", _facts_sql("string", "int", "double"))

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from weekmart.operators.columns import align_columns
+from weekmart.operators.columns import align_columns, unmatched
 from weekmart.sinks.base import counted, observed_rows
 from weekmart.sinks.dialects import create_table_sql, quote
 
@@ -106,12 +106,11 @@ class JdbcSink:
             self._execute(create_table_sql(self.table, df.schema, self.dialect))
             self.schema()
             return
-        for f in df.schema.fields:
-            if f.name not in have.fieldNames():
-                try:
-                    self._execute(add_column_sql(self.table, f, self.dialect))
-                except Exception:  # noqa: BLE001 - skipped, as a refused add
-                    pass
+        for f in unmatched(have, df):
+            try:
+                self._execute(add_column_sql(self.table, f, self.dialect))
+            except Exception:  # noqa: BLE001 - skipped, as a refused add
+                pass
         self.schema()
 
     def delete_period(self, year: int, week: int) -> None:

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weekmart.functions.names import match_names
 from weekmart.functions.values import coerce
 from weekmart.session import scratch_dir
 
@@ -156,7 +157,8 @@ def _read_by_layout(spark: SparkSession, layouts: DataFrame, fmt: str, sep: str,
         if schema is None:
             part = part.select("*", at)
         else:
-            lacking = [f for f in schema.fields if f.name not in part.columns]
+            present = match_names(part.columns, schema.fieldNames())
+            lacking = [f for f in schema.fields if f.name not in present]
             named = part.select("*", at)
             picked = coerce(named, T.StructType(schema.fields + [T.StructField("__file_path", T.StringType())]))
             part = picked.withColumns({f.name: F.lit(None).cast(f.dataType) for f in lacking}) \
@@ -168,14 +170,14 @@ def _read_by_layout(spark: SparkSession, layouts: DataFrame, fmt: str, sep: str,
 def _rows_of(spark: SparkSession, layouts: DataFrame, fmt: str, sep: str,
              schema: T.StructType | str | None) -> DataFrame:
     wanted = None if schema is None else T.StructType(
-        [f for f in _schema(schema).fields if f.name not in ("year_num", "week_num")])
+        [f for f in _schema(schema).fields if f.name.lower() not in ("year_num", "week_num")])
     df = _read_by_layout(spark, layouts, fmt, sep, wanted)
     if df is None:
         fields = (wanted.fields if wanted else []) + [T.StructField("year_num", T.IntegerType()),
                                                       T.StructField("week_num", T.IntegerType())]
         return spark.createDataFrame([], T.StructType(fields))
     data = wanted.fieldNames() if wanted else \
-        [c for c in df.columns if c not in ("year_num", "week_num", "__file_path")]
+        [c for c in df.columns if c.lower() not in ("year_num", "week_num", "__file_path")]
     y, w = _period_from_path(F.col("__file_path"), fmt)
     return df.select(*[F.col(f"`{c}`") for c in data], y.alias("year_num"), w.alias("week_num"))
 
