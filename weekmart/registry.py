@@ -61,11 +61,8 @@ def q_weekly_sales(spark, sf):
     return weekly_summary(spark, sf)
 
 
-CHANNEL_DIMS = ["Goods[fg1_name]", "Channel_type[sell_channel_type_name]", "Price_types[name]",
-                "Price_types[is_tender]", "Promo[promo_type_name]"]
-_CHANNEL = O.summary_sql(dims=["fg1_name", "sell_channel_type_name", "Price_types_name",
-                               "is_tender", "promo_type_name"])
-CHANNEL_SQL = f'SELECT * EXCLUDE ("Price_types_name"), "Price_types_name" AS name FROM ({_CHANNEL})'
+CHANNEL_DIMS = ["Channel_type[sell_channel_type_name]", "Price_types[is_tender]", "Promo[promo_type_name]"]
+CHANNEL_SQL = O.summary_sql(dims=["sell_channel_type_name", "is_tender", "promo_type_name"])
 
 
 @register("channel_sales", CHANNEL_SQL)

@@ -49,7 +49,7 @@ def _nonnumeric(df: DataFrame, sep: str) -> DataFrame:
     (named by the formatted header line) and written verbatim."""
     fields, header = [], []
     for f in df.schema.fields:
-        if f.name in KEYS:
+        if f.name.lower() in KEYS:
             continue
         c = _q(f.name)
         if isinstance(f.dataType, _NUMERIC):
@@ -103,7 +103,7 @@ def csv_export(df: DataFrame, path: str, sep: str = ";", quoting: str = "minimal
     if quoting != "nonnumeric":
         df = _plain_numbers(df)
     obs = Observation("csv")
-    data = [f for f in df.schema.fields if f.name not in KEYS]
+    data = [f for f in df.schema.fields if f.name.lower() not in KEYS]
     raw_len = F.octet_length(F.concat_ws(sep, *[
         F.coalesce(_q(f.name).cast("string"), F.lit("")) for f in data]))
     if quoting != "minimal":

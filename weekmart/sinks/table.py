@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from weekmart.functions.values import (
     DATE_TEXT_PATTERN, coerce_column, number_to_text, text_to_serial,
 )
+from weekmart.operators.columns import matched, unmatched
 from weekmart.sinks.base import counted, observed_rows
 from weekmart.sinks.dialects import column_ddl
 
@@ -42,6 +43,24 @@ def _qt(table: str) -> str:
     return ".".join(_q(p) for p in table.split("."))
 
 
+def fitted(df: DataFrame, target: T.StructType) -> DataFrame:
+    """``df`` as the target's columns, matched by name whatever their case, coerced to
+    its types; absent ones are null."""
+    df, have = matched(df, target.fieldNames())
+    cols = []
+    for f in target.fields:
+        if f.name not in have:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        c, src = have[f.name]
+        if isinstance(f.dataType, _INTEGRAL) and isinstance(src, T.StringType):
+            c = F.coalesce(text_to_serial(c), coerce_column(c, src, f.dataType))
+        elif src != f.dataType:
+            c = coerce_column(c, src, f.dataType)
+        cols.append(c.cast(f.dataType).alias(f.name))
+    return df.select(*cols)
+
+
 class TableSink:
     def __init__(self, spark: SparkSession, table: str, location: str | None = None,
                  keys: tuple[str, ...] = KEYS, name: str | None = None, evolve: bool = True):
@@ -65,7 +84,7 @@ class TableSink:
 
     def setup(self, df: DataFrame) -> None:
         if not self.exists():
-            data = [f for f in df.schema.fields if f.name not in self.keys]
+            data = unmatched(T.StructType([T.StructField(k, T.IntegerType()) for k in self.keys]), df)
             keys = [T.StructField(k, T.IntegerType()) for k in self.keys]
             ddl = column_ddl(T.StructType(data + keys), "spark")
             loc = f" LOCATION '{self.location}'" if self.location else ""
@@ -76,11 +95,8 @@ class TableSink:
             self.evolve(df)
 
     def evolve(self, df: DataFrame) -> list[str]:
-        have = set(self.schema().fieldNames())
         added = []
-        for f in df.schema.fields:
-            if f.name in have:
-                continue
+        for f in unmatched(self.schema(), df):
             try:
                 self.spark.sql(f"ALTER TABLE {_qt(self.table)} ADD COLUMNS "
                                f"({column_ddl(T.StructType([f]), 'spark')})")
@@ -93,16 +109,15 @@ class TableSink:
     def columns_to_widen(self, df: DataFrame) -> list[str]:
         """Integer columns of the table that receive text which is not a date.
         One aggregate pass over the incoming frame decides for all columns."""
-        tschema = {f.name: f.dataType for f in self.schema().fields}
-        cands = [f.name for f in df.schema.fields
-                 if isinstance(f.dataType, T.StringType) and f.name not in self.keys
-                 and isinstance(tschema.get(f.name), _INTEGRAL)]
+        numbers = [f.name for f in self.schema().fields
+                   if isinstance(f.dataType, _INTEGRAL) and f.name not in self.keys]
+        df, have = matched(df, numbers)
+        cands = [(n, c) for n, (c, t) in have.items() if isinstance(t, T.StringType)]
         if not cands:
             return []
-        row = df.agg(*[
-            F.max(F.when(F.col(_q(c)).isNotNull() & ~F.col(_q(c)).rlike(DATE_TEXT_PATTERN), 1))
-            .alias(f"w{i}") for i, c in enumerate(cands)]).first()
-        return [c for i, c in enumerate(cands) if row[f"w{i}"] == 1]
+        row = df.agg(*[F.max(F.when(c.isNotNull() & ~c.rlike(DATE_TEXT_PATTERN), 1)).alias(f"w{i}")
+                       for i, (_, c) in enumerate(cands)]).first()
+        return [n for i, (n, _) in enumerate(cands) if row[f"w{i}"] == 1]
 
     def widen(self, df: DataFrame) -> list[str]:
         cols = self.columns_to_widen(df)
@@ -129,19 +144,7 @@ class TableSink:
     def prepare(self, df: DataFrame) -> DataFrame:
         """Project to the table's columns in its order, coerced to its types.
         Extra columns are dropped; absent ones are null."""
-        have = {f.name: f.dataType for f in df.schema.fields}
-        cols = []
-        for f in self.schema().fields:
-            if f.name not in have:
-                cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-                continue
-            src, c = have[f.name], F.col(_q(f.name))
-            if isinstance(f.dataType, _INTEGRAL) and isinstance(src, T.StringType):
-                c = F.coalesce(text_to_serial(c), coerce_column(c, src, f.dataType))
-            elif src != f.dataType:
-                c = coerce_column(c, src, f.dataType)
-            cols.append(c.cast(f.dataType).alias(f.name))
-        return df.select(*cols)
+        return fitted(df, self.schema())
 
     def delete_period(self, year: int, week: int) -> None:
         """Remove one period, only when both key columns exist."""
