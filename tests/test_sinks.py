@@ -114,3 +114,45 @@ def test_http_prepare_creates_evolves_and_deletes(monkeypatch):
     text = " ".join(b for _, b in sent)
     assert "CREATE TABLE IF NOT EXISTS" in text and "ADD COLUMN IF NOT EXISTS" in text
     assert "TYPE VARCHAR" in text and text.count("DELETE FROM") == 2
+
+
+def test_columns_match_whatever_their_case(spark, scratch):
+    from pyspark.sql import types as T
+
+    from weekmart.functions.values import coerce
+    from weekmart.operators.columns import align_columns
+    t = TableSink(spark, "t_case_" + scratch.rsplit("-", 1)[-1], location=f"{scratch}/t")
+    t.upsert(spark.createDataFrame([("x", 1, 2000, 1)], "name string, qty long, year_num int, week_num int"))
+    t.upsert(spark.createDataFrame([("y", 2, 2000, 2)], "Name string, QTY int, Year_Num int, WEEK_NUM int"))
+    t.insert(spark.createDataFrame([("z", 3, 2000, 2)], "NAME string, qTy long, year_num int, week_num int"))
+    assert rows(t) == [("x", 1, 2000, 1), ("y", 2, 2000, 2), ("z", 3, 2000, 2)]
+    assert t.schema().fieldNames() == ["name", "qty", "year_num", "week_num"]
+    both = spark.createDataFrame([(1, 2, 3)], "A long, a long, b long")
+    target = T.StructType.fromDDL("a string, B double")
+    assert [r.asDict() for r in align_columns(both, target).collect()] == [{"a": 2, "B": 3}]
+    assert [r.asDict() for r in coerce(both, target).collect()] == [{"a": "2", "B": 3.0}]
+
+
+def test_week_files_match_whatever_their_case(spark, scratch):
+    import os
+
+    from weekmart.sources.period_files import backfill, read_period_files
+    from weekmart.streaming.load import stream_load
+    root = f"{scratch.removeprefix('file:')}/src"
+    os.makedirs(f"{root}/2000")
+    with open(f"{root}/2000/2000-01.csv", "w") as f:
+        f.write("Name;Qty\na;1\n")
+    with open(f"{root}/2000/2000-02.csv", "w") as f:
+        f.write("QTY;NAME\n2;b\n")
+    want = [("a", 1, 2000, 1), ("b", 2, 2000, 2)]
+    t = TableSink(spark, "t_casef_" + scratch.rsplit("-", 1)[-1], location=f"{scratch}/t")
+    assert {r.status for r in backfill(spark, root, t, "csv", schema="name string, qty long").collect()} == {"ok"}
+    assert rows(t) == want
+    s = TableSink(spark, "t_cases_" + scratch.rsplit("-", 1)[-1], location=f"{scratch}/s")
+    stream_load(spark, root, s, f"{scratch}/ck", "name string, qty long", "csv").awaitTermination()
+    assert rows(s) == want
+    p = f"{scratch}/pq"
+    spark.createDataFrame(want, "Name string, QTY long, year_num int, week_num int") \
+        .write.partitionBy("year_num", "week_num").parquet(p)
+    got = read_period_files(spark, p, "parquet", schema="name string, qty long")
+    assert sorted(tuple(r) for r in got.collect()) == want and got.columns[:2] == ["name", "qty"]

@@ -45,6 +45,20 @@ def file_manifest(files: DataFrame) -> DataFrame:
             .withColumn("size", human_size("bytes")))
 
 
+def run_ledger(ledger: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """The run's manifest with what became of each period: (sink, year_num, week_num,
+    period, status, rows, error) of a load's ledger, failed and empty periods included, and
+    with ``files`` (a :func:`file_manifest`) the files, bytes and readable size of each."""
+    out = ledger.select("sink", *KEYS, period_label("year_num", "week_num").alias("period"),
+                        "status", "rows", "error")
+    if files is None:
+        return out
+    none = F.lit(0).cast("long")
+    return out.join(files.select(*KEYS, "files", "bytes"), KEYS, "left").select(
+        *out.columns, F.coalesce("files", none).alias("files"), F.coalesce("bytes", none).alias("bytes"),
+        human_size(F.coalesce("bytes", none)).alias("size"))
+
+
 def column_width_profile(df: DataFrame) -> DataFrame:
     """For each column: the longest value as text (header included) and the
     display width min(longest + 2, 100).  One aggregate pass."""

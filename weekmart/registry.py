@@ -465,7 +465,10 @@ from weekmart.sinks.deliver import DeliverySink  # noqa: E402
 from weekmart.sinks.dialects import column_type  # noqa: E402
 from weekmart.sinks.files import ExportSpec, export_csv, export_periods  # noqa: E402
 from weekmart.sinks.table import TableSink  # noqa: E402
-from weekmart.plans.manifest import file_manifest, load_status  # noqa: E402
+from weekmart.plans.manifest import file_manifest, load_status, run_ledger  # noqa: E402
+from weekmart.functions.sizes import human_size  # noqa: E402
+from weekmart.sinks.ledger import CheckedSink, latest, load_periods  # noqa: E402
+from weekmart.sinks.versions import VersionedSink  # noqa: E402
 from weekmart.sources.period_files import (  # noqa: E402
     backfill, backfill_schema, period_files, plan_backfill, read_period_files,
 )
@@ -562,6 +565,37 @@ def q_widen_to_text(spark, sf):
     return _typed(t.read())
 
 
+@register("versioned_widen", f"""WITH s AS ({_SIZE_SQL})
+  SELECT CASE WHEN year_num = 2000 THEN 'size ' || fg3_name ELSE fg3_name END AS fg3_name,
+    year_num, week_num, "Реалізація_к_сть" FROM s""")
+def q_versioned_widen(spark, sf):
+    """The older weeks' files keep their numbers."""
+    cube = sales_cube(spark, sf, dims=["Goods[fg3_name]"])
+    s = to_sink_form(cube_summary(cube, dims=["Goods[fg3_name]"], measure_names=["sell_qty"]))
+    t = VersionedSink(spark, f"{scratch_dir(spark, 'versioned_widen')}/t")
+    t.upsert(s.where(F.col("year_num") != 2000).withColumn("fg3_name", F.col("fg3_name").cast("long")))
+    t.upsert(s.where(F.col("year_num") == 2000).withColumn(
+        "fg3_name", F.concat(F.lit("size "), F.col("fg3_name"))))
+    return _typed(t.read())
+
+
+@register("case_insensitive_load", COARSE_SQL)
+def q_case_insensitive_load(spark, sf):
+    """A table whose columns are spelled in one case, loaded from frames and week files
+    that spell them in another."""
+    s = _coarse(spark, sf)
+    t = _table(spark, "cases")
+    t.setup(s.limit(0))
+    upper = s.toDF(*[c.upper() for c in s.columns])
+    t.upsert(upper.where("YEAR_NUM < 2000"))
+    t.insert(upper.where("YEAR_NUM = 2000"))
+    path = f"{scratch_dir(spark, 'cases_csv')}/csv"
+    later = s.where("year_num > 2000")
+    export_csv(later.toDF(*[c if c in KEYS else c.upper() for c in later.columns]), path)
+    backfill(spark, path, t, "csv", schema=_csv_schema(s))
+    return _typed(t.read())
+
+
 _LM_SQL = _month_sql(*_q_start(AS_OF, 1))
 
 
@@ -629,6 +663,84 @@ def q_fan_out_status(spark, sf):
     return fan_out(_coarse(spark, sf), sinks).select("sink", "status", "rows")
 
 
+def _refusing(spark, key: str):
+    """A store that holds rows of one category back in 2000-W10 and 2001-W42."""
+    week = F.col("year_num") * 100 + F.col("week_num")
+    store = VersionedSink(spark, f"{scratch_dir(spark, key)}/t", name="inner")
+    return CheckedSink(store, ~(week.isin(200010, 200142) & (F.col("fg1_name") == CATEGORY)),
+                       "category refused", name="checked_store")
+
+
+_REFUSED_SQL = f"""SELECT DISTINCT year_num, week_num FROM s
+  WHERE year_num * 100 + week_num IN (200010, 200142) AND fg1_name = '{CATEGORY}'"""
+
+
+def _ledger_sql(wanted: str, *sinks: str) -> str:
+    parts = [f"""SELECT '{k}' AS sink, w.year_num, w.week_num,
+      CASE WHEN c.n IS NULL THEN 'empty' WHEN {bad} THEN 'error' ELSE 'ok' END AS status,
+      CASE WHEN c.n IS NULL OR {bad} THEN 0 ELSE c.n END AS rows
+      FROM wanted w LEFT JOIN c USING (year_num, week_num) LEFT JOIN x ON w.year_num = x.year_num AND w.week_num = x.week_num"""
+             for k, bad in ((k, "x.year_num IS NOT NULL" if k == "checked_store" else "false") for k in sinks)]
+    return (f"WITH s AS ({COARSE_SQL}), x AS ({_REFUSED_SQL}), wanted AS ({wanted}), "
+            "c AS (SELECT year_num, week_num, count(*) AS n FROM s GROUP BY ALL) " + " UNION ALL ".join(parts))
+
+
+@register("period_ledger", _ledger_sql("SELECT DISTINCT year_num, week_num FROM s", "table", "checked_store"))
+def q_period_ledger(spark, sf):
+    """A store that refuses a week keeps no other week out: the ledger, checked
+    against what the stores hold."""
+    table = _table(spark, "ledger")
+    table.name = "table"
+    checked = _refusing(spark, "ledger_store")
+    ledger = load_periods(_coarse(spark, sf), [table, checked])
+    held = [t.read().groupBy(*KEYS).agg(F.count("*").alias("held")).withColumn("held_by", F.lit(n))
+            for n, t in (("table", table), ("checked_store", checked.sink))]
+    stored = held[0].unionByName(held[1])
+    rows = ledger.select("sink", *KEYS, "status").join(
+        stored, (F.col("sink") == F.col("held_by")) & (ledger["year_num"] == stored["year_num"])
+        & (ledger["week_num"] == stored["week_num"]), "left")
+    return rows.select("sink", ledger["year_num"], ledger["week_num"], "status",
+                       F.coalesce("held", F.lit(0)).alias("rows"))
+
+
+@register("run_ledger", f"""SELECT sink, year_num, week_num, printf('%d-%02d', year_num, week_num) AS period,
+  status, rows FROM ({_ledger_sql(_MANIFEST_WANTED, "checked_store")})""")
+def q_run_ledger(spark, sf):
+    """The manifest of a run with refused and empty weeks, read from the kept ledger."""
+    wanted = P.period_range(spark, *MANIFEST_RANGE, MANIFEST_AS_OF)
+    kept = f"{scratch_dir(spark, 'kept_ledger')}/ledger"
+    load_periods(where_periods(_coarse(spark, sf), wanted), [_refusing(spark, "run_ledger")], wanted, kept)
+    return run_ledger(latest(spark, kept)).select("sink", *KEYS, "period", "status", "rows")
+
+
+@register("readable_sizes", f"""SELECT l_orderkey, l_linenumber, bytes,
+  CASE WHEN bytes < 1024 THEN printf('%d Б', bytes)
+    WHEN bytes < 1048576 THEN printf('%.1f КБ', bytes / 1024.0::DOUBLE)
+    WHEN bytes < 1073741824 THEN printf('%.2f МБ', bytes / 1048576.0::DOUBLE)
+    ELSE printf('%.2f ГБ', bytes / 1073741824.0::DOUBLE) END AS size
+  FROM (SELECT *, CAST(floor(l_extendedprice) AS BIGINT) * CAST(pow(32, l_linenumber - 1) AS BIGINT) AS bytes FROM lineitem)""")
+def q_readable_sizes(spark, sf):
+    b = F.floor("l_extendedprice") * F.pow(F.lit(32), F.col("l_linenumber") - 1).cast("long")
+    return _lineitem(spark, sf).select("l_orderkey", "l_linenumber", b.alias("bytes"), human_size(b).alias("size"))
+
+
+def _versions(spark, key: str) -> VersionedSink:
+    return VersionedSink(spark, f"{scratch_dir(spark, key)}/t")
+
+
+@register("versioned_upsert", REPLACED_SQL)
+def q_versioned_upsert(spark, sf):
+    t = _versions(spark, "versions")
+    s = _coarse(spark, sf)
+    t.upsert(s)
+    returns = where_periods(_coarse(spark, sf, where=F.col("l_returnflag") == "R"),
+                            P.last_quarter(spark, AS_OF))
+    t.upsert(returns)
+    t.upsert(returns)
+    t.vacuum()
+    return _typed(t.read())
+
+
 @register("load_status", f"""SELECT 'ok' AS status, count(DISTINCT year_num * 100 + week_num) AS n,
   CAST(count(*) AS BIGINT) AS rows FROM ({COARSE_SQL})""")
 def q_load_status(spark, sf):

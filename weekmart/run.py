@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from weekmart.plans import periods as P
 from weekmart.plans.manifest import file_manifest, manifest
 from weekmart.plans.summary import sales_available_periods, weekly_summary
-from weekmart.sinks.base import fan_out
 from weekmart.sinks.files import ExportSpec, export_periods
+from weekmart.sinks.ledger import load_periods, sink_status
 from weekmart.sources.period_files import period_files
 
 
@@ -31,6 +31,7 @@ class RunResult:
     manifest: DataFrame       # rows per chosen period (0 when empty)
     sinks: DataFrame | None   # (sink, status, rows, error)
     files: DataFrame | None   # per period and format: files, bytes, size
+    ledger: DataFrame | None = None   # (run, sink, year_num, week_num, status, rows, error)
 
 
 def run_weekly_export(spark: SparkSession, source: str, as_of: _dt.date,
@@ -42,7 +43,7 @@ def run_weekly_export(spark: SparkSession, source: str, as_of: _dt.date,
     available = sales_available_periods(spark, source)
     wanted = P.resolve_periods(spark, as_of, available, *period_specs)
     result = weekly_summary(spark, source, periods=wanted, category=category)
-    sinks = files = None
+    sinks = files = ledger = None
     if spec is not None:
         consumers = (1 if spec.root and spec.file_formats() else 0) + (1 if spec.sinks else 0)
         if consumers >= 1:
@@ -53,7 +54,8 @@ def run_weekly_export(spark: SparkSession, source: str, as_of: _dt.date,
             result = result.checkpoint(eager=True)
         written = export_periods(result, spec) if spec.root else {}
         if spec.sinks:
-            sinks = fan_out(result, spec.sinks, materialize="none")
+            ledger = load_periods(result, spec.sinks, wanted, spec.ledger, materialize=False)
+            sinks = sink_status(ledger)
         parts = []
         for fmt in written:
             ext = "csv.gz" if fmt == "csv" and spec.compression == "gzip" else fmt
@@ -62,4 +64,4 @@ def run_weekly_export(spark: SparkSession, source: str, as_of: _dt.date,
         for p in parts:
             files = p if files is None else files.unionByName(p)
     return RunResult(periods=wanted, result=result, manifest=manifest(result, wanted),
-                     sinks=sinks, files=files)
+                     sinks=sinks, files=files, ledger=ledger)

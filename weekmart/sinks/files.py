@@ -154,6 +154,7 @@ class ExportSpec:
     compression: str | None = None
     force_csv_only: bool = False
     sinks: list = field(default_factory=list)
+    ledger: str | None = None     # folder of the per-period load ledger
 
     def file_formats(self) -> list[str]:
         f = self.fmt.lower()
