@@ -60,6 +60,14 @@ def _plain(text: Column) -> Column:
     return F.when(out == "-0", "0").otherwise(out)
 
 
+def _shortest(text: Column) -> Column:
+    """:func:`_plain`, which few numbers need: text without an exponent is plain but
+    for the zeros behind its point."""
+    trimmed = F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
+    return F.when(F.contains(text, F.lit("E")), _plain(text)) \
+        .when(~F.contains(text, F.lit(".")), text).when(trimmed == "-0", "0").otherwise(trimmed)
+
+
 def number_to_text(c, dtype: T.DataType = T.DoubleType()) -> Column:
     """Number -> text for a text target, in plain notation from the shortest
     digits that give the same number: whole numbers lose the '.0' (3.0 -> '3',
@@ -68,8 +76,8 @@ def number_to_text(c, dtype: T.DataType = T.DoubleType()) -> Column:
     if isinstance(dtype, _INTEGRAL):
         return c.cast("string")
     if isinstance(dtype, T.DecimalType):
-        return _plain(c.cast("string"))
-    return _plain(finite(c).cast("string"))
+        return _shortest(c.cast("string"))
+    return _shortest(finite(c).cast("string"))
 
 
 def text_to_serial(c) -> Column:

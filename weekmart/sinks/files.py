@@ -94,25 +94,27 @@ def csv_export(df: DataFrame, path: str, sep: str = ";", quoting: str = "minimal
                encoding: str = "UTF-8", header: bool = True, compression: str | None = None,
                sort_keys: list[str] | None = None, max_records_per_file: int | None = None,
                mode: str = "overwrite") -> dict[str, int]:
-    """:func:`export_csv` with what it wrote: ``rows`` and ``text_bytes``, the
-    UTF-8 bytes of the rows' values, separators, quotes and line ends before
-    compression (header lines not included)."""
+    """:func:`export_csv` with what it wrote: ``rows`` and, for a compressed export,
+    ``text_bytes``, the UTF-8 bytes of the rows' values, separators, quotes and line
+    ends before compression (header lines not included)."""
     if quoting not in QUOTING:
         raise ValueError(f"quoting must be one of {QUOTING}")
     df = finite_frame(df)
     if quoting != "nonnumeric":
         df = _plain_numbers(df)
     obs = Observation("csv")
-    data = [f for f in df.schema.fields if f.name.lower() not in KEYS]
-    raw_len = F.octet_length(F.concat_ws(sep, *[
-        F.coalesce(_q(f.name).cast("string"), F.lit("")) for f in data]))
-    if quoting != "minimal":
-        quoted = len(data) if quoting == "all" else \
-            sum(not isinstance(f.dataType, _NUMERIC) for f in data)
-        raw_len = raw_len + 2 * quoted
+    told = [F.count(F.lit(1)).alias("rows")]
+    if compression:
+        data = [f for f in df.schema.fields if f.name.lower() not in KEYS]
+        raw_len = F.octet_length(F.concat_ws(sep, *[
+            F.coalesce(_q(f.name).cast("string"), F.lit("")) for f in data]))
+        if quoting != "minimal":
+            quoted = len(data) if quoting == "all" else \
+                sum(not isinstance(f.dataType, _NUMERIC) for f in data)
+            raw_len = raw_len + 2 * quoted
+        told.append(F.sum(raw_len + 1).alias("text_bytes"))
     # Observed after the exchange (a range exchange samples its input first).
-    out = layout(df, sort_keys).observe(
-        obs, F.count(F.lit(1)).alias("rows"), F.sum(raw_len + 1).alias("text_bytes"))
+    out = layout(df, sort_keys).observe(obs, *told)
     opts = {"sep": sep, "header": str(header).lower(), "encoding": encoding,
             "nullValue": "", "emptyValue": "", "escape": '"',
             "partitionOverwriteMode": "dynamic"}
@@ -127,6 +129,8 @@ def csv_export(df: DataFrame, path: str, sep: str = ";", quoting: str = "minimal
         opts["maxRecordsPerFile"] = str(max_records_per_file)
     out.write.mode(mode).options(**opts).partitionBy(*KEYS).csv(path)
     rows = observed_rows(obs)
+    if not compression:
+        return {"rows": rows}
     return {"rows": rows, "text_bytes": int(obs.get.get("text_bytes") or 0) if rows else 0}
 
 
