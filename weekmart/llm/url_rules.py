@@ -3,7 +3,8 @@
 Labelled URLs become sets of tokens (host labels, path segments, query names);
 Spark's FP-growth mines the combinations that at least ``MIN_BAD_PAGES`` bad pages
 share, a number that does not depend on the table's size; their confidence is
-counted over all labelled pages.  Tokens that stand in exactly the same labelled
+counted over all labelled pages.  A token of bad pages only is a rule as it is and not
+mined further.  Tokens that stand in exactly the same labelled
 URLs are mined as one and written out again afterwards, so that a long repeated
 URL does not give every subset of its tokens.  Rules below the confidence bound
 are pruned, and so is a rule whose tokens include those of another rule at least
@@ -99,29 +100,38 @@ def mine(labelled: DataFrame, min_bad: int = MIN_BAD_PAGES,
         F.bit_xor(F.xxhash64("url", F.lit(1))).alias("h2")).where(F.col("bad_pages") >= min_bad)
     classes = stored(by_token.groupBy("pages", "bad_pages", "h1", "h2").agg(
         F.min("token").alias("item"), F.collect_list("token").alias("names")))
+    # A token that no good page has is a rule of confidence 1.  No set that holds it can
+    # be surer, so it is mined no further: else k such tokens would give 2^k sets.
+    only_bad = F.col("bad_pages") == F.col("pages")
+    certain = classes.where(only_bad).select(
+        F.xxhash64(F.array("item")).alias("set_id"), F.array("item").alias("members"),
+        F.col("item").alias("rare"), F.lit(1.0).alias("confidence"))
+    open_classes = classes.where(~only_bad)
     baskets = stored(words.select("url", "token").join(
-        classes.select("item", F.explode("names").alias("token")), "token")
+        open_classes.select("item", F.explode("names").alias("token")), "token")
         .groupBy("url").agg(F.collect_set("item").alias("items")).join(urls, "url"))
     bad = baskets.where("bad_pages > 0").select(
         "items", F.explode(F.sequence(F.lit(1), F.col("bad_pages"))).alias("i")).select("items")
     n_bad = bad.count()
-    if n_bad == 0:
-        return spark.range(0).selectExpr("id rule_id", "array('') tokens", "0.0D confidence", "'' rare")
-    found = FPGrowth(itemsCol="items", minSupport=(min_bad - 0.5) / n_bad).fit(bad).freqItemsets
-    sets = stored(found.select(F.xxhash64(F.array_sort("items")).alias("set_id"),
-                               F.array_sort("items").alias("members"), "freq"))
-    sets = stored(_with_rarest(sets, classes.select("item", "pages")))
-    counted = holding(sets, baskets.select("items", "pages"), "items") \
-        .groupBy("set_id").agg(F.sum("pages").alias("pages"))
-    sure = stored(sets.join(counted, "set_id").withColumn("confidence", F.col("freq") / F.col("pages"))
-                  .where(F.col("confidence") >= min_confidence).drop("pages", "freq"))
-    # A rule that holds all tokens of another at least as confident adds nothing.
-    larger = sure.select(F.col("set_id").alias("a_id"), F.col("members").alias("a_members"),
-                         F.col("confidence").alias("a_confidence"))
-    covered = holding(sure, larger, "a_members") \
-        .where("size(members) < size(a_members) and confidence >= a_confidence") \
-        .select(F.col("a_id").alias("set_id")).distinct()
-    least = sure.join(covered, "set_id", "left_anti")
+    least = certain
+    if n_bad:
+        growth = FPGrowth(itemsCol="items", minSupport=(min_bad - 0.5) / n_bad,
+                          numPartitions=spark.sparkContext.defaultParallelism)
+        found = growth.fit(bad).freqItemsets
+        sets = stored(found.select(F.xxhash64(F.array_sort("items")).alias("set_id"),
+                                   F.array_sort("items").alias("members"), "freq"))
+        sets = stored(_with_rarest(sets, open_classes.select("item", "pages")))
+        counted = holding(sets, baskets.select("items", "pages"), "items") \
+            .groupBy("set_id").agg(F.sum("pages").alias("pages"))
+        sure = stored(sets.join(counted, "set_id").withColumn("confidence", F.col("freq") / F.col("pages"))
+                      .where(F.col("confidence") >= min_confidence).drop("pages", "freq"))
+        # A rule that holds all tokens of another at least as confident adds nothing.
+        larger = sure.select(F.col("set_id").alias("a_id"), F.col("members").alias("a_members"),
+                             F.col("confidence").alias("a_confidence"))
+        covered = holding(sure, larger, "a_members") \
+            .where("size(members) < size(a_members) and confidence >= a_confidence") \
+            .select(F.col("a_id").alias("set_id")).distinct()
+        least = certain.unionByName(sure.join(covered, "set_id", "left_anti"))
     # Every choice of one token per class is a rule; tokens of a class are equally rare.
     members = least.select("set_id", "rare", "confidence", F.explode("members").alias("item")) \
         .join(classes.select("item", "names"), "item").groupBy("set_id", "confidence").agg(
