@@ -62,13 +62,21 @@ def test_decontaminate(spark, docs, rows):
     assert any(r.contaminated for r in got)
 
 
+def test_decontaminate_with_a_joined_vocabulary(spark, docs, rows, monkeypatch):
+    """More benchmark words than tasks may hold: the same rows."""
+    monkeypatch.setattr(decontaminate, "MAX_TERMS_IN_TASK", 10)
+    monkeypatch.setattr(decontaminate, "BROADCAST_DOCS", 1)
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text")
+    got = decontaminate.contamination_report(docs, items).collect()
+    same(got, brute.decontaminate(rows, [tuple(r) for r in items.collect()]))
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "alpha x x beta"), (2, "alpha " + "x " * 30 + "beta")],
                                  "doc_id long, text string")
     wins = decontaminate.windows(spark.createDataFrame([(1, "alpha beta")], "item_id long, text string"))
-    ids = decontaminate._vocabulary(wins)
-    posts = decontaminate.index_documents(docs, ids)
-    near = decontaminate.proximity(posts, decontaminate.ranked_terms(wins, posts, ids), 5)
+    posts, vocabulary = decontaminate.build_index(docs, wins)
+    near = decontaminate.proximity(posts, decontaminate.ranked_terms(wins, posts, vocabulary), 5)
     assert [(r.doc_id, r.gap) for r in near.collect()] == [(1, 3)]
 
 

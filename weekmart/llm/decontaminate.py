@@ -33,7 +33,7 @@ from weekmart.llm.storage import stored
 from weekmart.llm.text import alnum_words
 
 WINDOW = 10
-MAX_TERMS_IN_TASK = 1_000_000  # vocabulary above this is joined, not sent to the tasks
+MAX_TERMS_IN_TASK = 1_000_000  # a larger vocabulary is joined, not sent to the tasks
 
 BROADCAST_DOCS = 500_000       # candidate documents sent to the postings; more are joined by shuffle
 
@@ -94,15 +94,30 @@ def index_documents(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
         run, f"doc_id {kind}, doc_hash bigint, term int, n int, positions array<int>")
 
 
-def _vocabulary(wins: DataFrame) -> dict[bytes, int]:
-    """Term -> number for the words of the benchmark.  A benchmark is small and
-    stated; beyond ``MAX_TERMS_IN_TASK`` distinct terms this raises."""
-    terms = wins.select(F.explode("terms").alias("t")).distinct()
-    rows = terms.limit(MAX_TERMS_IN_TASK + 1).collect()
-    if len(rows) > MAX_TERMS_IN_TASK:
-        raise ValueError(f"the benchmark has more than {MAX_TERMS_IN_TASK} distinct words; "
-                         "split it and run the parts one after another")
-    return {t.encode(): i for i, t in enumerate(sorted(r.t for r in rows))}
+def index_by_join(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """The rows of :func:`index_documents` for a vocabulary (word, term) of any size:
+    words are joined to it by shuffle, a frequent word's rows split over tasks."""
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("doc_hash"), alnum_words(F.col("text")).alias("words"))
+    spread = keyed.dropDuplicates(["doc_id", "doc_hash"]).select(
+        "doc_id", "doc_hash", F.posexplode("words").alias("p", "word"))
+    held = spread.join(vocabulary, "word").groupBy("doc_id", "doc_hash", "term").agg(
+        F.count("*").cast("int").alias("n"), F.sort_array(F.collect_list("p")).alias("positions"))
+    counts = keyed.select("doc_id", "doc_hash", F.lit(-1).cast("long").alias("term"), F.size("words").alias("n"),
+                          F.array().cast("array<int>").alias("positions"))
+    return held.unionByName(counts)
+
+
+def build_index(docs: DataFrame, wins: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(postings, vocabulary): the stored index and the windows' words (word, term).
+    Up to ``MAX_TERMS_IN_TASK`` words travel with the tasks; more are joined."""
+    words = stored(wins.select(F.explode("terms").alias("word")).distinct())
+    if words.count() > MAX_TERMS_IN_TASK:
+        vocabulary = stored(words.select("word", F.monotonically_increasing_id().alias("term")))
+        return stored(index_by_join(docs, vocabulary)), vocabulary
+    ids = {w.encode(): i for i, w in enumerate(sorted(r.word for r in words.collect()))}
+    vocabulary = docs.sparkSession.createDataFrame([(k.decode(), v) for k, v in ids.items()],
+                                                   "word string, term int")
+    return stored(index_documents(docs, ids)), vocabulary
 
 
 KEYS = ["doc_id", "doc_hash"]
@@ -118,11 +133,9 @@ def _same_doc(a: DataFrame, b: DataFrame, how: str = "inner", extra=()) -> DataF
     return a.join(other, cond, how).drop(*[f"_{k}" for k in (*KEYS, *extra)])
 
 
-def ranked_terms(wins: DataFrame, postings: DataFrame, ids: dict[bytes, int]) -> DataFrame:
+def ranked_terms(wins: DataFrame, postings: DataFrame, vocab: DataFrame) -> DataFrame:
     """(window_id, size, terms_by_rarity): the distinct words of each window as
     structs (count, term, offset), rarest first."""
-    spark = wins.sparkSession
-    vocab = spark.createDataFrame([(k.decode(), v) for k, v in ids.items()], "word string, term int")
     seen = postings.groupBy("term").agg(F.sum("n").alias("cf"))
     vocab = vocab.join(seen, "term", "left")
     spread = wins.select("window_id", "terms").distinct().select(
@@ -145,9 +158,11 @@ def phrase_matches(postings: DataFrame, ranked: DataFrame) -> DataFrame:
         .select(*KEYS, "window_id", "size", "ranked", (F.col("p") - F.col("offset")).alias("start")) \
         .where("start >= 0")
     second = cand.where(size > 1).withColumn("term", F.col("ranked")[1]["term"])
-    # The vocabulary is bounded, so its terms can be sent to the postings.
-    terms = live.where(size > 1).select(F.col("ranked")[1]["term"].alias("term")).distinct()
-    listed = postings.join(F.broadcast(terms), "term", "left_semi")
+    terms = stored(live.where(size > 1).select(F.col("ranked")[1]["term"].alias("term")).distinct())
+    # A vocabulary that tasks can hold can be sent to the postings.
+    if terms.count() <= MAX_TERMS_IN_TASK:
+        terms = F.broadcast(terms)
+    listed = postings.join(terms, "term", "left_semi")
     met = _same_doc(second, listed.select(*KEYS, "term", "positions"), extra=("term",)).where(
         F.array_contains("positions", F.col("start") + F.col("ranked")[1]["offset"])) \
         .drop("positions", "term")
@@ -189,9 +204,8 @@ def proximity(postings: DataFrame, ranked: DataFrame, distance: int) -> DataFram
 def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """(doc_id, doc_hash, n_words, n_hit, item_ids) per distinct (doc_id, text)."""
     wins = stored(windows(items, size))
-    ids = _vocabulary(wins)
-    postings = stored(index_documents(docs, ids))
-    matched = stored(phrase_matches(postings, ranked_terms(wins, postings, ids)).distinct())
+    postings, vocabulary = build_index(docs, wins)
+    matched = stored(phrase_matches(postings, ranked_terms(wins, postings, vocabulary)).distinct())
     # Words covered by the matched windows: merge their intervals per document.
     spans = matched.groupBy(*KEYS).agg(F.sort_array(F.collect_set(F.struct(
         F.col("start").alias("s"), (F.col("start") + F.col("size")).alias("e")))).alias("spans"))
