@@ -97,25 +97,6 @@ def test_delivery_replaces_periods_whatever_the_task_layout(spark, scratch):
         {1: 10, 2: 4, 3: 10}
 
 
-def test_http_prepare_creates_evolves_and_deletes(monkeypatch):
-    from pyspark.sql import types as T
-
-    from weekmart.sinks.deliver import HttpTransport
-    sent = []
-
-    def post(self, path, body, kind):
-        sent.append((path, body.decode()))
-        return {"columns": ["column_name", "column_type"],
-                "rows": [["a", "BIGINT"], ["year_num", "BIGINT"], ["week_num", "BIGINT"]]}
-
-    monkeypatch.setattr(HttpTransport, "_post", post)
-    schema = T.StructType.fromDDL("a string, b double, year_num int, week_num int")
-    HttpTransport("http://store", "t").prepare(schema, [(2025, 1), (2025, 2)], ["a"])
-    text = " ".join(b for _, b in sent)
-    assert "CREATE TABLE IF NOT EXISTS" in text and "ADD COLUMN IF NOT EXISTS" in text
-    assert "TYPE VARCHAR" in text and text.count("DELETE FROM") == 2
-
-
 def test_columns_match_whatever_their_case(spark, scratch):
     from pyspark.sql import types as T
 

@@ -461,7 +461,7 @@ def q_manifest_stats(spark, sf):
 
 from weekmart.session import scratch_dir  # noqa: E402
 from weekmart.sinks.base import fan_out  # noqa: E402
-from weekmart.sinks.deliver import DeliverySink  # noqa: E402
+from weekmart.sinks.deliver import DeliverySink, read_delivered  # noqa: E402
 from weekmart.sinks.dialects import column_type  # noqa: E402
 from weekmart.sinks.files import ExportSpec, export_csv, export_periods  # noqa: E402
 from weekmart.sinks.table import TableSink  # noqa: E402
@@ -770,8 +770,7 @@ def q_deliver_smaller_week(spark, sf):
 
 
 def _delivered(spark, d):
-    return spark.read.option("recursiveFileLookup", "true") \
-        .option("pathGlobFilter", "*.parquet").parquet(f"{d}/drop")
+    return read_delivered(spark, f"{d}/drop")
 
 
 def _export(spark, sf, key, **kw) -> tuple[str, DataFrame]:
