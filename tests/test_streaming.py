@@ -79,3 +79,52 @@ def test_crash_between_batches_and_replay_lose_nothing(spark, scratch):
     q = stream_load(spark, src, t, ck, "name string, qty double", "csv", max_files_per_trigger=1)
     q.awaitTermination()
     assert sorted((r.name, r.qty) for r in t.read().collect()) == [("r0", 0.0), ("r1", 1.0), ("r2", 2.0)]
+
+
+def _csv(path, rows):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    pd.DataFrame(rows, columns=["name", "qty"]).to_csv(path, sep=";", index=False)
+
+
+def test_a_running_stream_replaces_periods_as_single_runs_do(spark, scratch):
+    src = scratch.removeprefix("file:") + "/cont"
+    deliveries = [[("a/2025-01.csv", [("a", 1.0)]), ("a/2025-02.csv", [("b", 2.0)])],
+                  [("b/2025-01.csv", [("c", 3.0)])],
+                  [("c/2025-02.csv", [("d", 4.0)]), ("c/2025-03.csv", [("e", 5.0)])]]
+    t = TableSink(spark, "t_cont_" + scratch.rsplit("-", 1)[-1], location=f"{scratch}/tc")
+    once = TableSink(spark, "t_once_" + scratch.rsplit("-", 1)[-1], location=f"{scratch}/to")
+    _csv(f"{src}/{deliveries[0][0][0]}", deliveries[0][0][1])
+    ck, ck2 = scratch_dir(spark, "ck"), scratch_dir(spark, "ck")
+    q = None
+    try:
+        for files in deliveries:
+            for name, rows in files:
+                _csv(f"{src}/{name}", rows)
+            if q is None:
+                q = stream_load(spark, src, t, ck, "name string, qty double", "csv", available_now=False, every="0 seconds")
+            q.processAllAvailable()
+            stream_load(spark, src, once, ck2, "name string, qty double", "csv").awaitTermination()
+    finally:
+        if q is not None:
+            q.stop()
+    want = [(1, "c"), (2, "d"), (3, "e")]
+    for sink in (t, once):
+        assert sorted((r.week_num, r.name) for r in sink.read().collect()) == want
+
+
+def test_run_state_does_not_grow_with_files(spark, scratch):
+    from weekmart.streaming.load import RunState
+    state = RunState(spark, f"{scratch}/state")
+    size = lambda: state.fs.getFileStatus(state._path("state.json")).getLen()
+    schema, sizes = "path string, year_num int, week_num int", []
+    for epoch in range(4):
+        files = spark.range(1000).selectExpr(f"concat('f{epoch}-', id) as path", "2025 as year_num",
+                                             "cast(id % 50 + 1 as int) as week_num").to(
+            spark.createDataFrame([], schema).schema)
+        for _ in range(2):                                  # a replayed batch adds nothing
+            assert state.take(files, epoch, lambda: files).count() == 1000
+        state.done(lambda: files)
+        sizes.append(size())
+    assert max(sizes) == min(sizes) < 100
+    kept = [s.getPath().getName() for s in state.fs.listStatus(state._path(""))]
+    assert sorted(k for k in kept if k.startswith("run=")) == ["run=2", "run=3"]

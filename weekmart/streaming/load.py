@@ -4,26 +4,25 @@ micro-batch replacing the periods it touches in the target.
 The stream only discovers files (``binaryFile`` without its content); its
 checkpoint remembers which ones were taken.  ``foreachBatch`` then loads every
 touched period whole, from all files that the present run has seen of it, by
-column name, and replaces the period.  Which files a run has seen is kept in a
-small file beside the checkpoint, written before the load: a replayed batch adds
-nothing new to it and loads the same rows again, and a restart after a crash goes
-on with the same run, so neither the batch size nor a failure changes the result.
-
-A run is what ``AvailableNow`` takes in one go: it is over when every file that
-was there at its start has been taken.  A later run that brings new files of a
-period replaces that period.  A file that cannot be read fails the batch.
+column name, and replaces the period.
+
+A run is what lies in the directory when its first batch is taken, under any
+trigger: it is over when every such file that still exists has been taken, and the
+next batch begins the next run.  A later run that brings new files of a period
+replaces that period.  So neither the batch size, the trigger nor a failure changes
+the result.  A file that cannot be read fails the batch.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weekmart.session import _qualified
 from weekmart.sources.period_files import (
     _GLOBS, _period_from_path, _rows_of, layouts_of, period_files,
 )
@@ -45,82 +44,103 @@ def period_stream(spark: SparkSession, root: str, fmt: str = "csv",
 
 
 class RunState:
-    """The files of the run in progress, kept as JSON beside the checkpoint."""
-
-    def __init__(self, location: str):
-        from weekmart.sinks.deliver import _filesystem
-        self.fs, base = _filesystem(location)
-        self.path = f"{base.rstrip('/')}-run.json"
-        self.expected: set[str] = set()      # there when the run began
-        self.taken: dict[str, list[str]] = {}  # per period, before it is loaded
-        self.loaded: set[str] = set()
-        self.epoch = -1                      # of the last batch
-        self.over = False                    # the run before this one was finished
-
-    def load(self) -> None:
-        from pyarrow import fs as pafs
-        if self.fs.get_file_info(self.path).type != pafs.FileType.NotFound:
-            with self.fs.open_input_stream(self.path) as f:
-                told = json.loads(f.read())
-            self.expected, self.loaded = set(told["expected"]), set(told["loaded"])
-            self.taken, self.epoch = told["taken"], told["epoch"]
-
-    def save(self) -> None:
-        told = {"expected": sorted(self.expected), "loaded": sorted(self.loaded),
-                "taken": self.taken, "epoch": self.epoch}
-        self.fs.create_dir(self.path.rsplit("/", 1)[0], recursive=True)
-        tmp = f"{self.path}.{uuid.uuid4().hex}"
-        with self.fs.open_output_stream(tmp) as f:
-            f.write(json.dumps(told).encode())
-        self.fs.move(tmp, self.path)
-
-    def begin(self, present: set[str]) -> None:
-        """A new run, unless the last one was cut short."""
-        self.load()
-        self.over = self.expected <= self.loaded
-        self.expected = present if self.over else self.expected | present
-
-    def take(self, files: list[tuple[str, int, int]], epoch: int) -> set[tuple[int, int]]:
-        """Note a batch's files; returns the periods they touch.  The last run's
-        files are forgotten with the first batch that does not replay its last."""
-        if self.over and epoch != self.epoch:
-            self.taken, self.loaded, self.over = {}, set(), False
-        found = defaultdict(set, {k: set(v) for k, v in self.taken.items()})
-        for path, year, week in files:
-            found[f"{year}-{week}"].add(path)
-        self.taken, self.epoch = {k: sorted(v) for k, v in found.items()}, epoch
-        self.save()
-        return {(year, week) for _, year, week in files}
-
-    def done(self) -> None:
-        self.loaded = {p for paths in self.taken.values() for p in paths}
-        self.save()
+    """The run in progress, kept beside the checkpoint:
+
+        <checkpoint>-run/run=<n>/expected      files that were there when it began
+        <checkpoint>-run/run=<n>/batch=<epoch> files of each batch
+        <checkpoint>-run/state.json            run, last batch, whether it is over
+
+    The file lists are Parquet tables that Spark writes and reads; the driver holds
+    the three values of ``state.json`` only.  A batch is noted before it is loaded, under
+    its epoch, so a replayed batch adds nothing new.  Lists of runs before the last one
+    are removed."""
+
+    def __init__(self, spark: SparkSession, checkpoint: str):
+        path, self.fs = _qualified(spark, f"{checkpoint.rstrip('/')}-run")
+        self.spark, self.root = spark, path.toString().rstrip("/")
+
+    def _path(self, rest: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{rest}")
+
+    def load(self) -> dict | None:
+        at = self._path("state.json")
+        if not self.fs.exists(at):
+            return None
+        stream = self.fs.open(at)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def save(self, state: dict) -> None:
+        jvm, gateway = self.spark._jvm, self.spark.sparkContext._gateway
+        draft = self._path(f".state.{uuid.uuid4().hex}")
+        out = self.fs.create(draft, False)
+        try:
+            out.write(bytearray(json.dumps(state).encode()))
+        finally:
+            out.close()
+        rename = jvm.org.apache.hadoop.fs.Options.Rename
+        how = gateway.new_array(rename, 1)
+        how[0] = rename.OVERWRITE
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            draft.toUri(), self.spark._jsc.hadoopConfiguration()).rename(draft, self._path("state.json"), how)
+
+    def _list(self, run: int, name: str) -> DataFrame:
+        schema = "path string, year_num int, week_num int"
+        return self.spark.read.schema(schema).parquet(f"{self.root}/run={run}/{name}")
+
+    def take(self, files: DataFrame, epoch: int, present) -> DataFrame:
+        """Note a batch's ``files``; returns the run's files of the periods they touch.
+        ``present()`` lists what the directory holds, for a run that begins."""
+        state = self.load()
+        # The last batch of a finished run may be replayed: it still belongs to it.
+        if state is None or (state["over"] and epoch != state["epoch"]):
+            run = state["run"] + 1 if state else 0
+            present().write.mode("overwrite").parquet(f"{self.root}/run={run}/expected")
+            state = {"run": run, "epoch": epoch, "over": False}
+            self.save(state)
+            self.fs.delete(self._path(f"run={run - 2}"), True)
+        run = state["run"]
+        files.write.mode("overwrite").parquet(f"{self.root}/run={run}/batch={epoch}")
+        self.save({**state, "epoch": epoch})
+        touched = self._list(run, f"batch={epoch}").select("year_num", "week_num").distinct()
+        return self._list(run, "batch=*").distinct().join(touched, ["year_num", "week_num"], "left_semi") \
+            .select("path", "year_num", "week_num")
+
+    def done(self, present) -> None:
+        """The batch is loaded; the run is over if no file of it is left."""
+        state = self.load()
+        left = self._list(state["run"], "expected").join(
+            self._list(state["run"], "batch=*").select("path"), "path", "left_anti").select("path")
+        over = left.isEmpty() or left.join(present().select("path"), "path", "left_semi").isEmpty()
+        self.save({**state, "over": over})
 
 
 def stream_load(spark: SparkSession, root: str, sink, checkpoint: str,
                 schema: T.StructType | str, fmt: str = "csv", sep: str = ";",
-                clean=None, available_now: bool = True, max_files_per_trigger: int | None = None):
-    """Start the load; with ``available_now`` it runs to the end of the
-    files present and stops.  Returns the StreamingQuery."""
-    state = RunState(checkpoint)
-    state.begin({r.path for r in period_files(spark, root, fmt).select("path").collect()})
+                clean=None, available_now: bool = True, max_files_per_trigger: int | None = None,
+                every: str = "1 minute"):
+    """Start the load; with ``available_now`` it runs to the end of the files
+    present and stops, else it looks for files ``every`` so often.  Returns the
+    StreamingQuery."""
+    state = RunState(spark, checkpoint)
+
+    def present() -> DataFrame:
+        return period_files(spark, root, fmt).select("path", "year_num", "week_num")
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        # One row per file of the trigger.
-        touched = state.take([(r.path, r.year_num, r.week_num) for r in batch.collect()], epoch_id)
-        files = [(p, y, w) for y, w in sorted(touched) for p in state.taken[f"{y}-{w}"]]
-        if not files:
+        if batch.isEmpty():
             return
-        listed = spark.createDataFrame(files, "path string, year_num int, week_num int")
-        layouts = layouts_of(spark, listed, fmt)
+        layouts = layouts_of(spark, state.take(batch, epoch_id, present), fmt)
         bad = layouts.where("error is not null").first()
         if bad:
             raise OSError(f"cannot read {bad['path']}: {bad['error']}")
         rows = _rows_of(spark, layouts, fmt, sep, schema)
         sink.upsert(clean(rows) if clean is not None else rows)
-        state.done()
+        state.done(present)
 
     w = period_stream(spark, root, fmt, max_files_per_trigger).writeStream \
-        .foreachBatch(load_batch).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+        .foreachBatch(load_batch).option("checkpointLocation", _qualified(spark, checkpoint)[0].toString())
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=every)
     return w.start()
