@@ -77,6 +77,33 @@ def decontaminate(docs, items, size=10):
     return out
 
 
+def near_items(docs, items, size=10, span=20, missing=1, least=5):
+    """Per document the items with an exact window, or with a window of ``least`` distinct
+    words all but ``missing`` of which stand in a stretch of ``span`` words."""
+    wins = defaultdict(set)
+    for item, text in items:
+        words = alnum(text)
+        if words and item is not None:
+            for i in range(max(1, len(words) - size + 1)):
+                wins[tuple(words[i:i + size])].add(str(item))
+    out = []
+    for d, text in docs:
+        words = alnum(text)
+        found = set()
+        stretches = [set(words[i:i + span]) for i in range(max(1, len(words)))]
+        for w, ids in wins.items():
+            if ids <= found:
+                continue
+            need = len(set(w)) - missing
+            exact = any(tuple(words[i:i + len(w)]) == w for i in range(len(words) - len(w) + 1)) \
+                if set(w) <= set(words) else False
+            if exact or (len(set(w)) >= least and len(set(w) & set(words)) >= need
+                         and any(len(s.intersection(w)) >= need for s in stretches)):
+                found |= ids
+        out.append((d, len(found), sha(",".join(sorted(found)))))
+    return out
+
+
 def substring(docs, size=50):
     first = {}
     for d, text in docs:

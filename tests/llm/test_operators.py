@@ -58,7 +58,7 @@ def test_decontaminate(spark, docs, rows):
                                  (None, "dup"), (900, "two words"), (904, "w1 w1")], bench.schema)
     items = bench.unionByName(odd)
     got = decontaminate.contamination_report(docs, items).collect()
-    same(got, brute.decontaminate(rows, [tuple(r) for r in items.collect()]))
+    same([r[:6] for r in got], brute.decontaminate(rows, [tuple(r) for r in items.collect()]))
     assert any(r.contaminated for r in got)
 
 
@@ -68,16 +68,7 @@ def test_decontaminate_with_a_joined_vocabulary(spark, docs, rows, monkeypatch):
     monkeypatch.setattr(decontaminate, "BROADCAST_DOCS", 1)
     items = spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text")
     got = decontaminate.contamination_report(docs, items).collect()
-    same(got, brute.decontaminate(rows, [tuple(r) for r in items.collect()]))
-
-
-def test_proximity(spark):
-    docs = spark.createDataFrame([(1, "alpha x x beta"), (2, "alpha " + "x " * 30 + "beta")],
-                                 "doc_id long, text string")
-    wins = decontaminate.windows(spark.createDataFrame([(1, "alpha beta")], "item_id long, text string"))
-    posts, vocabulary = decontaminate.build_index(docs, wins)
-    near = decontaminate.proximity(posts, decontaminate.ranked_terms(wins, posts, vocabulary), 5)
-    assert [(r.doc_id, r.gap) for r in near.collect()] == [(1, 3)]
+    same([r[:6] for r in got], brute.decontaminate(rows, [tuple(r) for r in items.collect()]))
 
 
 def test_substring(docs, rows):

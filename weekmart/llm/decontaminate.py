@@ -5,8 +5,10 @@ per (document, term) with the sorted positions.  A benchmark window is looked
 up from its rarest term: that term's postings, shifted by the term's offset in
 the window, are the candidate starts; they are intersected with the shifted
 list of the second rarest term, and the survivors with all remaining terms.
-What is left are exact phrase matches.  ``proximity`` finds documents holding
-the window's two rarest terms within a distance instead.
+What is left are exact phrase matches.  Proximity matches are the stretches of
+``NEAR_SPAN`` words that hold all of a window's distinct words but ``NEAR_MISSING``,
+in any order: two of the window's rarest words must stand in such a stretch, so
+the postings of those words are intersected first.
 
 Documents are split into words once, when the index is written; the index is a
 Parquet table in the shared checkpoint folder and every later step is a join of
@@ -37,6 +39,10 @@ MAX_TERMS_IN_TASK = 1_000_000  # a larger vocabulary is joined, not sent to the
 
 BROADCAST_DOCS = 500_000       # candidate documents sent to the postings; more are joined by shuffle
 
+NEAR_SPAN = 20      # words of a stretch that is a proximity match
+NEAR_MISSING = 1    # distinct words of the window that it may lack
+NEAR_LEAST = 5      # windows of fewer distinct words have exact matches only
+
 # Lower-cased UTF-8: runs of bytes that are digits, a-z or non-ASCII.
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
@@ -187,25 +193,136 @@ def phrase_matches(postings: DataFrame, ranked: DataFrame) -> DataFrame:
         .unionByName(cand.where("size = 1").select(*cols))
 
 
-def proximity(postings: DataFrame, ranked: DataFrame, distance: int) -> DataFrame:
-    """(doc_id, doc_hash, window_id, gap): documents where the two rarest words
-    of a window stand at most ``distance`` words apart, with the least gap."""
-    pairs = ranked.where("size > 1").where(F.col("ranked")[0]["cf"] > 0).select(
-        "window_id", F.col("ranked")[0]["term"].alias("term"), F.col("ranked")[1]["term"].alias("t2"))
-    a = postings.join(pairs, "term").select(*KEYS, "window_id", F.col("t2").alias("term"),
-                                            F.explode("positions").alias("p"))
-    met = _same_doc(a, postings.select(*KEYS, "term", "positions"), extra=("term",))
-    gap = F.array_min(F.transform(F.filter("positions", lambda q: q != F.col("p")),
-                                  lambda q: F.abs(q - F.col("p"))))
-    return met.select(*KEYS, "window_id", gap.alias("gap")).groupBy(*KEYS, "window_id") \
-        .agg(F.min("gap").alias("gap")).where(F.col("gap") <= distance)
-
-
-def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
-    """(doc_id, doc_hash, n_words, n_hit, item_ids) per distinct (doc_id, text)."""
+def near_windows(ranked: DataFrame, missing: int = NEAR_MISSING) -> DataFrame:
+    """(window_id, need, terms, rare): distinct words of each window that occur in the
+    corpus, how many a match needs, and the ``missing + 2`` rarest, two of which are in
+    every match."""
+    words = ranked.select("window_id", F.array_distinct(F.transform(
+        "ranked", lambda x: F.struct(x["cf"].alias("cf"), x["term"].alias("term")))).alias("words"))
+    live = words.select("window_id", (F.size("words") - missing).alias("need"), F.size("words").alias("m"),
+                        F.transform(F.filter("words", lambda x: x["cf"] > 0), lambda x: x["term"]).alias("terms"))
+    return live.where((F.col("m") >= NEAR_LEAST) & (F.col("need") >= 2) & (F.size("terms") >= F.col("need"))) \
+        .select("window_id", "need", "terms", F.array_sort(F.slice("terms", 1, missing + 2)).alias("rare"))
+
+
+def _by_place(held: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, position, term) of every posting of a batch, in order of row and position."""
+    postings = held.flatten()
+    lists = postings.field("positions")
+    sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+    rows = np.repeat(np.arange(len(held)), held.value_lengths().to_numpy(zero_copy_only=False))
+    row = np.repeat(rows, sizes)
+    place = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    term = np.repeat(postings.field("term").to_numpy(zero_copy_only=False).astype(np.int64), sizes)
+    order = np.argsort(row * (1 << 33) + place, kind="stable")
+    return row[order], place[order], term[order]
+
+
+def _close_pairs(batches: Iterator[pa.RecordBatch], distance: int, wanted: np.ndarray | None):
+    """Distinct (document, a, b) of terms a < b that stand in one stretch of ``distance``
+    words; with ``wanted`` those pairs (a << 32 | b, sorted) only."""
+    for batch in batches:
+        row, place, term = _by_place(batch.column("held"))
+        found = []
+        for step in range(1, distance):
+            near = np.flatnonzero((row[step:] == row[:-step]) & (place[step:] - place[:-step] < distance)
+                                  & (term[step:] != term[:-step]))
+            if not len(near):
+                continue
+            a, b = np.minimum(term[near], term[near + step]), np.maximum(term[near], term[near + step])
+            if wanted is not None:
+                key = a << 32 | b
+                at = np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)
+                some = wanted[at] == key
+                near, a, b = near[some], a[some], b[some]
+            found.append(np.stack([row[near], a, b]))
+        told = np.unique(np.concatenate(found, 1), axis=1) if found else np.zeros((3, 0), np.int64)
+        at = pa.array(told[0])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id").take(at), batch.column("doc_hash").take(at), pa.array(told[1]), pa.array(told[2])],
+            names=[*KEYS, "a", "b"])
+
+
+def _holding(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
+    """(document, window_id) of the candidate windows that have ``need`` of their terms
+    in a stretch of ``distance`` words."""
+    for batch in batches:
+        rows, windows = [], []
+        for i, (held, tried) in enumerate(zip(batch.column("held"), batch.column("tried").to_pylist())):
+            lists = held.values.field("positions")
+            spots = {t: np.sort(lists[k].values.to_numpy(zero_copy_only=False))
+                     for k, t in enumerate(held.values.field("term").to_pylist())}
+            for window in tried:
+                own = [spots[t] for t in window["terms"] if t in spots]
+                if len(own) < window["need"]:
+                    continue
+                starts = np.concatenate(own)
+                seen = np.zeros(len(starts), np.int64)
+                for at in own:
+                    seen += np.searchsorted(at, starts + distance) > np.searchsorted(at, starts)
+                if (seen >= window["need"]).any():
+                    rows.append(i)
+                    windows.append(window["window_id"])
+        at = pa.array(rows, pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id").take(at), batch.column("doc_hash").take(at), pa.array(windows, pa.int64())],
+            names=[*KEYS, "window_id"])
+
+
+def _per_document(postings: DataFrame) -> DataFrame:
+    """(doc_id, doc_hash, held): a document's postings in one row, a repeated one once."""
+    return postings.groupBy(*KEYS).agg(F.collect_set(F.struct("term", "positions")).alias("held"))
+
+
+def proximity_matches(postings: DataFrame, ranked: DataFrame, exact: DataFrame,
+                      distance: int = NEAR_SPAN, missing: int = NEAR_MISSING) -> DataFrame:
+    """(doc_id, doc_hash, window_id) of documents with a stretch of ``distance`` words that
+    holds all distinct words of a window but ``missing``.  The ``exact`` matches
+    (doc_id, doc_hash, window_id) of windows no longer than the distance are among them
+    without a second look.
+
+    Two of a window's rarest words must be close: the postings of those words are put
+    together per document and their close pairs looked up.  What is left is tested with all words."""
+    wins = stored(near_windows(ranked, missing))
+    held = postings.where("term >= 0").select(*KEYS, "term", "positions")
+    longs = wins.select("window_id", F.col("rare").cast("array<bigint>").alias("rare"))
+    pairs = stored(longs.select("window_id", F.explode("rare").alias("a"), "rare")
+                   .select("window_id", "a", F.explode("rare").alias("b")).where("a < b"))
+    distinct = pairs.select("a", "b").distinct()
+    rare = stored(wins.select(F.explode("rare").alias("term")).distinct())
+    wanted = None
+    if rare.count() <= MAX_TERMS_IN_TASK:
+        rare = F.broadcast(rare)
+        highest = pairs.agg(F.max("b")).first()[0]
+        if highest is not None and highest < 1 << 31 and distinct.count() <= MAX_TERMS_IN_TASK:
+            wanted = np.sort(np.array([r.a << 32 | r.b for r in distinct.collect()], np.int64))
+    kind = postings.schema["doc_id"].dataType.simpleString()
+    close = _per_document(held.join(rare, "term", "left_semi")).mapInArrow(
+        lambda batches: _close_pairs(batches, distance, wanted), f"doc_id {kind}, doc_hash bigint, a bigint, b bigint")
+    met = stored(close.join(pairs, ["a", "b"]).select(*KEYS, "window_id").distinct())
+    told = exact.join(wins.select("window_id"), "window_id", "left_semi").select(*KEYS, "window_id").distinct()
+    tried = stored(_same_doc(met, told, "left_anti", extra=("window_id",)).join(
+        wins.select("window_id", "need", "terms"), "window_id"))
+    # Words that a document's candidates ask for, each read once.
+    asked = tried.select(*KEYS, F.explode("terms").alias("term")).distinct()
+    if tried.select(*KEYS).distinct().count() <= BROADCAST_DOCS:
+        held = _same_doc(held, F.broadcast(tried.select(*KEYS).distinct()), "left_semi")
+    lists = _per_document(_same_doc(held, asked, "left_semi", extra=("term",)))
+    candidates = tried.groupBy(*KEYS).agg(F.collect_list(F.struct("window_id", "need", "terms")).alias("tried"))
+    near = _same_doc(lists, candidates).mapInArrow(
+        lambda batches: _holding(batches, distance), f"doc_id {kind}, doc_hash bigint, window_id bigint")
+    return near.unionByName(told)
+
+
+def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, near: bool = False) -> DataFrame:
+    """(doc_id, doc_hash, n_words, n_hit, item_ids) per distinct (doc_id, text); with
+    ``near`` also near_ids, the items with exact or proximity matches."""
     wins = stored(windows(items, size))
     postings, vocabulary = build_index(docs, wins)
-    matched = stored(phrase_matches(postings, ranked_terms(wins, postings, vocabulary)).distinct())
+    ranked = ranked_terms(wins, postings, vocabulary)
+    if near:
+        ranked = stored(ranked)
+    matched = stored(phrase_matches(postings, ranked).distinct())
     # Words covered by the matched windows: merge their intervals per document.
     spans = matched.groupBy(*KEYS).agg(F.sort_array(F.collect_set(F.struct(
         F.col("start").alias("s"), (F.col("start") + F.col("size")).alias("e")))).alias("spans"))
@@ -221,16 +338,26 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
                             .alias("item_ids"))
     counts = postings.where("term = -1").select(*KEYS, F.col("n").cast("long").alias("n_words"))
     hit = _same_doc(spans.select(*KEYS, covered.alias("n_hit")), found)
-    return _same_doc(counts, hit, "left").select(
+    none = F.array().cast("array<string>")
+    out = _same_doc(counts, hit, "left").select(
         *KEYS, "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
-        F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"))
+        F.coalesce("item_ids", none).alias("item_ids"))
+    if not near:
+        return out
+    close = proximity_matches(postings, ranked, matched.select(*KEYS, "window_id").distinct()) \
+        .join(wins.select("window_id", "item_id"), "window_id").groupBy(*KEYS) \
+        .agg(F.collect_set(F.col("item_id").cast("string")).alias("close_ids"))
+    return _same_doc(out, close, "left").withColumn("near_ids", F.array_sort(F.array_union(
+        "item_ids", F.coalesce("close_ids", none)))).drop("close_ids")
 
 
 def contamination_report(docs: DataFrame, items: DataFrame) -> DataFrame:
-    return contamination(docs, items).select(
+    return contamination(docs, items, near=True).select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"))
+        (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("near_ids").cast("long").alias("n_near"),
+        F.sha2(F.array_join("near_ids", ","), 256).alias("near_sha256"))
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
