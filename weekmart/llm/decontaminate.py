@@ -243,6 +243,30 @@ def _close_pairs(batches: Iterator[pa.RecordBatch], distance: int, wanted: np.nd
             names=[*KEYS, "a", "b"])
 
 
+def _near(lists: list[np.ndarray], need: int, distance: int) -> bool:
+    """Whether some stretch of ``distance`` words holds values of ``need`` lists.  The
+    lists come rarest first."""
+    spare = len(lists) - need
+    if spare < 0:
+        return False
+    # A match has one of the first words.  Its other words are near that one: places
+    # that lack more than ``spare`` words nearby are given up on the way.
+    at = np.concatenate(lists[:spare + 1])
+    lacks = np.zeros(len(at), np.int64)
+    for own in lists:
+        lacks += np.searchsorted(own, at + distance) == np.searchsorted(own, at - distance + 1)
+        left = lacks <= spare
+        if not left.all():
+            at, lacks = at[left], lacks[left]
+            if not len(at):
+                return False
+    starts = np.concatenate(lists)
+    seen = np.zeros(len(starts), np.int64)
+    for own in lists:
+        seen += np.searchsorted(own, starts + distance) > np.searchsorted(own, starts)
+    return bool((seen >= need).any())
+
+
 def _holding(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
     """(document, window_id) of the candidate windows that have ``need`` of their terms
     in a stretch of ``distance`` words."""
@@ -250,17 +274,11 @@ def _holding(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.Re
         rows, windows = [], []
         for i, (held, tried) in enumerate(zip(batch.column("held"), batch.column("tried").to_pylist())):
             lists = held.values.field("positions")
-            spots = {t: np.sort(lists[k].values.to_numpy(zero_copy_only=False))
-                     for k, t in enumerate(held.values.field("term").to_pylist())}
+            ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
+            parts = np.split(lists.flatten().to_numpy(zero_copy_only=False), ends[:-1])
+            spots = dict(zip(held.values.field("term").to_pylist(), parts))
             for window in tried:
-                own = [spots[t] for t in window["terms"] if t in spots]
-                if len(own) < window["need"]:
-                    continue
-                starts = np.concatenate(own)
-                seen = np.zeros(len(starts), np.int64)
-                for at in own:
-                    seen += np.searchsorted(at, starts + distance) > np.searchsorted(at, starts)
-                if (seen >= window["need"]).any():
+                if _near([spots[t] for t in window["terms"] if t in spots], window["need"], distance):
                     rows.append(i)
                     windows.append(window["window_id"])
         at = pa.array(rows, pa.int64())
