@@ -137,3 +137,14 @@ def test_a_repeated_id_fills_many_tasks(spark, scratch):
         assert rows.agg(F.sum("n_docs")).first()[0] == 4000
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_new_pieces_are_encoded_without_positions(tokenizer):
+    """The library's plain encode_batch also makes offsets, which nothing reads."""
+    class IdsOnly:
+        encode_batch_fast = staticmethod(tokenizer.encode_batch_fast)
+
+    e = A.Encoder(open(FILE, encoding="utf-8").read())
+    e.tokenizer = IdsOnly()
+    for texts in ([" only easy pieces" * 300], ["été", "12", "ñ"], ["", ""], ["Both é here\n and 1-2 there"]):
+        assert ids_of(e, texts) == [tokenizer.encode(x, add_special_tokens=False).ids for x in texts]

@@ -30,7 +30,8 @@ def _frequent(seq: np.ndarray, turn: int, least: int):
     key = (seq[:-1] << 32) | seq[1:]
     odd = (0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019 * 2 * turn) & 0xFFFFFFFFFFFFFFFF
     bucket = ((key.view(np.uint64) * np.uint64(odd)) >> np.uint64(64 - bits)).view(np.int64)
-    at = np.flatnonzero(np.bincount(bucket, minlength=1 << bits)[bucket] >= least)
+    # A table of bits stays in the processor's cache, one of counts does not.
+    at = np.flatnonzero((np.bincount(bucket, minlength=1 << bits) >= least)[bucket])
     b, k = bucket[at], key[at]
     holder = np.zeros(1 << bits, np.int64)
     holder[b] = k

@@ -72,6 +72,14 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+def layout(texts: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """The offsets of each text and the end, and the bytes they point into."""
+    offsets = np.zeros(1, np.int64) if texts.buffers()[1] is None else \
+        np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    raw = texts.buffers()[2]
+    return offsets, np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
+
+
 class Encoder:
     """Ids of many texts at once with a tokenizer of the tokenizers library."""
 
@@ -93,7 +101,7 @@ class Encoder:
         take far more memory than the ids."""
         ids, sizes = [np.zeros(0, np.int32)], []
         for i in range(0, len(texts), step):
-            for e in self.tokenizer.encode_batch(texts[i:i + step], add_special_tokens=False):
+            for e in self.tokenizer.encode_batch_fast(texts[i:i + step], add_special_tokens=False):
                 ids.append(np.array(e.ids, np.int32))
                 sizes.append(len(ids[-1]))
         return np.concatenate(ids), np.array(sizes, np.int64)
@@ -109,21 +117,24 @@ class Encoder:
         if len(new):
             number[is_new.to_numpy(zero_copy_only=False)] = len(self.known) + np.arange(len(new))
             self.known = pa.concat_arrays([self.known, new])
-            ids, sizes = self.encode_pieces(new.cast(pa.large_string()).to_pylist())
+            ids, sizes = self.encode_pieces(new)
             self.ids, self.count = np.concatenate([self.ids, ids]), np.concatenate([self.count, sizes])
         return number
 
-    def encode_pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode_pieces(self, texts: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids).  Pieces that begin with a blank and end visibly are
         encoded in one string, as a border lies between them; each piece's ids are
         found again by the bytes they stand for."""
-        easy = np.fromiter((x[0] in " \n" and "!" <= x[-1] <= "~" for x in texts), bool, len(texts))
-        chosen = [x for x, e in zip(texts, easy.tolist()) if e]
-        flat, _ = self.plain(["".join(chosen[i:i + JOINED]) for i in range(0, len(chosen), JOINED)], 32)
-        ends = np.cumsum(np.fromiter((len(x.encode()) for x in chosen), np.int64, len(chosen)))
+        offsets, data = layout(texts)
+        first, last = data[offsets[:-1]], data[offsets[1:] - 1]
+        easy = ((first == 32) | (first == 10)) & (last >= 33) & (last <= 126)
+        ends, body = layout(texts.filter(pa.array(easy)))
+        at = np.append(ends[:-1:JOINED], ends[-1]).tolist()
+        flat, _ = self.plain([body[i:j].tobytes().decode() for i, j in zip(at, at[1:])], 32)
         sizes = np.zeros(len(texts), np.int64)
-        sizes[easy] = np.diff(np.searchsorted(np.cumsum(self.width[flat]), ends) + 1, prepend=0)
-        rest, sizes[~easy] = self.plain([x for x, e in zip(texts, easy.tolist()) if not e], 2000)
+        sizes[easy] = np.diff(np.searchsorted(np.cumsum(self.width[flat]), ends[1:] - ends[0]) + 1, prepend=0)
+        others = texts.filter(pa.array(~easy)).cast(pa.large_string()).to_pylist()
+        rest, sizes[~easy] = self.plain(others, 2000)
         ids = np.empty(int(sizes.sum()), np.int32)
         of_easy = np.repeat(easy, sizes)
         ids[of_easy], ids[~of_easy] = flat, rest
