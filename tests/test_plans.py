@@ -128,3 +128,18 @@ def test_layout_join_needs_no_shuffle_and_prunes_weeks(spark, scratch):
         assert a.count() == b.count() and a.exceptAll(b).count() == 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_rows_dealt_by_part_are_not_dealt_again_for_the_sums(spark):
+    """Without broadcasts: the price join deals the fact by part, and the sums and the
+    part's names need no exchange of their own."""
+    import re
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan_text(weekly_summary(spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "partial_sum" in text and "Exchange hashpartitioning(l_partkey" in text
+    assert not re.search(r"Exchange hashpartitioning\([^)]*week_num", text)
+    assert len(re.findall(r"Exchange hashpartitioning\(l_partkey", text)) == 1
