@@ -1,5 +1,6 @@
 """Token archive: exact round trips against the tokenizer itself."""
 
+import os
 import zlib
 
 import numpy as np
@@ -148,3 +149,44 @@ def test_new_pieces_are_encoded_without_positions(tokenizer):
     e.tokenizer = IdsOnly()
     for texts in ([" only easy pieces" * 300], ["été", "12", "ñ"], ["", ""], ["Both é here\n and 1-2 there"]):
         assert ids_of(e, texts) == [tokenizer.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_words_reach_the_model_without_the_splitting(tokenizer):
+    """A blank and letters are one word; the tokenizer's own splitting is not run for them."""
+    class Never:
+        def encode_batch_fast(self, *texts, **options):
+            raise AssertionError(texts)
+
+    e = A.Encoder(open(FILE, encoding="utf-8").read())
+    ids_of(e, ["###", ",", "12."])                 # the other pieces of the text below
+    e.tokenizer = Never()
+    text = " plain words été Ünïcode ÿ" + " many words" * 300 + " word### été, word12."
+    assert ids_of(e, [text]) == [tokenizer.encode(text, add_special_tokens=False).ids]
+
+
+def test_pieces_that_came_up_again_are_kept(monkeypatch, tokenizer):
+    e = A.Encoder(open(FILE, encoding="utf-8").read())
+    for text in (" common once", " common other"):
+        ids_of(e, [text])
+    monkeypatch.setattr(A, "KNOWN", 2)
+    texts = [" common third words", " common"]
+    assert ids_of(e, texts) == [tokenizer.encode(x, add_special_tokens=False).ids for x in texts]
+    assert b" common" in e.known and b" once" not in e.known
+
+
+def test_tasks_encode_without_the_librarys_threads(monkeypatch):
+    monkeypatch.setenv("TOKENIZERS_PARALLELISM", "true")
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM")
+    A.encoder_of(open(FILE, encoding="utf-8").read())
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aZéÿ×÷Ã '%#|0½\nĀñ́s"), max_size=30), max_size=6))
+def test_cuts_at_accents_marks_and_digits(texts):
+    t = Tokenizer.from_file(FILE) if not hasattr(test_cuts_at_accents_marks_and_digits, "t") \
+        else test_cuts_at_accents_marks_and_digits.t
+    test_cuts_at_accents_marks_and_digits.t = t
+    e = getattr(test_cuts_at_accents_marks_and_digits, "e", None) or A.Encoder(open(FILE, encoding="utf-8").read())
+    test_cuts_at_accents_marks_and_digits.e = e
+    assert ids_of(e, texts) == [t.encode(x, add_special_tokens=False).ids for x in texts]

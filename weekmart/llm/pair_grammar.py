@@ -26,55 +26,60 @@ SAMPLE = 64                          # symbols between stored positions
 def _frequent(seq: np.ndarray, turn: int, least: int):
     """Places of frequent pairs, their bucket and how often each bucket is used.
     Pairs meet in hash buckets; a bucket serves one pair a round."""
-    bits = max(10, int(len(seq)).bit_length() - 1)
-    key = (seq[:-1] << 32) | seq[1:]
+    bits = min(max(10, int(len(seq)).bit_length() - 1), 31)
     odd = (0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019 * 2 * turn) & 0xFFFFFFFFFFFFFFFF
-    bucket = ((key.view(np.uint64) * np.uint64(odd)) >> np.uint64(64 - bits)).view(np.int64)
+    symbols = seq.view(np.uint32)
+    mixed = symbols[:-1] * np.uint32(odd >> 32 | 1)
+    mixed += symbols[1:] * np.uint32(odd & 0xFFFFFFFF)
+    mixed >>= np.uint32(32 - bits)
+    bucket = mixed.astype(np.int64)
     # A table of bits stays in the processor's cache, one of counts does not.
     at = np.flatnonzero((np.bincount(bucket, minlength=1 << bits) >= least)[bucket])
-    b, k = bucket[at], key[at]
-    holder = np.zeros(1 << bits, np.int64)
+    b = bucket[at]
+    k = (seq[at].astype(np.int64) << 32) | seq[at + 1]
+    holder = np.empty(1 << bits, np.int64)
     holder[b] = k
     mine = holder[b] == k
     at, b = at[mine], b[mine]
-    count = np.bincount(b, minlength=1 << bits)
-    often = count[b] >= least
-    return at[often], b[often], count, holder, bits
+    count = np.bincount(b, minlength=1 << bits)[b]
+    often = count >= least
+    return at[often], b[often], count[often], holder, bits
 
 
 def compress(ids: np.ndarray, base: int, thresholds=THRESHOLDS) -> tuple[np.ndarray, np.ndarray]:
     """(symbols, rules): symbol ``base + r`` stands for the pair ``rules[r]``
     (left << 32 | right); rules refer to earlier symbols only."""
-    seq, rules, following = ids.astype(np.int64), [], base
+    seq, rules, following = ids.astype(np.int32), [], base
     turn, before = 0, 0
     while len(seq) > 1 and (turn < len(thresholds) or len(seq) < (1 - WORTH) * before):
         least, before, turn = thresholds[min(turn, len(thresholds) - 1)], len(seq), turn + 1
         at, bucket, count, holder, bits = _frequent(seq, turn, least)
         if not len(at):
             continue
-        weight = np.zeros(len(seq) + 1, np.int64)        # place i at i + 1
-        own = (count[bucket] << bits) | bucket
-        weight[at + 1] = own
-        left, right = weight[at], weight[at + 2]
+        own = (count << bits) | bucket
+        # The pairs that overlap a pair stand beside it in ``at``.
+        beside = at[1:] == at[:-1] + 1
+        left, right = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        np.multiply(own[:-1], beside, out=left[1:])
+        np.multiply(own[1:], beside, out=right[:-1])
         run = np.maximum.accumulate(np.where(left == own, 0, np.arange(len(at))))
         second = (np.arange(len(at)) - run) & 1
         wins = (second == 0) & (own >= left) & (own >= right)
         at, bucket = at[wins], bucket[wins]
-        used = np.bincount(bucket, minlength=1 << bits)
-        pays = used[bucket] >= LEAST
+        used = np.bincount(bucket, minlength=1 << bits) >= LEAST
+        pays = used[bucket]
         at, bucket = at[pays], bucket[pays]
-        made = np.flatnonzero(used >= LEAST)
+        made = np.flatnonzero(used)
         if not len(made):
             continue
-        number = np.zeros(1 << bits, np.int64)
-        number[made] = following + np.arange(len(made))
         rules.append(holder[made])
+        holder[made] = following + np.arange(len(made))
         following += len(made)
-        seq[at] = number[bucket]
+        seq[at] = holder[bucket]
         stays = np.ones(len(seq), bool)
         stays[at + 1] = False
         seq = seq[stays]
-    return seq, np.concatenate(rules) if rules else np.zeros(0, np.int64)
+    return seq.astype(np.int64), np.concatenate(rules) if rules else np.zeros(0, np.int64)
 
 
 def lengths(rules: np.ndarray, base: int) -> np.ndarray:

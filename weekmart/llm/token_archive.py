@@ -11,8 +11,9 @@
 
 Texts are cut where the tokenizer's own splitting always has a border, each new
 piece is encoded once by the tokenizers library, and the pieces' ids are put
-together; ``tests/llm`` compares this with encoding whole texts.  A tokenizer that
-does not split that way encodes whole texts.
+together; ``tests/llm`` compares this with encoding whole texts.  Pieces of a blank
+and letters are one word of that splitting and reach the library's model without it.
+A tokenizer that does not split that way encodes whole texts.
 
 Defined cases: a null text is empty (its ids are the end id alone); rows repeated
 or with equal doc_ids each have their own place; rows with a null doc_id come first;
@@ -23,14 +24,15 @@ cut inside a document, so a very long text makes a shard of its own size.
 from __future__ import annotations
 
 import json
+import os
 import sys
 import types
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,8 +40,8 @@ from weekmart.llm.pair_grammar import Shard, encode_shard
 
 SHARD_IDS = 1 << 20
 SLICE_BYTES = 8 << 20   # text turned into ids at once
-JOINED = 200            # pieces encoded as one string
-KNOWN = 1_000_000       # pieces whose ids a worker keeps
+JOINED = 200            # words encoded as one string
+KNOWN = 1_000_000       # pieces whose ids a worker keeps; beyond, those that came up once are forgotten
 LETTERS = b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SHARDS = "part int, number int, n_docs bigint, n_ids bigint, body binary"
 
@@ -54,24 +56,37 @@ def splits_at_words(config: dict) -> bool:
             and not model.get("dropout"))
 
 
+def accents(data: np.ndarray) -> np.ndarray:
+    """Where second bytes of the letters U+00C0..U+00FF stand (without U+00D7 and U+00F7)."""
+    out = np.zeros(len(data), bool)
+    after = np.flatnonzero(data[:-1] == 0xC3) + 1
+    out[after] = (data[after] != 0x97) & (data[after] != 0xB7)
+    return out
+
+
 def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Places in the UTF-8 bytes where texts start or are safely cut."""
-    kind = np.zeros(256, np.uint8)      # bits: 1 letter, 2 visible, 4 blank, 8 mark
-    kind[33:127] = 2
+    kind = np.zeros(256, np.uint8)      # bits: 1 letter, 2 visible, 4 blank, 8 digit or mark
+    kind[33:127] = 10
     kind[list(LETTERS)] = 3
     kind[list(b" \n")] = 4
-    kind[list(b".,;:!?()\"-/")] |= 8
     k = kind[data]
+    k[accents(data)] = 3
     cut = np.zeros(len(data) + 1, bool)
-    if len(data) > 1:
-        visible = (k[:-1] & 2) > 0
-        # The second byte of U+00C0..U+00FF is visible too.
-        visible[1:] |= (data[1:-1] >= 128) & (data[:-2] == 0xC3)
-        cut[1:-1] = (((k[1:] & 4) > 0) & visible) | (((k[1:] & 8) > 0) & ((k[:-1] & 1) > 0))
+    # Blanks after something visible, digits and marks after a letter.
+    cut[1:-1] = (k[1:] & (k[:-1] << 1) & 4 | k[1:] & (k[:-1] << 3) & 8) > 0
     cut[offsets] = True
     return np.flatnonzero(cut)
 
 
+def byte_signs() -> np.ndarray:
+    """The character (UTF-16) for which a byte stands in a byte-level vocabulary."""
+    signs = np.arange(256, dtype="<u2")
+    hidden = [b for b in range(256) if not (33 <= b < 127 or 161 <= b < 173 or b > 173)]
+    signs[hidden] = 256 + np.arange(len(hidden))
+    return signs
+
+
 def layout(texts: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
     """The offsets of each text and the end, and the bytes they point into."""
     offsets = np.zeros(1, np.int64) if texts.buffers()[1] is None else \
@@ -90,59 +105,77 @@ class Encoder:
         self.added = [t["content"].encode() for t in parsed.get("added_tokens") or []]
         self.by_pieces = splits_at_words(parsed)
         self.base = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.forget()
+        self.known: dict[bytes, int] = {}
+        self.ids, self.count, self.uses = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32)
         if self.by_pieces:
+            parsed |= {"added_tokens": [], "post_processor": None, "pre_tokenizer": {
+                "type": "Split", "pattern": {"String": chr(byte_signs()[32])},
+                "behavior": "MergedWithNext", "invert": False}}
+            self.words = Tokenizer.from_str(json.dumps(parsed))
             self.width = np.zeros(self.base, np.int64)     # bytes of an id's text
             for token, number in self.tokenizer.get_vocab(with_added_tokens=True).items():
                 self.width[number] = len(token)
 
-    def plain(self, texts: list[str], step: int) -> tuple[np.ndarray, np.ndarray]:
+    def plain(self, texts: list[str], step: int, tokenizer=None) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids) of texts, ``step`` at a time: the library's results
         take far more memory than the ids."""
         ids, sizes = [np.zeros(0, np.int32)], []
         for i in range(0, len(texts), step):
-            for e in self.tokenizer.encode_batch_fast(texts[i:i + step], add_special_tokens=False):
+            for e in (tokenizer or self.tokenizer).encode_batch_fast(
+                    texts[i:i + step], add_special_tokens=False):
                 ids.append(np.array(e.ids, np.int32))
                 sizes.append(len(ids[-1]))
         return np.concatenate(ids), np.array(sizes, np.int64)
 
     def pieces(self, texts: pa.LargeBinaryArray) -> np.ndarray:
-        """The numbers of pieces in ``known``; new ones are encoded."""
+        """The numbers of distinct pieces in ``known``; new ones are encoded."""
         if len(self.known) > KNOWN:
-            self.forget()
-        number = pc.index_in(texts, value_set=self.known)
-        is_new = pc.is_null(number)
-        new = texts.filter(is_new)
-        number = number.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        if len(new):
-            number[is_new.to_numpy(zero_copy_only=False)] = len(self.known) + np.arange(len(new))
-            self.known = pa.concat_arrays([self.known, new])
-            ids, sizes = self.encode_pieces(new)
+            self.forget(np.flatnonzero(self.uses > 1)[:KNOWN // 2])
+        names = texts.to_numpy(zero_copy_only=False)
+        number = np.fromiter(map(self.known.get, names, repeat(-1)), np.int64, len(names))
+        is_new = number < 0
+        if is_new.any():
+            number[is_new] = len(self.known) + np.arange(np.count_nonzero(is_new))
+            self.known.update(zip(names[is_new], number[is_new].tolist()))
+            ids, sizes = self.encode_pieces(texts.filter(pa.array(is_new)))
             self.ids, self.count = np.concatenate([self.ids, ids]), np.concatenate([self.count, sizes])
+            self.uses = np.append(self.uses, np.zeros(len(sizes), np.int32))
+        self.uses[number] += 1
         return number
 
     def encode_pieces(self, texts: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, number of ids).  Pieces that begin with a blank and end visibly are
-        encoded in one string, as a border lies between them; each piece's ids are
+        """(ids, number of ids).  A blank and letters are one word of the tokenizer's
+        splitting: many are joined and split at the blanks alone; each word's ids are
         found again by the bytes they stand for."""
         offsets, data = layout(texts)
-        first, last = data[offsets[:-1]], data[offsets[1:] - 1]
-        easy = ((first == 32) | (first == 10)) & (last >= 33) & (last <= 126)
-        ends, body = layout(texts.filter(pa.array(easy)))
-        at = np.append(ends[:-1:JOINED], ends[-1]).tolist()
-        flat, _ = self.plain([body[i:j].tobytes().decode() for i, j in zip(at, at[1:])], 32)
+        offsets, data = offsets - offsets[0], data[offsets[0]:offsets[-1]]
+        letter = np.zeros(256, bool)
+        letter[list(LETTERS)] = True
+        letter, second = letter[data], accents(data)
+        letter |= second
+        letter[:-1] |= second[1:]
+        word = (data[offsets[:-1]] == 32) & (np.diff(offsets) > 1) & \
+            (np.add.reduceat(~letter, offsets[:-1], dtype=np.int64) == 1)
+        ends = np.cumsum(np.diff(offsets)[word])
+        body = byte_signs()[data[np.repeat(word, np.diff(offsets))]]
+        at = np.append(np.append(0, ends)[:-1:JOINED], len(body)).tolist()
+        flat, _ = self.plain([body[i:j].tobytes().decode("utf-16-le") for i, j in zip(at, at[1:])], 32, self.words)
         sizes = np.zeros(len(texts), np.int64)
-        sizes[easy] = np.diff(np.searchsorted(np.cumsum(self.width[flat]), ends[1:] - ends[0]) + 1, prepend=0)
-        others = texts.filter(pa.array(~easy)).cast(pa.large_string()).to_pylist()
-        rest, sizes[~easy] = self.plain(others, 2000)
+        sizes[word] = np.diff(np.searchsorted(np.cumsum(self.width[flat]), ends) + 1, prepend=0)
+        others = texts.filter(pa.array(~word)).cast(pa.large_string()).to_pylist()
+        rest, sizes[~word] = self.plain(others, 2000)
         ids = np.empty(int(sizes.sum()), np.int32)
-        of_easy = np.repeat(easy, sizes)
-        ids[of_easy], ids[~of_easy] = flat, rest
+        of_word = np.repeat(word, sizes)
+        ids[of_word], ids[~of_word] = flat, rest
         return ids, sizes
 
-    def forget(self) -> None:
-        self.known = pa.array([], pa.large_binary())
-        self.ids, self.count = np.zeros(0, np.int32), np.zeros(0, np.int64)
+    def forget(self, kept: np.ndarray) -> None:
+        """Forget all pieces but those with the numbers ``kept``: pieces that came up
+        more than once are likely to come again."""
+        names = list(self.known)
+        self.known = {names[k]: i for i, k in enumerate(kept.tolist())}
+        self.ids = Coded(self.ids, self.count, kept, np.array([0, len(kept)])).texts(0, 1)
+        self.count, self.uses = self.count[kept], np.zeros(len(kept), np.int32)
 
     def __call__(self, texts: pa.LargeBinaryArray) -> "Coded":
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
@@ -167,6 +200,8 @@ class Encoder:
 def encoder_of(config: str) -> Encoder:
     """The worker process's encoder for a tokenizer.  It lives in ``sys.modules``, as
     functions that travel by value share no globals from task to task."""
+    # Tasks share the cores already: the library's own threads would only add to them.
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     kept = sys.modules.setdefault("weekmart_worker_state", types.ModuleType("weekmart_worker_state"))
     if getattr(kept, "config", None) != config:
         kept.config, kept.encoder = config, Encoder(config)
