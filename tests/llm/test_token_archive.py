@@ -190,3 +190,14 @@ def test_cuts_at_accents_marks_and_digits(texts):
     e = getattr(test_cuts_at_accents_marks_and_digits, "e", None) or A.Encoder(open(FILE, encoding="utf-8").read())
     test_cuts_at_accents_marks_and_digits.e = e
     assert ids_of(e, texts) == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+@pytest.mark.parametrize("bits", [1, 7, 8, 17, 25, 31, 32])
+def test_symbols_are_read_without_single_bits(monkeypatch, bits):
+    """Eight symbols are whole bytes; one array cell for each bit is not needed."""
+    values = np.random.default_rng(bits).integers(0, 1 << bits, 1001)
+    raw, none = (np.frombuffer(G._pack(v, bits), np.uint8) for v in (values, values[:0]))
+    monkeypatch.delattr(np, "unpackbits")
+    assert G._unpack(raw, bits, 0, 1001).tolist() == values.tolist()
+    assert G._unpack(raw, bits, 64, 130).tolist() == values[64:194].tolist()
+    assert len(G._unpack(none, bits, 0, 0)) == 0

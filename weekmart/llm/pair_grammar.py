@@ -133,11 +133,15 @@ def _pack(values: np.ndarray, bits: int) -> bytes:
 
 def _unpack(packed: np.ndarray, bits: int, start: int, count: int) -> np.ndarray:
     """``count`` values from value ``start`` (a multiple of 8) on."""
-    raw = packed[start * bits // 8:-(-(start + count) * bits // 8)]
-    as_bits = np.unpackbits(raw, bitorder="little", count=count * bits).reshape(count, bits)
-    padded = np.zeros((count, 32), np.uint8)
-    padded[:, :bits] = as_bits
-    return np.packbits(padded, axis=1, bitorder="little").view("<u4").ravel().astype(np.int64)
+    rows = max(1, -(-count // 8))       # eight values fill ``bits`` whole bytes
+    raw = np.zeros(rows * bits + 8, np.uint8)
+    part = packed[start * bits // 8:start * bits // 8 + rows * bits]
+    raw[:len(part)] = part
+    out = np.empty((rows, 8), np.int64)
+    for i in range(8):
+        words = np.ndarray((rows,), "<u8", raw, i * bits // 8, (bits,))
+        out[:, i] = (words >> np.uint64(i * bits % 8)) & np.uint64((1 << bits) - 1)
+    return out.ravel()[:count]
 
 
 def encode_shard(doc_ids: list[int | None], sizes: np.ndarray, ids: np.ndarray, base: int) -> bytes:
