@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from weekmart.llm.storage import stored
-from weekmart.llm.text import free_name
+from weekmart.llm.text import by_shuffle, free_name
 
 SEED = 42
 BITS = 64
@@ -118,7 +118,7 @@ def _meet(index: DataFrame, keys: list[str], max_bits: int) -> DataFrame:
     """Verified links of members that share ``keys``."""
     a = index.where("side is null or side = 0").select(*keys, F.col("fp").alias("u"), "side")
     b = index.where("side is null or side = 1").select(*keys, F.col("fp").alias("v"))
-    met = a.join(b, keys).where("side is not null or u < v")
+    met = by_shuffle(a).join(by_shuffle(b), keys).where("side is not null or u < v")
     near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_bits
     return met.where(near).select("u", "v")
 
@@ -155,7 +155,7 @@ def links(fps: DataFrame, max_bits: int = 3, hot: int = HOT_BUCKET) -> DataFrame
         near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_bits
         for left, right in ((a, b), (c, d)):
             found = found.unionByName(
-                left.join(right, keys).where((F.col("u") != F.col("v")) & near).select("u", "v"))
+                by_shuffle(left).join(by_shuffle(right), keys).where((F.col("u") != F.col("v")) & near).select("u", "v"))
     return found
 
 

@@ -42,6 +42,13 @@ def computed_once(value: Column) -> Column:
     return F.when(F.spark_partition_id() >= 0, value)
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """``df`` as a join side that goes with its partner by shuffle, never to the driver.
+    Spark's size estimate counts neither the rows that an explode makes nor how well a
+    file was compressed, so such a side can be far larger than a broadcast may be."""
+    return df.hint("merge")
+
+
 def free_name(columns: list[str], wanted: str) -> str:
     """``wanted``, prefixed with ``_`` until it clashes with no column."""
     taken = {c.lower() for c in columns}
