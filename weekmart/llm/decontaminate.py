@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weekmart.llm.storage import stored
-from weekmart.llm.text import alnum_words
+from weekmart.llm.text import alnum_words, by_shuffle
 
 WINDOW = 10
 MAX_TERMS_IN_TASK = 1_000_000  # a larger vocabulary is joined, not sent to the tasks
@@ -146,7 +146,7 @@ def ranked_terms(wins: DataFrame, postings: DataFrame, vocab: DataFrame) -> Data
     vocab = vocab.join(seen, "term", "left")
     spread = wins.select("window_id", "terms").distinct().select(
         "window_id", F.size("terms").alias("size"), F.posexplode("terms").alias("offset", "word"))
-    return spread.join(vocab, "word").groupBy("window_id", "size").agg(
+    return by_shuffle(spread).join(vocab, "word").groupBy("window_id", "size").agg(
         F.sort_array(F.collect_list(F.struct(
             F.coalesce("cf", F.lit(0)).alias("cf"), "term", "offset"))).alias("ranked"))
 
@@ -159,7 +159,7 @@ def phrase_matches(postings: DataFrame, ranked: DataFrame) -> DataFrame:
     first = live.select("window_id", "size", "ranked", F.col("ranked")[0]["term"].alias("term"),
                         F.col("ranked")[0]["offset"].alias("offset"))
     # Only the rarest terms' postings are read out position by position.
-    cand = postings.join(first, "term").select(
+    cand = by_shuffle(postings).join(first, "term").select(
         *KEYS, "window_id", "size", "ranked", "offset", F.explode("positions").alias("p")) \
         .select(*KEYS, "window_id", "size", "ranked", (F.col("p") - F.col("offset")).alias("start")) \
         .where("start >= 0")
@@ -169,7 +169,7 @@ def phrase_matches(postings: DataFrame, ranked: DataFrame) -> DataFrame:
     if terms.count() <= MAX_TERMS_IN_TASK:
         terms = F.broadcast(terms)
     listed = postings.join(terms, "term", "left_semi")
-    met = _same_doc(second, listed.select(*KEYS, "term", "positions"), extra=("term",)).where(
+    met = _same_doc(by_shuffle(second), listed.select(*KEYS, "term", "positions"), extra=("term",)).where(
         F.array_contains("positions", F.col("start") + F.col("ranked")[1]["offset"])) \
         .drop("positions", "term")
     met = stored(met)
@@ -184,7 +184,7 @@ def phrase_matches(postings: DataFrame, ranked: DataFrame) -> DataFrame:
         wanted = F.broadcast(wanted)
     narrow = _same_doc(postings.select(*KEYS, "term", "positions").where("term >= 0"), wanted,
                        "left_semi")
-    held = _same_doc(rest, narrow, extra=("term",)).where(
+    held = _same_doc(by_shuffle(rest), narrow, extra=("term",)).where(
         F.array_contains("positions", F.col("start") + F.col("offset")))
     whole = held.groupBy(*KEYS, "window_id", "size", "start").agg(F.count_distinct("offset").alias("c")) \
         .where(F.col("c") == size - 2).drop("c")
@@ -325,9 +325,9 @@ def proximity_matches(postings: DataFrame, ranked: DataFrame, exact: DataFrame,
     asked = tried.select(*KEYS, F.explode("terms").alias("term")).distinct()
     if tried.select(*KEYS).distinct().count() <= BROADCAST_DOCS:
         held = _same_doc(held, F.broadcast(tried.select(*KEYS).distinct()), "left_semi")
-    lists = _per_document(_same_doc(held, asked, "left_semi", extra=("term",)))
+    lists = _per_document(_same_doc(held, by_shuffle(asked), "left_semi", extra=("term",)))
     candidates = tried.groupBy(*KEYS).agg(F.collect_list(F.struct("window_id", "need", "terms")).alias("tried"))
-    near = _same_doc(lists, candidates).mapInArrow(
+    near = _same_doc(by_shuffle(lists), candidates).mapInArrow(
         lambda batches: _holding(batches, distance), f"doc_id {kind}, doc_hash bigint, window_id bigint")
     return near.unionByName(told)
 
